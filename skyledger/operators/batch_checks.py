@@ -181,7 +181,7 @@ def _checks(hours: int, freshness_minutes: int) -> list[dict]:
         ),
         dict(
             name="SINGLE_SOURCE",
-            passed=(c("sources") == 1) & (c("own_source") == 1),
+            passed=(c("sources") == 1) & (c("own_source") > 0),
             bad=surplus("sources"),
             actual=text(c("sources")),
             expected=F.lit("1"),
