@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions import clean
+from skyledger.operators.counting import count_met, spread
 from skyledger.operators.duplicates import key_counts
 from skyledger.schema import ColumnRule, Contract
 
@@ -58,23 +59,11 @@ def _column_checks(df: DataFrame, rule: ColumnRule) -> list[tuple[str, Column]]:
     return checks
 
 
-def _as_rows(counts: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFrame:
-    """One wide row of counts to one row per check."""
-    entries = [
-        F.struct(
-            F.lit(code).alias("code"),
-            F.lit(field).alias("field"),
-            F.col(f"c{i}").alias("invalid_count"),
-        )
-        for i, (code, field) in enumerate(checks)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
-
-
 def count_conditions(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
     """Rows (code, field, invalid_count) for named conditions, in one pass."""
-    counts = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, (_, _, condition) in enumerate(checks)])
-    return _as_rows(counts, [(code, field) for code, field, _ in checks])
+    counts = count_met(df, [condition for _, _, condition in checks])
+    entries = [(F.lit(code).alias("code"), F.lit(field).alias("field")) for code, field, _ in checks]
+    return spread(counts, entries).withColumnRenamed("row_count", "invalid_count")
 
 
 def repeated_rows(df: DataFrame, key: Sequence[str], code: str, surplus: bool = False) -> DataFrame:

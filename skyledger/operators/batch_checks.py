@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import clean
 from skyledger.functions.numbers import round_even
 from skyledger.functions.time import hours_between
+from skyledger.operators.counting import count_met
 from skyledger.operators.rules import Rule
 
 # Fixed values of the score.
@@ -222,18 +223,13 @@ def batch_report(
 
 
 def row_facts(prepared: DataFrame, rules: Sequence[Rule], batch: str) -> DataFrame:
-    """Per batch: valid and bad rows, and how many rules found something."""
-    any_failed = reduce(lambda a, b: a | b, [F.coalesce(r.failed, F.lit(False)) for r in rules])
-    counted = prepared.groupBy(batch).agg(
-        F.count_if(~any_failed).alias("valid_records"),
-        F.count_if(any_failed).alias("bad_records"),
-        *[F.max(r.failed).alias(f"r{i}") for i, r in enumerate(rules)],
-    )
-    broken = reduce(
-        lambda a, b: a + b, [F.col(f"r{i}").cast("bigint") for i in range(len(rules))]
-    )
-    return counted.select(
-        batch, "valid_records", "bad_records", broken.alias("failed_row_checks")
+    """Per batch: valid rows, and how many rules found something."""
+    counts = count_met(prepared, [rule.failed for rule in rules], [batch])
+    return counts.groupBy(batch).agg(
+        F.coalesce(F.sum(F.when(F.col("position").isNull(), F.col("row_count"))), F.lit(0)).alias(
+            "valid_records"
+        ),
+        F.count("position").alias("failed_row_checks"),
     )
 
 
@@ -251,23 +247,22 @@ def score(facts: DataFrame, rows: DataFrame, rules: int, batch: str) -> DataFram
         WARNING_WEIGHT / 2
     )
     weight = len(errors) * ERROR_WEIGHT + WARNING_WEIGHT
-    valid_share = round_even(
-        F.col("valid_records") / (F.col("valid_records") + F.col("bad_records")) * 100, 2
-    )
+    valid_share = round_even(F.col("valid_records") / F.col("record_count") * 100, 2)
+    bad_records = F.col("record_count") - F.col("valid_records")
     raw_score = round_even(valid_share * ROW_SHARE + earned / weight * 100 * BATCH_SHARE, 2)
     failed = (passed < len(errors)) | (F.col("valid_records") == 0)
     verdict = (
         F.when(failed, "FAIL")
-        .when((F.col("bad_records") > 0) | ~F.col("fresh"), "WARN")
+        .when((bad_records > 0) | ~F.col("fresh"), "WARN")
         .otherwise("PASS")
     )
     failed_batch_checks = F.lit(len(errors)) - passed
     warned = F.when(F.col("fresh"), 0).otherwise(1)
     return facts.join(rows, batch).select(
         batch,
-        (F.col("valid_records") + F.col("bad_records")).alias("total_records"),
+        F.col("record_count").alias("total_records"),
         "valid_records",
-        "bad_records",
+        bad_records.alias("bad_records"),
         valid_share.alias("valid_percentage"),
         F.when(failed, F.least(raw_score, F.lit(FAIL_CEILING)))
         .otherwise(raw_score)

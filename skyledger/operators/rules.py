@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions import clean
+from skyledger.operators.counting import count_met, met, spread
 from skyledger.operators.duplicates import flag_duplicates
 from skyledger.schema import AQI_COLUMNS, LOGICAL_KEY, POLLUTANTS, REQUIRED_TEXT
 
@@ -165,62 +166,64 @@ def check_readings(
     return prepared, reading_rules(prepared, source, tolerance, batch)
 
 
-def issues(rules: Sequence[Rule]) -> Column:
-    """Array of (code, message) of the broken rules, in rule order."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    rule.failed,
-                    F.struct(F.lit(rule.code).alias("code"), F.lit(rule.message).alias("message")),
-                )
-                for rule in rules
-            ]
-        )
-    )
+def broken(rules: Sequence[Rule]) -> Column:
+    """Positions of the broken rules, in rule order."""
+    return met([rule.failed for rule in rules])
+
+
+def _named(positions: Column, names: Sequence[str], separator: str) -> Column:
+    """Positions as joined texts; only the few broken rules are looked up."""
+    texts = F.array(*[F.lit(name) for name in names])
+    return F.array_join(F.transform(positions, lambda i: F.get(texts, i)), separator)
+
+
+def error_codes(positions: Column, rules: Sequence[Rule]) -> Column:
+    return _named(positions, [rule.code for rule in rules], "|")
+
+
+def error_messages(positions: Column, rules: Sequence[Rule]) -> Column:
+    return _named(positions, [rule.message for rule in rules], " | ")
 
 
 def split(
     prepared: DataFrame, rules: Sequence[Rule], checked_at: Column
 ) -> tuple[DataFrame, DataFrame]:
     """Rows without issue, and the quarantined rest with codes and messages."""
-    judged = prepared.withColumn("_issues", issues(rules)).drop(DUPLICATE_FLAG, *DIMENSION_COLUMNS)
-    good = judged.where(F.size("_issues") == 0).drop("_issues")
+    judged = prepared.withColumn("_broken", broken(rules)).drop(DUPLICATE_FLAG, *DIMENSION_COLUMNS)
+    positions = F.col("_broken")
+    good = judged.where(F.size(positions) == 0).drop("_broken")
     bad = (
-        judged.where(F.size("_issues") > 0)
+        judged.where(F.size(positions) > 0)
         .withColumns(
             {
                 "dq_status": F.lit("FAILED"),
                 "dq_checked_at": checked_at,
-                "dq_error_codes": F.array_join("_issues.code", "|"),
-                "dq_error_messages": F.array_join("_issues.message", " | "),
+                "dq_error_codes": error_codes(positions, rules),
+                "dq_error_messages": error_messages(positions, rules),
             }
         )
-        .drop("_issues")
+        .drop("_broken")
     )
     return good, bad
 
 
 def report(prepared: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
     """One row per rule (and group): bad rows and PASSED or FAILED. One pass."""
-    counted = prepared.groupBy(*by).agg(
-        *[F.count_if(rule.failed).alias(f"r{i}") for i, rule in enumerate(rules)]
-    )
+    counts = count_met(prepared, [rule.failed for rule in rules], by)
     entries = [
-        F.struct(
+        (
             F.lit(rule.code).alias("check_name"),
             F.lit(rule.severity).alias("severity"),
             F.lit(rule.message).alias("message"),
-            F.col(f"r{i}").alias("bad_records_count"),
         )
-        for i, rule in enumerate(rules)
+        for rule in rules
     ]
-    return counted.select(*by, F.inline(F.array(*entries))).select(
+    return spread(counts, entries, by).select(
         *by,
         "check_name",
         F.lit("ROW").alias("check_scope"),
         "severity",
-        F.when(F.col("bad_records_count") == 0, "PASSED").otherwise("FAILED").alias("status"),
-        "bad_records_count",
+        F.when(F.col("row_count") == 0, "PASSED").otherwise("FAILED").alias("status"),
+        F.col("row_count").alias("bad_records_count"),
         "message",
     )

@@ -115,8 +115,11 @@ def with_failure(raw: DataFrame, source: str) -> DataFrame:
 
 
 def explode_documents(documents: DataFrame) -> DataFrame:
-    """Usable documents to clean hourly rows."""
-    usable = documents.where(F.col("failure").isNull())
+    """Usable documents to clean hourly rows.
+
+    A failed document unrolls to nothing. A filter would do the same, but be
+    pushed below the projection with a copy of the whole failure expression.
+    """
     length = F.size("hourly.time")
     arrays = [F.col("hourly.time").alias("time")] + [
         F.coalesce(
@@ -124,17 +127,23 @@ def explode_documents(documents: DataFrame) -> DataFrame:
         ).alias(c)
         for c in MEASURES
     ]
-    named = usable.select(
+    named = documents.select(
+        "failure",
         *POINT_COLUMNS,
         "source",
         "batch_id",
         "schema_version",
-        F.to_timestamp("extracted_at").alias("ingested_at"),
+        F.try_to_timestamp("extracted_at").alias("ingested_at"),
         *[column.alias(f"_{name}") for column, name in zip(arrays, ("time", *MEASURES))],
     )
     zipped = F.arrays_zip(*[f"_{name}" for name in ("time", *MEASURES)])
     rows = named.select(
-        *POINT_COLUMNS, "source", "batch_id", "schema_version", "ingested_at", F.inline(zipped)
+        *POINT_COLUMNS,
+        "source",
+        "batch_id",
+        "schema_version",
+        "ingested_at",
+        F.inline(F.when(F.col("failure").isNull(), zipped)),
     )
     return rows.select(
         *POINT_COLUMNS,
@@ -149,7 +158,9 @@ def explode_documents(documents: DataFrame) -> DataFrame:
 
 
 def failures(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col("failure").isNotNull()).select("batch_id", "point_id", "failure")
+    """Rejected documents; unrolled like the rows and for the same reason."""
+    found = F.when(F.col("failure").isNotNull(), F.array("failure"))
+    return documents.select("batch_id", "point_id", F.explode(found).alias("failure"))
 
 
 def envelope_issues(raw: DataFrame, source: str) -> DataFrame:

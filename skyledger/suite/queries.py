@@ -510,8 +510,8 @@ def dq_row_rules(t):
     prepared, row_rules = rules.check_readings(
         t.dirty_readings, t.points, t.locations, adapter.SOURCE, batch="load_id"
     )
-    codes = F.array_join(rules.issues(row_rules)["code"], "|")
-    return prepared.select("reading_id", codes.alias("dq_error_codes"))
+    judged = prepared.select("reading_id", rules.broken(row_rules).alias("broken"))
+    return judged.select("reading_id", rules.error_codes(F.col("broken"), row_rules).alias("dq_error_codes"))
 
 
 @query
