@@ -85,6 +85,18 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+_CLEAN_TYPES = {
+    **dict.fromkeys(CLEAN_COLUMNS, T.StringType()),
+    **dict.fromkeys(("latitude", "longitude", *POLLUTANTS), T.DoubleType()),
+    **dict.fromkeys(AQI_COLUMNS, T.IntegerType()),
+    **dict.fromkeys(("forecast_time", "ingested_at"), T.TimestampType()),
+}
+CLEAN_SCHEMA = T.StructType([T.StructField(c, _CLEAN_TYPES[c]) for c in CLEAN_COLUMNS])
+HISTORY_SCHEMA = T.StructType(
+    [f for f in CLEAN_SCHEMA.fields if f.name != "batch_id"]
+    + [T.StructField(c, T.StringType()) for c in ("date", "hour", "batch_id")]
+)
+
 
 @dataclass(frozen=True)
 class ColumnRule:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import clean
 from skyledger.operators.audits import batch_validity
+from skyledger.schema import HISTORY_SCHEMA
 
 # Fixed value: layout of one batch below a table root.
 PARTITION_PATTERN = r"date=(\d{4}-\d{2}-\d{2})/hour=(\d{2})/batch_id=([^/]+)/[^/]+\.parquet$"
@@ -21,20 +22,15 @@ def read_history(
     hour: str | None = None,
     batch: str | None = None,
 ) -> DataFrame:
-    """All batches below ``root``; date, hour and batch prune partitions.
+    """All batches below ``root``; date, hour and batch prune folders.
 
-    The partition value of ``batch_id`` is the loaded batch and is returned as
-    ``load_id``. Corrupt files are skipped, like batches that fail validation.
+    The schema is given, so that an hour ``05`` or a batch id of digits stays a
+    text. Corrupt files are skipped.
     """
-    df = (
-        spark.read.option("ignoreCorruptFiles", "true")
-        .option("basePath", root)
-        .parquet(root)
-        .withColumnsRenamed({"date": "partition_date", "hour": "partition_hour"})
-    )
-    for name, wanted in (("partition_date", date), ("partition_hour", hour), ("load_id", batch)):
+    df = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
+    for name, wanted in (("date", date), ("hour", hour), ("batch_id", batch)):
         if wanted is not None:
-            df = df.where(F.col(name).cast("string") == wanted)
+            df = df.where(F.col(name) == wanted)
     return df
 
 

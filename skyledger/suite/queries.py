@@ -35,7 +35,7 @@ from skyledger.schema import (
 from skyledger.sources import adapter, raw
 from skyledger.sources.tables import partition_parts, skipped_batches, valid_history
 
-CREATED = F.lit("2024-02-01 00:00:00")
+CREATED = "2024-02-01 00:00:00"
 HISTORY_POINT, HISTORY_LOCATION = "P7", "L7"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,7 @@ REGISTRY: dict[str, Query] = {}
 
 
 def _created():
-    return CREATED.cast("timestamp")
+    return F.lit(CREATED).cast("timestamp")
 
 
 def plain_times(df: DataFrame) -> DataFrame:
