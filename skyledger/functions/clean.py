@@ -10,7 +10,9 @@ TRUE_TEXTS = ("true", "1", "yes", "y")
 FALSE_TEXTS = ("false", "0", "no", "n")
 SAFE_IDENTIFIER = "^[A-Za-z0-9_-]+$"
 BATCH_ID_PATTERN = "^[A-Za-z0-9][A-Za-z0-9_.-]{0,127}$"
-OFFSET_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
+OFFSET_PATTERN = r"T?\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
+NO_SECONDS_PATTERN = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
+SHORT_OFFSET_PATTERN = r"([+-]\d{2})(\d{2})$"
 
 
 def is_blank(text: Column) -> Column:
@@ -47,11 +49,15 @@ def to_float(value: Column, default: float = 0.0) -> Column:
     return F.coalesce(value.try_cast("double"), F.lit(default))
 
 
+def to_timestamp(text: Column) -> Column:
+    """ISO text as a timestamp; seconds and the colon of the offset may be left out."""
+    whole = F.regexp_replace(text, NO_SECONDS_PATTERN, "$1:00$2")
+    return F.try_to_timestamp(F.regexp_replace(whole, SHORT_OFFSET_PATTERN, "$1:$2"))
+
+
 def has_offset(text: Column) -> Column:
     """Readable timestamp text that names its offset."""
-    return F.coalesce(
-        F.try_to_timestamp(text).isNotNull() & text.rlike(OFFSET_PATTERN), F.lit(False)
-    )
+    return F.coalesce(to_timestamp(text).isNotNull() & text.rlike(OFFSET_PATTERN), F.lit(False))
 
 
 def is_safe_identifier(text: Column) -> Column:

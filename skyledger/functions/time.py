@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyledger.functions.clean import OFFSET_PATTERN
+from skyledger.functions.clean import OFFSET_PATTERN, to_timestamp
 from skyledger.session import LOCAL_ZONE
 
 
@@ -24,7 +24,7 @@ def local_hour_floor(instant: Column, zone: str = LOCAL_ZONE) -> Column:
 
 def parse_instant(text: Column, zone: str = LOCAL_ZONE) -> Column:
     """Text with an offset is an instant; without one it is local time."""
-    parsed = F.try_to_timestamp(text)
+    parsed = to_timestamp(text)
     return F.when(text.rlike(OFFSET_PATTERN), parsed).otherwise(F.to_utc_timestamp(parsed, zone))
 
 

@@ -50,7 +50,7 @@ def _column_checks(df: DataFrame, rule: ColumnRule) -> list[tuple[str, Column]]:
         if rule.maximum is not None:
             checks.append(("ABOVE_MAXIMUM", filled & (number > rule.maximum)))
     elif rule.kind == "datetime" and is_text:
-        checks.append(("INVALID_DATETIME", filled & F.try_to_timestamp(column).isNull()))
+        checks.append(("INVALID_DATETIME", filled & clean.to_timestamp(column).isNull()))
         checks.append(("TIMEZONE_REQUIRED", filled & ~clean.has_offset(column)))
     elif rule.kind == "date" and is_text:
         checks.append(("INVALID_DATE", filled & column.try_cast("date").isNull()))

@@ -86,7 +86,9 @@ def merge_alerts(existing: DataFrame, batch: DataFrame, fresh: DataFrame) -> Dat
     and creation time. Alerts of readings outside the batch stay.
     """
     touched = batch.select("point_id", F.col("forecast_time").alias("alert_time"), "source")
-    untouched = existing.join(touched, ["point_id", "alert_time", "source"], "left_anti")
+    untouched = existing.join(touched, ["point_id", "alert_time", "source"], "left_anti").select(
+        *existing.columns
+    )
     key = ["point_id", "alert_time", "severity", "source"]
     kept = existing.select(*key, F.col("status").alias("_status"), F.col("created_at").alias("_created"))
     rewritten = (

@@ -194,10 +194,13 @@ def daily_summary_increment(
     return daily_summary(touched, locations, created_at)
 
 
-def latest_batch(readings: DataFrame, batch: str = "batch_id") -> DataFrame:
+def latest_batch_id(readings: DataFrame) -> Column:
+    return readings.agg(F.max_by("batch_id", F.struct("ingested_at", "batch_id"))).scalar()
+
+
+def latest_batch(readings: DataFrame) -> DataFrame:
     """Rows of the batch that was ingested last."""
-    newest = readings.agg(F.max_by(batch, F.struct("ingested_at", batch))).scalar()
-    return readings.where(F.col(batch) == newest)
+    return readings.where(F.col("batch_id") == latest_batch_id(readings))
 
 
 def build(history: DataFrame, locations: DataFrame, created_at: Column) -> dict[str, DataFrame]:
@@ -210,34 +213,35 @@ def build(history: DataFrame, locations: DataFrame, created_at: Column) -> dict[
     }
 
 
-def build_summary(history: DataFrame, locations: DataFrame, created_at: Column) -> DataFrame:
-    """One row of counts that goes into the build log, written after the marts."""
-    marts = build(history, locations, created_at)
+def build_summary(
+    history: DataFrame, locations: DataFrame, built: dict[str, DataFrame]
+) -> DataFrame:
+    """One row of counts that goes into the build log, written after the marts.
+
+    ``built`` holds the marts, best as read back from where they were written,
+    so that counting them does not build them again.
+    """
 
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1))).scalar()
 
-    validity = batch_validity(history)
-    counts = validity.agg(
+    counts = batch_validity(history).agg(
         F.count_if("is_valid").alias("valid_batch_count"),
         F.count_if(~F.col("is_valid")).alias("skipped_batch_count"),
         F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("record_count"))), F.lit(0)).alias(
             "history_input_records"
         ),
+        F.sum(F.when(F.col("batch_id") == latest_batch_id(history), F.col("record_count"))).alias(
+            "latest_batch_records"
+        ),
     )
-    newest = history.agg(F.max_by("batch_id", F.struct("ingested_at", "batch_id"))).scalar()
     return counts.select(
         F.lit("SUCCESS").alias("status"),
-        newest.alias("batch_id"),
+        latest_batch_id(history).alias("batch_id"),
         "valid_batch_count",
         "skipped_batch_count",
         "history_input_records",
+        "latest_batch_records",
         rows(locations).alias("location_dimension_rows"),
-        rows(latest_batch(history)).alias("latest_batch_records"),
-        rows(marts["current"]).alias("current_rows"),
-        rows(marts["location_summary"]).alias("location_summary_rows"),
-        rows(marts["daily_summary"]).alias("daily_summary_rows"),
-    ).withColumn(
-        "output_records",
-        F.col("current_rows") + F.col("location_summary_rows") + F.col("daily_summary_rows"),
-    )
+        *[rows(df).alias(f"{name}_rows") for name, df in built.items()],
+    ).withColumn("output_records", sum(F.col(f"{name}_rows") for name in built))

@@ -24,13 +24,15 @@ def payload_rows(
 ) -> DataFrame:
     """Records of each published id with the record count of its payload.
 
-    The counts are a small aggregate; an id without records gets one row with
-    count 0, as its file is written too.
+    An id without records gets one row with count 0, as its file is written
+    too. Those are added by a union: an inner join may be split on a hot id from
+    either side, an outer join could not be split on the side of the records.
     """
     kept = _limited(records, key, order, limit)
     counts = kept.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"))
     heads = ids.select(key).distinct().join(counts, key, "left").fillna(0, ["record_count"])
-    return heads.join(kept, key, "left")
+    filled = kept.join(heads.where("record_count > 0"), key)
+    return filled.unionByName(heads.where("record_count = 0"), allowMissingColumns=True)
 
 
 def current_compatible(current: DataFrame) -> DataFrame:

@@ -79,8 +79,8 @@ def run_log_rows(summaries: DataFrame, source: str) -> DataFrame:
         clean.text_or(_field("source"), F.lit(source)).alias("source"),
         F.col("stage").alias("stage_name"),
         F.upper(clean.text_or(_field("status"), F.lit("UNKNOWN"))).alias("status"),
-        F.try_to_timestamp(_field("started_at")).alias("started_at"),
-        F.try_to_timestamp(_field("finished_at")).alias("finished_at"),
+        clean.to_timestamp(_field("started_at")).alias("started_at"),
+        clean.to_timestamp(_field("finished_at")).alias("finished_at"),
         clean.to_float(_field("duration_seconds")).alias("duration_seconds"),
         _stage_counter(0).alias("input_records"),
         _stage_counter(1).alias("output_records"),
@@ -95,7 +95,7 @@ def check_log_rows(summaries: DataFrame) -> DataFrame:
     quality = fields(summaries.where(F.col("stage") == "data_quality"))
     checks = quality.select(
         "batch_id",
-        F.try_to_timestamp(_field("finished_at")).alias("checked_at"),
+        clean.to_timestamp(_field("finished_at")).alias("checked_at"),
         F.col("object_name").alias("summary_object_name"),
         F.inline(F.from_json(F.get_json_object("summary", "$.checks"), CHECK_TYPE)),
     )
@@ -121,7 +121,7 @@ def loadable(summaries: DataFrame, stage: str, payload: str) -> DataFrame:
 def latest_loadable_batch(summaries: DataFrame, stage: str, payload: str) -> DataFrame:
     """The newest loadable summary: by end, else by start."""
     moment = F.coalesce(
-        F.try_to_timestamp(_field("finished_at")), F.try_to_timestamp(_field("started_at"))
+        clean.to_timestamp(_field("finished_at")), clean.to_timestamp(_field("started_at"))
     )
     return (
         loadable(summaries, stage, payload)

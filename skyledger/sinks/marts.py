@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.plans import marts
+
 BUILD_LOG = "build_log"
 
 
-def write_marts(marts: dict[str, DataFrame], summary: DataFrame, root: str, partition: str) -> None:
+def build_marts(
+    history: DataFrame, locations: DataFrame, created_at: Column, root: str, partition: str
+) -> None:
     """Write the marts of one build, then append its log row.
 
-    Readers take their partition from the log, so a build that dies half way is
-    never seen.
+    The summaries are taken from the stored current mart. Readers find their
+    partition in the log, so a build that dies half way is never seen.
     """
-    for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/{partition}")
+    spark = history.sparkSession
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root}/{name}/{partition}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    planned = marts.build(history, locations, created_at)
+    current = store("current", planned["current"])
+    built = {
+        "current": current,
+        "location_summary": store("location_summary", marts.location_summary(current, created_at)),
+        "daily_summary": store("daily_summary", planned["daily_summary"]),
+    }
+    summary = marts.build_summary(history, locations, built)
     summary.withColumn("partition", F.lit(partition)).write.mode("append").parquet(f"{root}/{BUILD_LOG}")
 
 

@@ -96,7 +96,7 @@ def with_failure(raw: DataFrame, source: str) -> DataFrame:
         fraction = fraction | F.coalesce(
             F.exists(f"hourly.{c}", lambda v: F.coalesce(v % 1 != 0, F.lit(False))), F.lit(False)
         )
-    bad_time = F.exists("hourly.time", lambda t: F.try_to_timestamp(t).isNull())
+    bad_time = F.exists("hourly.time", lambda t: clean.to_timestamp(t).isNull())
     coordinates = F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
     failure = (
         F.when(clean.is_blank(F.col("batch_id")), "BLANK_BATCH_ID")
@@ -133,7 +133,7 @@ def explode_documents(documents: DataFrame) -> DataFrame:
         "source",
         "batch_id",
         "schema_version",
-        F.try_to_timestamp("extracted_at").alias("ingested_at"),
+        clean.to_timestamp(F.col("extracted_at")).alias("ingested_at"),
         *[column.alias(f"_{name}") for column, name in zip(arrays, ("time", *MEASURES))],
     )
     zipped = F.arrays_zip(*[f"_{name}" for name in ("time", *MEASURES)])

@@ -217,7 +217,7 @@ oracle(
 )
 _ok = "reading_id % 10 <> 3"
 oracle(
-    "partition_parts_of_paths",
+    "partition_parts",
     f"""SELECT reading_id, CASE WHEN {_ok} THEN strftime(ingested_at + {LOCAL}, '%Y-%m-%d') END AS partition_date,
       CASE WHEN {_ok} THEN strftime(ingested_at + {LOCAL}, '%H') END AS partition_hour, CASE WHEN {_ok} THEN batch_id END AS batch_id
     FROM m_readings""",
@@ -232,7 +232,7 @@ oracle(
     "SELECT reading_id, batch_id, point_id, forecast_time FROM m_readings WHERE batch_id IN (SELECT batch_id FROM m_validity WHERE is_valid)",
 )
 oracle(
-    "skipped_batch_report",
+    "skipped_batches",
     "SELECT batch_id, invalid_times, duplicate_rows FROM m_validity WHERE NOT is_valid ORDER BY batch_id LIMIT 20",
 )
 oracle("location_dimension", "SELECT location_id, max(point_id) AS point_id, arg_max(point_name, point_id) AS point_name FROM m_points GROUP BY 1")
@@ -542,7 +542,7 @@ PARTS["m_last_runs"] = """
     WHERE batch_id IS NOT NULL AND trim(batch_id) <> '' ORDER BY started_at DESC, batch_id DESC LIMIT 1)"""
 _STAGE_RANK = "CASE stage_name " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(STAGES, 1)) + " ELSE 10 END"
 oracle(
-    "pipeline_health",
+    "run_health",
     f"""SELECT run_id, batch_id, stage_name, status, {_STAGE_RANK} AS stage_rank,
       (SELECT CASE WHEN bool_and(status = 'SUCCESS') THEN 'SUCCESS' ELSE 'FAILED' END FROM m_last_runs) AS pipeline_status
     FROM m_last_runs""",
@@ -1068,7 +1068,7 @@ oracle(
     """SELECT reading_id, COALESCE(trim(point_id), '') AS point_id, TRY_CAST(us_aqi AS DOUBLE) AS us_aqi,
       CASE WHEN us_aqi LIKE '%.5' THEN CAST(-1 AS BIGINT) ELSE COALESCE(TRY_CAST(us_aqi AS BIGINT), -1) END AS us_aqi_integer, forecast_time FROM m_texts""",
 )
-oracle("local_times", f"SELECT reading_id, forecast_time + {LOCAL} AS local_time FROM m_readings")
+oracle("local_time", f"SELECT reading_id, forecast_time + {LOCAL} AS local_time FROM m_readings")
 oracle(
     "local_day_hour",
     f"""SELECT reading_id, strftime(forecast_time + {LOCAL}, '%Y-%m-%d') AS local_date, CAST(hour(forecast_time + {LOCAL}) AS INTEGER) AS local_hour,

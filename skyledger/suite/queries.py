@@ -70,7 +70,7 @@ def query(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFra
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return plain_times(function(Tables(spark, folder)))
 
-    REGISTRY[function.__name__] = run
+    REGISTRY[function.__name__.rstrip("_")] = run
     return function
 
 
@@ -124,7 +124,7 @@ def scan_partitioned_history(t):
 
 
 @query
-def partition_parts_of_paths(t):
+def partition_parts_(t):
     instant = F.col("ingested_at")
     path = F.concat(
         F.lit("clean/date="),
@@ -149,7 +149,7 @@ def valid_history_rows(t):
 
 
 @query
-def skipped_batch_report(t):
+def skipped_batches_(t):
     return skipped_batches(t.readings)
 
 
@@ -411,7 +411,8 @@ def mart_daily_increment(t):
 
 @query
 def mart_build_summary(t):
-    return marts.build_summary(t.readings, t.locations, _created())
+    readings = t.readings
+    return marts.build_summary(readings, t.locations, marts.build(readings, t.locations, _created()))
 
 
 @query
@@ -485,7 +486,7 @@ def _stamped_runs(t: Tables) -> DataFrame:
 
 
 @query
-def pipeline_health(t):
+def run_health(t):
     return runlog.pipeline_health(_stamped_runs(t)).select(
         "run_id", "batch_id", "stage_name", "status", "stage_rank", "pipeline_status"
     )
@@ -963,12 +964,12 @@ def coerced_records(t):
         F.coalesce(F.trim("point_id"), F.lit("")).alias("point_id"),
         clean.to_number(F.col("us_aqi")).alias("us_aqi"),
         clean.to_integer(F.col("us_aqi"), default=-1).alias("us_aqi_integer"),
-        F.try_to_timestamp("forecast_time").alias("forecast_time"),
+        clean.to_timestamp(F.col("forecast_time")).alias("forecast_time"),
     )
 
 
 @query
-def local_times(t):
+def local_time_(t):
     return t.readings.select("reading_id", local_time(F.col("forecast_time")).alias("local_time"))
 
 
