@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Texts that read as true or false, and safe identifiers.
 TRUE_TEXTS = ("true", "1", "yes", "y")
 FALSE_TEXTS = ("false", "0", "no", "n")
+WHITE_SPACE = " \t\n\r\x0b\x0c"
 SAFE_IDENTIFIER = "^[A-Za-z0-9_-]+$"
 BATCH_ID_PATTERN = "^[A-Za-z0-9][A-Za-z0-9_.-]{0,127}$"
 OFFSET_PATTERN = r"T?\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
@@ -15,24 +16,29 @@ NO_SECONDS_PATTERN = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
 SHORT_OFFSET_PATTERN = r"([+-]\d{2})(\d{2})$"
 
 
+def strip(text: Column | str) -> Column:
+    """Trim all white space, not blanks only."""
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == "")
+    return text.isNull() | (strip(text) == "")
 
 
 def text_or(text: Column, *fallbacks: Column) -> Column:
     """First non-blank text, trimmed."""
-    return F.coalesce(*[F.nullif(F.trim(t), F.lit("")) for t in (text, *fallbacks)])
+    return F.coalesce(*[F.nullif(strip(t), F.lit("")) for t in (text, *fallbacks)])
 
 
 def parse_boolean(text: Column) -> Column:
     """Free text to boolean; an unknown text gives null."""
-    word = F.lower(F.trim(text))
+    word = F.lower(strip(text))
     return F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
 
 
 def is_active(text: Column) -> Column:
     """Only an explicit yes counts as active."""
-    return F.coalesce(F.lower(F.trim(text)).isin(*TRUE_TEXTS), F.lit(False))
+    return F.coalesce(F.lower(strip(text)).isin(*TRUE_TEXTS), F.lit(False))
 
 
 def to_number(value: Column) -> Column:
@@ -80,7 +86,7 @@ def json_time(value: Column) -> Column:
 
 def translate(code: Column, labels: dict[str, str], unknown: str, upper: bool = True) -> Column:
     """Code to label; unknown codes pass through, blanks get ``unknown``."""
-    word = F.trim(code)
+    word = strip(code)
     word = F.upper(word) if upper else word
     pairs = [F.lit(text) for pair in labels.items() for text in pair]
     return F.coalesce(F.create_map(*pairs)[word], F.nullif(word, F.lit("")), F.lit(unknown))

@@ -38,7 +38,7 @@ def _column_checks(df: DataFrame, rule: ColumnRule) -> list[tuple[str, Column]]:
         if not is_text:
             checks.append(("INVALID_STRING", filled))
         if rule.allowed:
-            known = F.trim(column.cast("string")).isin(*rule.allowed)
+            known = clean.strip(column.cast("string")).isin(*rule.allowed)
             checks.append(("VALUE_NOT_ALLOWED", filled & ~known))
     elif rule.kind in ("number", "integer"):
         number = clean.to_number(column)
@@ -117,12 +117,12 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def location_audit(locations: DataFrame, regions: Sequence[str], kinds: Sequence[str]) -> DataFrame:
     """Rules of the location dimension."""
-    upper = locations.withColumn("location_id", F.upper(F.trim("location_id")))
+    upper = locations.withColumn("location_id", F.upper(clean.strip("location_id")))
     texts = ("location_id", "location_name", "region", "admin_type")
     checks = [("BLANK", c, clean.is_blank(F.col(c))) for c in texts]
     checks += [
-        ("VALUE_NOT_ALLOWED", "region", ~F.trim("region").isin(*regions)),
-        ("VALUE_NOT_ALLOWED", "admin_type", ~F.trim("admin_type").isin(*kinds)),
+        ("VALUE_NOT_ALLOWED", "region", ~clean.strip("region").isin(*regions)),
+        ("VALUE_NOT_ALLOWED", "admin_type", ~clean.strip("admin_type").isin(*kinds)),
         ("INVALID_BOOLEAN", "is_active", clean.parse_boolean(F.col("is_active")).isNull()),
     ]
     return (
@@ -136,8 +136,8 @@ def point_audit(points: DataFrame, locations: DataFrame) -> DataFrame:
     """Rules of the point dimension, with its reference to the locations."""
     upper = points.withColumns(
         {
-            "point_id": F.upper(F.trim("point_id")),
-            "location_id": F.upper(F.trim("location_id")),
+            "point_id": F.upper(clean.strip("point_id")),
+            "location_id": F.upper(clean.strip("location_id")),
             "latitude": clean.to_number(F.col("latitude")),
             "longitude": clean.to_number(F.col("longitude")),
         }
@@ -153,7 +153,7 @@ def point_audit(points: DataFrame, locations: DataFrame) -> DataFrame:
     unknown = (
         upper.select("location_id")
         .distinct()
-        .join(locations.select(F.upper(F.trim("location_id")).alias("location_id")), "location_id", "left_anti")
+        .join(locations.select(F.upper(clean.strip("location_id")).alias("location_id")), "location_id", "left_anti")
         .agg(F.count(F.lit(1)).alias("invalid_count"))
         .select(F.lit("UNKNOWN_LOCATION").alias("code"), F.lit("location_id").alias("field"), "invalid_count")
     )
@@ -203,7 +203,7 @@ def load_precheck(readings: DataFrame, batch: str) -> DataFrame:
     """Per load: blank keys, unusable times, batch ids and repeated keys."""
     keys = ("point_id", "location_id", "source", "batch_id")
     cells = readings.groupBy(
-        batch, *[F.trim(c).alias(c) for c in ("point_id", "source")], "forecast_time"
+        batch, *[clean.strip(c).alias(c) for c in ("point_id", "source")], "forecast_time"
     ).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(clean.is_blank(F.col(c))).alias(f"blank_{c}") for c in keys],
@@ -217,7 +217,7 @@ def load_precheck(readings: DataFrame, batch: str) -> DataFrame:
         F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("duplicate_rows"),
     )
     ids = (
-        readings.groupBy(batch, F.trim("batch_id").alias("_id"))
+        readings.groupBy(batch, clean.strip("batch_id").alias("_id"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(batch)
         .agg(F.count_if(F.col("_id") != "").alias("batch_ids"))
@@ -234,7 +234,7 @@ def dataset_audit(
 
     ``batch`` names the column that must hold one single batch id.
     """
-    group = [F.trim(F.coalesce(batch, F.lit(""))).alias("_batch")] if batch else []
+    group = [clean.strip(F.coalesce(batch, F.lit(""))).alias("_batch")] if batch else []
     cells = df.groupBy(*key, *group).agg(F.count(F.lit(1)).alias("n"))
     per_key = cells.groupBy(*key).agg(F.sum("n").alias("n"), *([F.min("_batch").alias("lo"), F.max("_batch").alias("hi")] if batch else []))
     totals = per_key.agg(

@@ -22,13 +22,13 @@ FAIL_CEILING = 69.99
 
 def expected_points(points: DataFrame) -> DataFrame:
     return points.where(clean.is_active(F.col("is_active"))).select(
-        F.trim("point_id").alias("point_id")
+        clean.strip("point_id").alias("point_id")
     )
 
 
 def point_hours(readings: DataFrame, batch: str) -> DataFrame:
     """Distinct (batch, point, time) with row counts; points keep their blank id."""
-    return readings.groupBy(batch, F.trim("point_id").alias("point_id"), "forecast_time").agg(
+    return readings.groupBy(batch, clean.strip("point_id").alias("point_id"), "forecast_time").agg(
         F.count(F.lit(1)).alias("row_count")
     )
 
@@ -90,8 +90,8 @@ def _identity_facts(readings: DataFrame, batch: str, source: str) -> DataFrame:
     """
     combos = readings.groupBy(
         batch,
-        F.nullif(F.trim("batch_id"), F.lit("")).alias("_id"),
-        F.nullif(F.lower(F.trim("source")), F.lit("")).alias("_source"),
+        F.nullif(clean.strip("batch_id"), F.lit("")).alias("_id"),
+        F.nullif(F.lower(clean.strip("source")), F.lit("")).alias("_source"),
     ).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("forecast_time").alias("first_time"),

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions import clean
 from skyledger.functions.clean import is_active
 from skyledger.operators.ranking import keep_first
 
@@ -61,10 +62,10 @@ def missing_keys(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 def orphan_points(points: DataFrame, locations: DataFrame) -> DataFrame:
     """Active points whose location is not active or not there."""
     active = locations.where(is_active(F.col("is_active")))
-    home = active.select(F.trim("location_id").alias("_location_id"))
+    home = active.select(clean.strip("location_id").alias("_location_id"))
     return (
         points.where(is_active(F.col("is_active")))
-        .withColumn("_location_id", F.trim("location_id"))
+        .withColumn("_location_id", clean.strip("location_id"))
         .join(home, "_location_id", "left_anti")
         .drop("_location_id")
     )
@@ -77,7 +78,7 @@ def difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Dat
 
 def coverage(present: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Full comparison of two id sets: MISSING, UNEXPECTED or PRESENT."""
-    have = present.select(key).where(F.trim(F.col(key)) != "").distinct().withColumn("_have", F.lit(1))
+    have = present.select(key).where(clean.strip(F.col(key)) != "").distinct().withColumn("_have", F.lit(1))
     want = expected.select(key).distinct().withColumn("_want", F.lit(1))
     state = (
         F.when(F.col("_have").isNull(), "MISSING")

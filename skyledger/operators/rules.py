@@ -47,16 +47,16 @@ def _outside(value: Column, low: float, high: float) -> Column:
 def with_dimensions(df: DataFrame, points: DataFrame, locations: DataFrame) -> DataFrame:
     """Attach what the active dimensions say about the row's point and location."""
     point = points.where(clean.is_active(F.col("is_active"))).select(
-        F.trim("point_id").alias("_point_key"),
-        F.trim("location_id").alias("_home_location"),
+        clean.strip("point_id").alias("_point_key"),
+        clean.strip("location_id").alias("_home_location"),
         F.col("latitude").alias("_home_latitude"),
         F.col("longitude").alias("_home_longitude"),
     )
     location = locations.where(clean.is_active(F.col("is_active"))).select(
-        F.trim("location_id").alias("_location_key")
+        clean.strip("location_id").alias("_location_key")
     )
-    return df.join(point, F.trim(df["point_id"]) == point["_point_key"], "left").join(
-        location, F.trim(df["location_id"]) == location["_location_key"], "left"
+    return df.join(point, clean.strip(df["point_id"]) == point["_point_key"], "left").join(
+        location, clean.strip(df["location_id"]) == location["_location_key"], "left"
     )
 
 
@@ -102,7 +102,7 @@ def reading_rules(
             )
         )
     latitude, longitude = number_of(df, "latitude"), number_of(df, "longitude")
-    location = F.trim("location_id")
+    location = clean.strip("location_id")
     home = F.col("_home_location")
     far = (F.abs(latitude - F.col("_home_latitude")) > tolerance) | (
         F.abs(longitude - F.col("_home_longitude")) > tolerance
@@ -113,7 +113,7 @@ def reading_rules(
         Rule(
             f"SOURCE_{source.upper()}",
             f"source must be {source}",
-            ~F.lower(F.trim("source")).eqNullSafe(F.lit(source)),
+            ~F.lower(clean.strip("source")).eqNullSafe(F.lit(source)),
         ),
         Rule(
             "UNIQUE_LOGICAL_KEY",
@@ -142,7 +142,7 @@ def reading_rules(
             Rule(
                 "BATCH_ID_MATCH",
                 "batch_id must be the id of its batch",
-                ~F.trim("batch_id").eqNullSafe(F.trim(F.col(batch))),
+                ~clean.strip("batch_id").eqNullSafe(clean.strip(F.col(batch))),
             )
         )
     return rules

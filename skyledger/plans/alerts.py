@@ -20,15 +20,15 @@ def derive(facts: DataFrame, as_of: Column) -> DataFrame:
     """
     index = F.col("us_aqi")
     return facts.where(index >= ALERT_FLOOR).select(
-        F.trim("point_id").alias("point_id"),
-        F.trim("location_id").alias("location_id"),
+        clean.strip("point_id").alias("point_id"),
+        clean.strip("location_id").alias("location_id"),
         F.col("forecast_time").alias("alert_time"),
         index.alias("aqi_value"),
         bands.local_level(index).alias("aqi_level"),
         bands.alert_severity(index).alias("severity"),
-        bands.alert_message(F.trim("point_id"), F.trim("location_id"), index).alias("message"),
+        bands.alert_message(clean.strip("point_id"), clean.strip("location_id"), index).alias("message"),
         F.lit("OPEN").alias("status"),
-        F.trim("source").alias("source"),
+        clean.strip("source").alias("source"),
         as_of.alias("created_at"),
     )
 
@@ -51,7 +51,7 @@ def counts(facts: DataFrame) -> DataFrame:
 def precheck(facts: DataFrame, source: str) -> DataFrame:
     """What would stop an alert run: (code, field, invalid_count)."""
     checks = [("BLANK", c, clean.is_blank(F.col(c))) for c in ("point_id", "location_id", "source")]
-    checks.append(("WRONG_SOURCE", "source", ~F.trim("source").eqNullSafe(F.lit(source))))
+    checks.append(("WRONG_SOURCE", "source", ~clean.strip("source").eqNullSafe(F.lit(source))))
     checks.append(("NOT_CLASSIFIABLE", "us_aqi", bands.classification_error(F.col("us_aqi")).isNotNull()))
     return count_conditions(facts, checks).union(repeated_rows(facts, LOGICAL_KEY, "DUPLICATE_KEY"))
 

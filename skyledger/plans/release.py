@@ -82,7 +82,7 @@ def history_payloads(daily: DataFrame, points: DataFrame) -> DataFrame:
 
 def safe_identifiers(rows: DataFrame, key: str) -> DataFrame:
     """Distinct ids and whether each may name a file."""
-    ids = rows.select(F.trim(key).alias(key)).distinct()
+    ids = rows.select(clean.strip(key).alias(key)).distinct()
     return ids.withColumn("is_safe", clean.is_safe_identifier(F.col(key))).orderBy(key)
 
 

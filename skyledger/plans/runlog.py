@@ -102,10 +102,10 @@ def check_log_rows(summaries: DataFrame) -> DataFrame:
     return checks.where(~clean.is_blank(F.col("check_name"))).select(
         F.concat_ws(":", "batch_id", F.lit("data_quality")).alias("run_id"),
         "batch_id",
-        F.trim("check_name").alias("check_name"),
+        clean.strip("check_name").alias("check_name"),
         F.upper(clean.text_or(F.col("status"), F.lit("UNKNOWN"))).alias("status"),
         clean.to_integer(F.col("bad_records_count")).alias("bad_records_count"),
-        F.coalesce(F.trim("message"), F.lit("")).alias("message"),
+        F.coalesce(clean.strip("message"), F.lit("")).alias("message"),
         "checked_at",
         "summary_object_name",
     )
@@ -114,7 +114,7 @@ def check_log_rows(summaries: DataFrame) -> DataFrame:
 def loadable(summaries: DataFrame, stage: str, payload: str) -> DataFrame:
     """Summaries of a stage that a later stage may work on."""
     df = fields(summaries.where(F.col("stage") == stage))
-    status = F.upper(F.trim(_field("status")))
+    status = F.upper(clean.strip(_field("status")))
     return df.where(status.isin(*LOADABLE) & (clean.to_integer(_field(payload)) > 0))
 
 
@@ -125,7 +125,7 @@ def latest_loadable_batch(summaries: DataFrame, stage: str, payload: str) -> Dat
     )
     return (
         loadable(summaries, stage, payload)
-        .select("batch_id", "object_name", F.upper(F.trim(_field("status"))).alias("status"), moment.alias("moment"))
+        .select("batch_id", "object_name", F.upper(clean.strip(_field("status"))).alias("status"), moment.alias("moment"))
         .orderBy(F.col("moment").desc_nulls_last(), F.col("object_name").desc())
         .limit(1)
     )
@@ -150,7 +150,7 @@ def latest_valid_mart(summaries: DataFrame) -> DataFrame:
     """The mart summary a reader trusts: last path first, first that is valid."""
     df = fields(summaries.where(F.col("stage") == "mart"))
     counts = ("current_aqi_rows", "location_summary_rows", "daily_summary_rows")
-    valid = (F.upper(F.trim(_field("status"))) == "SUCCESS") & ~clean.is_blank(_field("batch_id"))
+    valid = (F.upper(clean.strip(_field("status"))) == "SUCCESS") & ~clean.is_blank(_field("batch_id"))
     valid = valid & F.contains(F.col("object_name"), F.concat(F.lit("/batch_id="), _field("batch_id"), F.lit("/")))
     for name in counts:
         valid = valid & F.coalesce(_field(name).try_cast("bigint") >= 0, F.lit(False))
@@ -180,7 +180,7 @@ def stage_chain(summaries: DataFrame) -> DataFrame:
     def stage(name: str) -> DataFrame:
         return df.where(F.col("stage") == name).select(
             F.col("object_name").alias(f"{name}_object"),
-            F.trim(_field("batch_id")).alias(f"{name}_batch"),
+            clean.strip(_field("batch_id")).alias(f"{name}_batch"),
             "fields",
         )
 
@@ -194,7 +194,7 @@ def stage_chain(summaries: DataFrame) -> DataFrame:
     chain = chain.drop("fields")
     for side in ("alerts", "mart"):
         ids = df.where(F.col("stage") == side).select(
-            F.col("batch_id").alias("load_timescaledb_batch"), F.trim(_field("batch_id")).alias(f"{side}_batch")
+            F.col("batch_id").alias("load_timescaledb_batch"), clean.strip(_field("batch_id")).alias(f"{side}_batch")
         )
         chain = chain.join(ids, "load_timescaledb_batch", "left")
     batch = F.col("load_timescaledb_batch")

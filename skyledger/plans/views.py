@@ -76,8 +76,8 @@ def location_summary(nearest: DataFrame) -> DataFrame:
     """Per location from its nearest rows; unlike the mart, the level follows the average."""
     named = with_columns_present(nearest, {"location_name": "string", "nitrogen_dioxide": "double"})
     rows = named.where(~clean.is_blank(F.col("location_id")))
-    name = F.nullif(F.trim("location_name"), F.lit(""))
-    summary = rows.groupBy(F.trim("location_id").alias("location_id")).agg(
+    name = F.nullif(clean.strip("location_name"), F.lit(""))
+    summary = rows.groupBy(clean.strip("location_id").alias("location_id")).agg(
         F.min_by(name, F.when(name.isNotNull(), F.col("point_id"))).alias("location_name"),
         mean(F.col("latitude")).alias("latitude"),
         mean(F.col("longitude")).alias("longitude"),
@@ -231,19 +231,23 @@ def available_hours(readings: DataFrame, time: str = "forecast_time", default: i
 
 
 def time_range(readings: DataFrame, as_of: Column, hours: int, time: str = "forecast_time") -> DataFrame:
-    """From one hour before ``as_of`` on; if nothing is there, the last hours of the data."""
-    when = F.col(time)
+    """From one hour before ``as_of`` on; if nothing is there, the last hours of the data.
+
+    Both bounds come from one scalar subquery over the table, so no job has to
+    look first whether the range is empty.
+    """
     start = as_of - F.make_dt_interval(hours=F.lit(1))
     end = as_of + F.make_dt_interval(hours=F.lit(hours))
-    inside = when.between(start, end)
-    bounds = readings.agg(F.count_if(inside).alias("n"), F.max(time).alias("latest"))
-    low = bounds.select(
-        F.when(F.col("n") > 0, start).otherwise(
-            F.col("latest") - F.make_dt_interval(hours=F.lit(max(hours - 1, 0)))
-        )
-    ).scalar()
-    high = bounds.select(F.when(F.col("n") > 0, end).otherwise(F.col("latest"))).scalar()
-    return readings.where((when >= low) & (when <= high))
+    fallback = F.col("latest") - F.make_dt_interval(hours=F.lit(max(hours - 1, 0)))
+    bounds = readings.agg(
+        F.count_if(F.col(time).between(start, end)).alias("n"), F.max(time).alias("latest")
+    ).select(
+        F.when(F.col("n") > 0, F.struct(start.alias("low"), end.alias("high")))
+        .otherwise(F.struct(fallback.alias("low"), F.col("latest").alias("high")))
+        .alias("bounds")
+    )
+    found = bounds.scalar()
+    return readings.where((F.col(time) >= found["low"]) & (F.col(time) <= found["high"]))
 
 
 def history_days(

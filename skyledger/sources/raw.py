@@ -56,12 +56,12 @@ def point_field(name: str) -> Column:
 
 
 def point_metadata() -> list[Column]:
-    point_id = F.trim(point_field("point_id"))
+    point_id = clean.strip(point_field("point_id"))
     return [
         point_id.alias("point_id"),
-        F.trim(point_field("location_id")).alias("location_id"),
-        F.coalesce(F.trim(point_field("point_name")), point_id).alias("point_name"),
-        F.coalesce(F.trim(point_field("point_type")), F.lit("unknown")).alias("point_type"),
+        clean.strip(point_field("location_id")).alias("location_id"),
+        F.coalesce(clean.strip(point_field("point_name")), point_id).alias("point_name"),
+        F.coalesce(clean.strip(point_field("point_type")), F.lit("unknown")).alias("point_type"),
         point_field("latitude").alias("latitude"),
         point_field("longitude").alias("longitude"),
     ]
@@ -81,7 +81,7 @@ def with_failure(raw: DataFrame, source: str) -> DataFrame:
     df = raw.select(
         "batch_id",
         F.coalesce("source", F.lit(source)).alias("source"),
-        F.trim(F.coalesce("schema_version", F.lit(SCHEMA_VERSION))).alias("schema_version"),
+        clean.strip(F.coalesce("schema_version", F.lit(SCHEMA_VERSION))).alias("schema_version"),
         "extracted_at",
         locate_hourly().alias("hourly"),
         *point_metadata(),
@@ -100,7 +100,7 @@ def with_failure(raw: DataFrame, source: str) -> DataFrame:
     coordinates = F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
     failure = (
         F.when(clean.is_blank(F.col("batch_id")), "BLANK_BATCH_ID")
-        .when(F.trim("source") != source, "WRONG_SOURCE")
+        .when(clean.strip("source") != source, "WRONG_SOURCE")
         .when(~clean.has_offset(F.col("extracted_at")), "BAD_EXTRACTED_AT")
         .when(clean.is_blank(F.col("point_id")), "BLANK_POINT_ID")
         .when(clean.is_blank(F.col("location_id")), "BLANK_LOCATION_ID")
