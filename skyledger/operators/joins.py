@@ -24,13 +24,27 @@ def distinct_dimension(dimension: DataFrame, key: str, load_order: str | None) -
     return keep_first(dimension, [key], [F.col(load_order).desc_nulls_last()])
 
 
+def unique_dimension(dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The dimension for a many-to-one join; a repeated id stops the job."""
+    counted = dimension.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.min(c).alias(c) for c in columns]
+    )
+    repeated = F.concat(F.lit(f"{key} is not unique: "), F.col(key))
+    checked = {
+        c: F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(c)) for c in columns
+    }
+    return counted.withColumns(checked).drop("_rows")
+
+
 def enrich_locations(
     readings: DataFrame, locations: DataFrame, load_order: str | None = None
 ) -> DataFrame:
-    """Add location name and region; readings of unknown locations stay."""
-    names = distinct_dimension(locations, "location_id", load_order).select(
-        "location_id", "location_name", "region"
-    )
+    """Add location name and region; readings of unknown locations stay.
+
+    Ids must be unique, unless ``load_order`` says which row is the last.
+    """
+    last = distinct_dimension(locations, "location_id", load_order)
+    names = unique_dimension(last, "location_id", ["location_name", "region"])
     return readings.drop("location_name", "region").join(names, "location_id", "left")
 
 

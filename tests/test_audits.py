@@ -90,3 +90,11 @@ def test_dataset_audit_of_mixed_batches_and_empty_table(spark):
     two = F.lit(2).cast("bigint")
     assert audits.dataset_audit(df, "current", ["point_id"], two, "batch").first().is_valid is False
     assert audits.dataset_audit(df.limit(0), "current", ["point_id"], F.lit(0).cast("bigint"), "batch").first().is_valid is False
+
+
+def test_repeated_location_stops_the_enrichment(spark):
+    twice = locations(spark).union(locations(spark).limit(1))
+    with pytest.raises(Exception, match="not unique: L1"):
+        joins.enrich_locations(frame(spark, batch()), twice).collect()
+    ordered = twice.withColumn("line", F.monotonically_increasing_id())
+    assert joins.enrich_locations(frame(spark, batch()), ordered, "line").count() == 6
