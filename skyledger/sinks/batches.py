@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from skyledger.functions.time import partition_date, partition_hour
 from skyledger.sinks.files import delete_folder, exists

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.bands import level_code, local_level
 from skyledger.operators.ranking import latest_wins
-from skyledger.schema import AQI_COLUMNS, LOGICAL_KEY, POLLUTANTS, SCHEMA_VERSION
+from skyledger.plans.alerts import derive
+from skyledger.schema import AQI_COLUMNS, LOGICAL_KEY, POINT_COLUMNS, POLLUTANTS, SCHEMA_VERSION
 
 SOURCE = "sensor_feed"
 # Measure as a multiple of the event value.
@@ -198,8 +199,6 @@ def check_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Alerts of an earlier run, when the index read a little higher."""
-    from skyledger.plans.alerts import derive
-
     row = F.col("reading_id")
     earlier = facts(spark, folder).withColumn("us_aqi", F.col("us_aqi") + (row % 40).cast("int"))
     found = derive(
@@ -229,7 +228,7 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.when(k % 5 == 1, utc).otherwise(local).alias("time"),
         *[F.col(c).cast("double").alias(c) for c in measures],
     )
-    grouped = hours.groupBy("batch_id", "key", *_POINT_NAMES).agg(
+    grouped = hours.groupBy("batch_id", "key", *POINT_COLUMNS).agg(
         F.sort_array(F.collect_list(entry)).alias("h"), F.max("ingested_at").alias("extracted")
     )
 
@@ -281,7 +280,6 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_POINT_NAMES = ("point_id", "location_id", "point_name", "point_type", "latitude", "longitude")
 
 
 def stage_summaries(spark: SparkSession, folder: str) -> DataFrame:
