@@ -65,11 +65,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     )
 
 
-def copies(rate: Column, seed: int) -> Column:
-    """floor(rate), and one more if the row's hash falls below the fraction."""
+def draw(seed: int) -> Column:
+    """A number from 0 to 1 that only the row's id, its text and the seed decide."""
     named = F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), "text")
-    draw = F.conv(F.substring(F.md5(named.cast("binary")), 1, 10), 16, 10).cast("double") / F.lit(float(1 << 40))
-    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 10), 16, 10).cast("double") / F.lit(float(1 << 40))
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 0) -> DataFrame:
@@ -78,14 +77,16 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = M
     Sums are taken map-side first, so a hot source sends one row per task. Spark
     broadcasts the per-source table if it is small and else splits a skewed join.
     """
-    sized = docs.withColumn("size", n_words("text"))
+    rate = F.col("_rate")
+    # Drawn before the join, so that a query without texts does not move them.
+    sized = docs.withColumn("size", n_words("text")).withColumn("_draw", draw(seed))
     goals = targets(sized.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source")
     own = [c for c in sized.columns if c not in ("source_size", "target", "copies", "_rate", "_source")]
     return (
         sized.select(*own)
         .join(goals, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .withColumn("copies", copies(F.col("_rate"), seed))
-        .drop("_rate", "_source")
+        .withColumn("copies", (F.floor(rate) + (F.col("_draw") < rate - F.floor(rate)).cast("long")).cast("long"))
+        .drop("_rate", "_source", "_draw")
     )
 
 

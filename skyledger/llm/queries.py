@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import fingerprints, mixing, packing, pii, sharding
+from skyledger.llm import fingerprints, mixing, packing, pii, sharding, toxicity
 from skyledger.llm.common import table
 
 
@@ -43,10 +43,18 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    chain = toxicity.fit(docs, labels, toxicity.CATEGORIES)
+    flagged = toxicity.scored(docs.select("doc_id", "text"), chain)
+    return flagged.select("doc_id", F.col("is_toxic").alias("toxic"), "p_toxic", "p_low_quality")
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
+    "op10_toxicity": op10_toxicity,
 }

@@ -71,7 +71,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     if not total:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     ranges = shards * FINE
-    ranged = rows.withColumn("range", search_sorted(splitters(rows, total, ranges), F.col("key")))
+    ranged = cut(rows.withColumn("range", search_sorted(splitters(rows, total, ranges), F.col("key"))))
 
     # Overfull ranges: at most ranges / OVERFULL of them, each with PIECES - 1 boundaries.
     full = ranged.groupBy("range").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > OVERFULL * total / ranges)
