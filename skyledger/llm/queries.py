@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import fingerprints, mixing, packing, pii, sharding, toxicity
+from skyledger.llm import fingerprints, jaccard, mixing, packing, pii, sharding, toxicity
 from skyledger.llm.common import table
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(table(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -51,6 +55,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_packing": op3_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op6_mixing": op6_mixing,

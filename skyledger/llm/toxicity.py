@@ -40,6 +40,8 @@ FOLDS = 4
 LEAST_POSITIVES = 10
 #: Strength of the quadratic penalty, steps of the fit, entries a counting task holds.
 PENALTY, STEPS, HELD = 1e-4, 250, 300_000
+#: A threshold lies between these: models of few folds' rows are less sure than the final one.
+THRESHOLDS = (0.4, 0.6)
 PREFIXES = (4, 5, 6)
 SURFACE = 6
 WORDS = re.compile(r"[^\W\d_]+")
@@ -171,7 +173,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     at = int(np.argmax(scores))
     above = p[order][at]
     below = p[order][at + 1] if at + 1 < len(p) else 0.0
-    return float((above + below) / 2)
+    return float(np.clip((above + below) / 2, *THRESHOLDS))
 
 
 class Chain:
