@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import fingerprints, jaccard, mixing, packing, pii, sharding, toxicity
+from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pii, sharding, toxicity
 from skyledger.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edits(table(spark, folder, "documents"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near(table(spark, folder, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(table(spark, folder, "documents"))
     return planned.select(
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_packing": op3_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
