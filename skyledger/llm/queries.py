@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pii, sharding, toxicity
+from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pages, pii, sharding, toxicity
 from skyledger.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     chain = toxicity.fit(docs, labels, toxicity.CATEGORIES)
@@ -66,5 +70,6 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
+    "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
 }
