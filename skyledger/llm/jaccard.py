@@ -18,8 +18,12 @@ How the groups come about and which sets meet which groups:
 * A set then queries the groups of other classes with which it shares a prefix
   token. The bound decides which groups are opened and compared member by member.
 
-So every linked pair is either within a class or compared, and the components are
-exact, up to collisions of 64-bit hashes.
+Before token sets are moved, pairs are thinned by an exact bound: every set has a
+row of ``SIGN_BITS`` parity bits, and two sets differ in at least as many tokens as
+their rows differ in bits.
+
+So every linked pair is either within a class, compared, or ruled out by a bound,
+and the components are exact, up to collisions of 64-bit hashes.
 
 Defined cases: null and empty texts have an empty set and link with nothing; a
 text of one to four words is one shingle; repeated rows are documents with equal
@@ -49,6 +53,8 @@ GROUP, QUERIES_A_TASK = 64, 256
 HOT_LEAST, HOT_MOST = 8, 1 << 18
 #: Tokens counted together in one task, about.
 COUNTED = 1 << 22
+#: Parity bits of a set.
+SIGN_BITS = 2048
 #: Bits of the filter that keeps texts without candidates from being moved.
 FILTER_BITS = 1 << 26
 
@@ -100,21 +106,44 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mixed(np.array([total + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Each token flips one bit."""
+    flips = np.bincount((tokens & np.uint64(SIGN_BITS - 1)).astype(np.int64), minlength=SIGN_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(sizes: np.ndarray, bits: np.ndarray, n: int, own: np.ndarray) -> np.ndarray:
+    """Which sets (rows of 64-bit words) the sizes and parity bits do not rule out for one set.
+
+    Linked sets differ in at most (n + m) * (100 - PERCENT) / (100 + PERCENT) tokens.
+    """
+    apart = np.bitwise_count(bits ^ own).sum(1, dtype=np.int64)
+    near_size = 100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n)
+    return near_size & (apart * (100 + PERCENT) <= (sizes + n) * (100 - PERCENT))
+
+
+def words64(packs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(packs), np.uint64).reshape(-1, SIGN_BITS // 64)
+
+
 def set_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, n (tokens of the set) and k (the set's key, null for an empty set)."""
+    """doc_id, n (tokens of the set), k (the set's key, null for an empty set) and its parity bits."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, bits = [], [], []
             for _, tokens in batch_sets(batch):
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens) if len(tokens) else None)
+                bits.append(parity(tokens))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
-                names=["doc_id", "n", "k"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())],
+                names=["doc_id", "n", "k", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(keyed, "doc_id long, n long, k long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        keyed, "doc_id long, n long, k long, bits binary"
+    )
 
 
 def short_names(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -239,10 +268,9 @@ def some_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def token_table(docs: DataFrame, sets: DataFrame, posts: DataFrame) -> DataFrame:
-    """(k, n, tokens) of every set that has a posting, from its least document."""
-    least = sets.where("k IS NOT NULL").groupBy("k").agg(F.min("doc_id").alias("_id"))
-    wanted = least.join(posts.select("k").distinct(), "k", "left_semi")
+def token_table(docs: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k, n, tokens) of the wanted sets, each from its least document."""
+    wanted = distinct.join(wanted.select("k").distinct(), "k", "left_semi").select("k", F.col("least").alias("_id"))
     texts = some_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted.select(F.col("_id").alias("doc_id")))
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("k", "text")
 
@@ -285,8 +313,8 @@ def near(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
-def class_links(posts: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links (a, b) of sets with the most typical set of each of their tokens."""
+def typical_pairs(posts: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Pairs (k, top) of sets with the most typical set of each of their tokens that no bound rules out."""
     typical = posts.groupBy("token").agg(F.max(F.struct("typical", "n", "k")).alias("_top"))
     pairs = (
         posts.join(typical, "token")
@@ -296,6 +324,21 @@ def class_links(posts: DataFrame, tokens: DataFrame) -> DataFrame:
         .select("k", "top")
         .distinct()
     )
+    own = distinct.select("k", "n", "bits")
+    other = distinct.select(F.col("k").alias("top"), F.col("n").alias("top_n"), F.col("bits").alias("top_bits"))
+
+    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, tops = (batch.column(c).to_numpy() for c in ("n", "top_n"))
+            left, right = (words64(batch.column(c).to_pylist()) for c in ("bits", "top_bits"))
+            good = may_link(sizes, left, tops, right)
+            yield batch.select(["k", "top"]).filter(pa.array(good))
+
+    return pairs.join(own, "k").join(other, "top").mapInArrow(thinned, "k long, top long")
+
+
+def class_links(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The linked ones (a, b) of the pairs (k, top)."""
     own = tokens.select("k", F.col("tokens").alias("x"))
     other = tokens.select(F.col("k").alias("top"), F.col("tokens").alias("y"))
 
@@ -309,7 +352,45 @@ def class_links(posts: DataFrame, tokens: DataFrame) -> DataFrame:
     return pairs.join(own, "k").join(other, "top").mapInArrow(verified, "a long, b long")
 
 
-def matrix_links(posts: DataFrame, tokens: DataFrame, classes: DataFrame) -> DataFrame:
+def met(members: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
+    """``work(members, queries)`` for each group (c, g) and chunk of the sets that query it."""
+    tasks = queries.groupBy("c", "g").agg(F.ceil(F.count("*") / F.lit(QUERIES_A_TASK)).cast("int").alias("tasks"))
+    salt = F.pmod(F.xxhash64("k", F.lit(1)), F.col("tasks")).cast("int")
+    asked = queries.join(tasks, ["c", "g"]).withColumn("tasks", salt)
+    asked = asked.toDF(*[f"q_{c}" for c in asked.columns])
+    every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))
+    members = members.join(tasks, ["c", "g"]).withColumn("tasks", every)
+    both = members.groupBy("c", "g", "tasks").cogroup(asked.groupBy("q_c", "q_g", "q_tasks"))
+    return both.applyInArrow(work, schema)
+
+
+def open_groups(group: pa.Table, asking: pa.Table) -> pa.Table:
+    """Queries (k, c, g) that sizes and parity bits of some member do not rule out."""
+    bits, sizes = words64(group.column("bits").to_pylist()), group.column("n").to_numpy()
+    own = words64(asking.column("q_bits").to_pylist())
+    good = [bool(may_link(sizes, bits, n, b).any()) for n, b in zip(asking.column("q_n").to_pylist(), own)]
+    return asking.select(["q_k", "q_c", "q_g"]).rename_columns(["k", "c", "g"]).filter(pa.array(good, pa.bool_()))
+
+
+def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
+    """Links of the queries that hold enough of the group's token union; one link each.
+
+    The members are one class already: the first link joins the query to all.
+    """
+    found = []
+    unpack = lambda column: [np.frombuffer(t.as_py(), np.uint64) for t in column]
+    held, names = unpack(group.column("tokens")), group.column("k").to_pylist()
+    union = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+    for key, query in zip(asking.column("q_k").to_pylist(), unpack(asking.column("q_tokens"))):
+        if 100 * common(query, union) < PERCENT * len(query):
+            continue
+        first = next((name for name, tokens in zip(names, held) if links(query, tokens)), None)
+        if first is not None:
+            found.append((key, first))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def matrix_links(posts: DataFrame, docs: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) between sets of different classes, by way of the token-group matrix."""
     posts = posts.join(classes.select(F.col("node").alias("k"), "root"), "k", "left").withColumn(
         "c", F.coalesce("root", "k")
@@ -333,50 +414,28 @@ def matrix_links(posts: DataFrame, tokens: DataFrame, classes: DataFrame) -> Dat
         .select("k", "c", "g")
         .distinct()
     )
-    queries = cut(queries)
-    tasks = queries.groupBy("c", "g").agg(F.ceil(F.count("*") / F.lit(QUERIES_A_TASK)).cast("int").alias("tasks"))
-    salted = queries.join(tasks, ["c", "g"]).withColumn("salt", F.pmod(F.xxhash64("k", F.lit(1)), F.col("tasks")).cast("int"))
-    asked = salted.join(tokens, "k").select("c", "g", "salt", "k", "tokens")
-    members = (
-        posts.select("c", "g", "k")
-        .distinct()
-        .join(tasks, ["c", "g"])
-        .join(tokens, "k")
-        .select("c", "g", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"), "k", "tokens")
-    )
-
-    def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
-        found = []
-        unpack = lambda column: [np.frombuffer(t.as_py(), np.uint64) for t in column]
-        held, names = unpack(group.column("tokens")), group.column("k").to_pylist()
-        union = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-        for key, query in zip(asking.column("q").to_pylist(), unpack(asking.column("asked"))):
-            if 100 * common(query, union) < PERCENT * len(query):
-                continue
-            # The members are one class already: the first link joins the query to all.
-            first = next((name for name, tokens in zip(names, held) if links(query, tokens)), None)
-            if first is not None:
-                found.append((key, first))
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    members = members.toDF("mc", "mg", "ms", "k", "tokens")
-    asked = asked.toDF("qc", "qg", "qs", "q", "asked")
-    both = members.groupBy("mc", "mg", "ms").cogroup(asked.groupBy("qc", "qg", "qs"))
-    return both.applyInArrow(opened, "a long, b long")
+    grouped = posts.select("c", "g", "k").distinct()
+    bits = distinct.select("k", "n", "bits")
+    asked = cut(met(grouped.join(bits, "k"), queries.join(bits, "k"), open_groups, "k long, c long, g int"))
+    held = grouped.join(asked.select("c", "g").distinct(), ["c", "g"], "left_semi")
+    tokens = cut(token_table(docs, distinct, asked.select("k").union(held.select("k"))))
+    return met(held.join(tokens, "k"), asked.join(tokens, "k"), opened, "a long, b long")
 
 
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     sets = cut(set_keys(docs))
     total = sets.agg(F.sum("n")).first()[0] or 0
+    least = F.min("doc_id").alias("least")
+    distinct = sets.where("k IS NOT NULL").groupBy("k").agg(least, F.first("n").alias("n"), F.first("bits").alias("bits"))
     posts = cut(postings(docs, frequent(docs, total)))
-    tokens = cut(token_table(docs, sets, posts))
-    classes = cut(components(cut(class_links(posts, tokens))))
-    between = matrix_links(posts, tokens, classes)
+    pairs = cut(typical_pairs(posts, distinct))
+    tokens = cut(token_table(docs, distinct, pairs.select("k").union(pairs.select("top"))))
+    classes = cut(components(class_links(pairs, tokens)))
+    between = matrix_links(posts, docs, distinct, classes)
     stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
     found = components(cut(stars.unionByName(between)))
-    least = sets.where("k IS NOT NULL").groupBy("k").agg(F.min("doc_id").alias("_least"))
-    rooted = least.join(found, F.col("k") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "k"))
+    rooted = distinct.select("k", F.col("least").alias("_least")).join(found, F.col("k") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "k"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     members = rooted.select("k", "_root").join(named, "_root").select(F.col("k").alias("_k"), "component_id")
     return sets.join(members, F.col("k") == F.col("_k"), "left").select(
