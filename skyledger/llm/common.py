@@ -48,7 +48,11 @@ def n_words(text: str) -> Column:
 
 
 def search_sorted(splits: list[int], value: Column) -> Column:
-    """Number of ``splits`` (ascending) that are at most ``value``, by binary search."""
+    """Number of ``splits`` (ascending) that are at most ``value``, by binary search.
+
+    The value travels in the accumulator. As a name in the lambda's body it would be
+    hidden from the optimizer, which would then derive filters that cannot know it.
+    """
     if not splits:
         return F.lit(0)
     steps, step = [], 1 << (len(splits).bit_length() - 1)
@@ -56,13 +60,14 @@ def search_sorted(splits: list[int], value: Column) -> Column:
         steps.append(step)
         step >>= 1
     ordered = F.array(*[F.lit(s) for s in splits])
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= len(splits)) & (F.get(ordered, at + step - 1) <= value), at + step
-        ).otherwise(at),
-    )
+
+    def further(found: Column, step: Column) -> Column:
+        at = found["at"]
+        more = (at + step <= len(splits)) & (F.get(ordered, at + step - 1) <= found["value"])
+        return F.struct(F.when(more, at + step).otherwise(at).alias("at"), found["value"].alias("value"))
+
+    start = F.struct(F.lit(0).alias("at"), value.alias("value"))
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, further, lambda found: found["at"])
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -84,7 +84,8 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     pieced = ranged.join(F.broadcast(cuts), "range", "left").withColumn(
         "piece",
         F.when(F.col("splits").isNull() | F.col("doc_id").isNull(), 0).otherwise(
-            F.size(F.filter("splits", lambda s: s <= F.col("doc_id")))
+            # The splits before the id: where it would stand among them.
+            F.array_position(F.array_sort(F.array_append("splits", F.col("doc_id"))), F.col("doc_id")) - 1
         ),
     )
     pieced = pieced.drop("splits")
