@@ -31,10 +31,21 @@ TOKENIZER = "word_bpe_49k.json"
 #: Dimensions of the hashed vector and bits of each on the curve.
 DIMENSIONS, BITS = 4, 12
 #: Distinct words whose ids a Python worker remembers at most.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 500_000
 
-# White space of the tokenizer's pattern; str.split() knows four signs more.
-MORE_SPACE = re.compile("[\x1c-\x1f]")
+# ASCII, Latin letters and common signs: the same letters, spaces and normal form to Python and the tokenizer.
+PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7e\\xa0\\xab\\xbb\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017e\\u2013-\\u2026\\u20ac]*")
+# The tokenizer's pattern for lower-case texts of such signs.
+PARTS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+")
+
+
+def byte_signs() -> dict[int, int]:
+    """The sign by which a byte-level vocabulary spells each byte that is no visible sign itself."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {byte: 256 + place for place, byte in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTE_SIGNS = byte_signs()
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -49,11 +60,29 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+class Words(dict):
+    """Ids of a word as 16-bit little-endian numbers, made at its first use."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        spelled = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+        ids = np.array([token.id for token in self.model.tokenize(spelled)], "<u2").tobytes()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
-    """Ids of whole texts, word by word; the tokenizer never joins what white space parts.
+    """Ids of whole texts.
 
-    Only words not seen before go to the tokenizer. What it remembers is dropped
-    when full, so the memory of a worker is bounded.
+    Texts of plain signs (nearly all of a corpus in Latin script) are parted into
+    words as the tokenizer would, and only words not seen before go to its model.
+    Any other text goes to the tokenizer whole. What is remembered is dropped when
+    full, so the memory of a worker is bounded.
     """
 
     _made: dict[str, "Encoder"] = {}
@@ -65,7 +94,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
-        self.known: dict[str, bytes] = {}
+        self.words = Words(self.tokenizer.model)
 
     @classmethod
     def at(cls, path: str) -> "Encoder":
@@ -73,35 +102,26 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def whole(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
+        """Ids as 16-bit little-endian numbers, without the end token."""
+        if PLAIN.fullmatch(text):
+            return b"".join(map(self.words.__getitem__, PARTS.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids as 16-bit little-endian numbers, without the end token."""
-        parts = [None if MORE_SPACE.search(text) else text.split() for text in texts]
-        known = self.known
-        new = {word for words in parts if words for word in words if word not in known}
-        if len(known) + len(new) > WORDS_KEPT:
-            known.clear()
-            new = {word for words in parts if words for word in words}
-        words = list(new)
-        for encoding, word in zip(self.tokenizer.encode_batch_fast(words, add_special_tokens=False), words):
-            known[word] = np.array(encoding.ids, "<u2").tobytes()
-        return [
-            self.whole(text) if words is None else b"".join(map(known.__getitem__, words))
-            for text, words in zip(texts, parts)
-        ]
+
+def hash_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Dimension and sign of every id."""
+    hashes = mixed(np.arange(1 << 16) + 1)
+    place = ((hashes & np.uint64(0xFFFF)) % np.uint64(DIMENSIONS)).astype(np.int64)
+    return place, 1.0 - 2.0 * ((hashes >> np.uint64(20)) & np.uint64(1)).astype(np.float64)
+
+
+PLACE, SIGN = hash_tables()
 
 
 def vector(ids: np.ndarray) -> np.ndarray:
     """Signed sums of hashed ids over the dimensions, by the square root of the length."""
-    counts = np.bincount(ids) if len(ids) else np.zeros(1, np.int64)
-    seen = np.flatnonzero(counts)
-    hashes = mixed(seen + 1)
-    weights = np.log1p(counts[seen])
-    place = (hashes & np.uint64(0xFF)).astype(np.int64) % DIMENSIONS
-    sign = 1.0 - 2.0 * ((hashes >> np.uint64(8)) & np.uint64(1)).astype(np.float64)
-    return np.bincount(place, sign * weights, DIMENSIONS) / max(1.0, float(np.sqrt((weights**2).sum())))
+    return np.bincount(PLACE[ids], SIGN[ids], DIMENSIONS) / max(1.0, len(ids) ** 0.5)
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -151,9 +171,9 @@ def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.at(path)
         for batch in batches:
-            for first in range(0, len(batch), 250):
-                part = batch.slice(first, 250)
-                ids = [x + end for x in encoder.batch([t or "" for t in part.column("text").to_pylist()])]
+            for first in range(0, len(batch), 500):
+                part = batch.slice(first, 500)
+                ids = [encoder.ids(text.as_py() or "") + end for text in part.column("text")]
                 places = keys(np.stack([vector(np.frombuffer(x, "<u2")) for x in ids]))
                 yield pa.record_batch([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(places)], schema=schema)
 
@@ -167,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
 
     Token ids are written once before the range sort, which samples its input.
     """
-    ordered = cut(tokens(docs, tokenizer)).repartitionByRange("key", "doc_id", "ids")
+    ordered = cut(tokens(docs, tokenizer)).repartitionByRange("key", "doc_id")
     ordered = ordered.sortWithinPartitions("key", "doc_id", "ids").withColumn("part", F.spark_partition_id())
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
