@@ -70,6 +70,37 @@ def search_sorted(splits: list[int], value: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, further, lambda found: found["at"])
 
 
+#: Bits of a filter that keeps texts nobody wants from being moved.
+FILTER_BITS = 1 << 26
+
+
+def split_texts(docs: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``name`` may be among the wanted ones, and rows where it cannot.
+
+    The filter has a fixed size, 8 MB, so it can go to every task. It never takes
+    a wanted row for an unwanted one.
+    """
+    slot = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS)) + 1
+    bits = (
+        wanted.select(slot.alias("_slot"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    )
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = (
+        docs.withColumn("_slot", F.bitmap_bucket_number(slot))
+        .join(F.broadcast(bits), F.col("_slot") == F.col("_bucket"), "left")
+        .withColumn("_hit", F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")), F.lit(0)) == 1)
+        .drop("_slot", "_bucket", "_bits")
+    )
+    return marked.where("_hit").drop("_hit"), marked.where("NOT _hit").drop("_hit")
+
+
+def some_texts(docs: DataFrame, wanted: DataFrame, name: str = "doc_id") -> DataFrame:
+    return split_texts(docs, wanted, name)[0]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column, null as empty, without a copy."""
     if isinstance(column, pa.ChunkedArray):

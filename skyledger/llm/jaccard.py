@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Rolling, cut, mixed, slices, utf8
+from skyledger.llm.common import Rolling, cut, mixed, slices, some_texts, utf8
 from skyledger.llm.components import components
 
 SHINGLE = 5
@@ -55,8 +55,6 @@ HOT_LEAST, HOT_MOST = 8, 1 << 18
 COUNTED = 1 << 22
 #: Parity bits of a set.
 SIGN_BITS = 2048
-#: Bits of the filter that keeps texts without candidates from being moved.
-FILTER_BITS = 1 << 26
 
 FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -247,27 +245,6 @@ def postings(docs: DataFrame, hot: tuple[int, np.ndarray, np.ndarray]) -> DataFr
     return shared.where("_low <> _high").select("token", "k", "n", "typical").distinct()
 
 
-def some_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be wanted, by a filter of ``FILTER_BITS`` bits.
-
-    The filter has a fixed size, so it can go to every task; it never loses a row.
-    """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
-    bits = (
-        wanted.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits"))
-    )
-    place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return (
-        docs.withColumn("_slot", F.bitmap_bucket_number(slot))
-        .join(F.broadcast(bits), F.col("_slot") == F.col("_bucket"))
-        .where(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1)
-        .drop("_slot", "_bucket", "_bits")
-    )
-
-
 def token_table(docs: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
     """(k, n, tokens) of the wanted sets, each from its least document."""
     wanted = distinct.join(wanted.select("k").distinct(), "k", "left_semi").select("k", F.col("least").alias("_id"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pages, pii, sharding, toxicity
+from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pages, pii, sharding, suffixes, toxicity
 from skyledger.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removed(table(spark, folder, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked(table(spark, folder, "documents"))
 
@@ -63,6 +67,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_packing": op3_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
