@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Rolling, cut, mixed, slices, some_texts, utf8
+from skyledger.llm.common import Rolling, cut, mixed, slices, some_texts, split_texts, utf8
 from skyledger.llm.components import components
 
 SHINGLE = 5
@@ -421,7 +421,14 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the least doc_id."""
-    keep = linked(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one document of each component: the one with the least doc_id.
+
+    Of rows with one id, one stays if any of them would. Only texts that may have
+    to go are moved.
+    """
+    keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = cut(linked(docs).groupBy("doc_id").agg(F.max(keep).alias("keep"), F.count("*").alias("rows")))
+    gone = ids.where("NOT keep").select(F.col("doc_id").alias("_id"))
+    maybe, others = split_texts(docs, gone.withColumnRenamed("_id", "doc_id"), "doc_id")
+    kept = others.unionByName(maybe.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti"))
+    return kept if ids.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])

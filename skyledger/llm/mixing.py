@@ -92,7 +92,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = M
 
 def emit(planned: DataFrame) -> DataFrame:
     """One row per copy, numbered from 0 in ``copy``; documents with none are gone."""
-    return planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))) - 1)
+    return planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:

@@ -201,7 +201,10 @@ SCHEMA = pa.schema(
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; other columns untouched."""
+    """``docs`` with personal data in ``text`` replaced; ``n_chars``, if there, counts the new text.
+
+    Other columns stay as they are.
+    """
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,6 +214,12 @@ def redact(docs: DataFrame) -> DataFrame:
                 text = value.as_py()
                 texts.append(masked(text, spans(text)) if text and HINT.search(text) else text)
             kind = batch.schema.field(at).type
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, kind))
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, kind))
+            if "n_chars" in batch.schema.names:
+                place = batch.schema.get_field_index("n_chars")
+                sizes = [n if t is None else len(t) for n, t in zip(batch.column(place).to_pylist(), texts)]
+                field = batch.schema.field(place)
+                batch = batch.set_column(place, field, pa.array(sizes, field.type))
+            yield batch
 
     return docs.mapInArrow(replaced, docs.schema)
