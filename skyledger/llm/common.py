@@ -70,6 +70,17 @@ def search_sorted(splits: list[int], value: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, further, lambda found: found["at"])
 
 
+def free(frame: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores in front as it takes to clash with no column."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 #: Bits of a filter that keeps texts nobody wants from being moved.
 FILTER_BITS = 1 << 26
 
@@ -80,21 +91,22 @@ def split_texts(docs: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFram
     The filter has a fixed size, 8 MB, so it can go to every task. It never takes
     a wanted row for an unwanted one.
     """
+    row, bucket, held, hit = free(docs, "_row", "_bucket", "_bits", "_hit")
     slot = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS)) + 1
     bits = (
         wanted.select(slot.alias("_slot"))
-        .groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias(bucket))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias(held))
     )
     place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(held), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     marked = (
-        docs.withColumn("_slot", F.bitmap_bucket_number(slot))
-        .join(F.broadcast(bits), F.col("_slot") == F.col("_bucket"), "left")
-        .withColumn("_hit", F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")), F.lit(0)) == 1)
-        .drop("_slot", "_bucket", "_bits")
+        docs.withColumn(row, F.bitmap_bucket_number(slot))
+        .join(F.broadcast(bits), F.col(row) == F.col(bucket), "left")
+        .withColumn(hit, F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")), F.lit(0)) == 1)
+        .drop(row, bucket, held)
     )
-    return marked.where("_hit").drop("_hit"), marked.where("NOT _hit").drop("_hit")
+    return marked.where(F.col(hit)).drop(hit), marked.where(~F.col(hit)).drop(hit)
 
 
 def some_texts(docs: DataFrame, wanted: DataFrame, name: str = "doc_id") -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import cut
+from skyledger.llm.common import cut, free
 from skyledger.llm.components import components
 
 LIMIT = 0.95
@@ -249,5 +249,6 @@ def near(vectors: DataFrame) -> DataFrame:
 
 def deduplicated(vectors: DataFrame) -> DataFrame:
     """``vectors`` with one vector of each component: the one with the least vec_id."""
-    keep = near(vectors).where("kept").select(F.col("vec_id").alias("_id")).distinct()
-    return vectors.join(keep, F.col("vec_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["vec_id"])
+    (name,) = free(vectors, "_id")
+    keep = near(vectors).where("kept").select(F.col("vec_id").alias(name)).distinct()
+    return vectors.join(keep, F.col("vec_id").eqNullSafe(F.col(name)), "left_semi").dropDuplicates(["vec_id"])

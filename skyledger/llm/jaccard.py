@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Rolling, cut, mixed, slices, some_texts, split_texts, utf8
+from skyledger.llm.common import Rolling, cut, free, mixed, slices, some_texts, split_texts, utf8
 from skyledger.llm.components import components
 
 SHINGLE = 5
@@ -428,7 +428,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = cut(linked(docs).groupBy("doc_id").agg(F.max(keep).alias("keep"), F.count("*").alias("rows")))
-    gone = ids.where("NOT keep").select(F.col("doc_id").alias("_id"))
-    maybe, others = split_texts(docs, gone.withColumnRenamed("_id", "doc_id"), "doc_id")
-    kept = others.unionByName(maybe.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti"))
+    (name,) = free(docs, "_id")
+    gone = ids.where("NOT keep").select(F.col("doc_id").alias(name))
+    maybe, others = split_texts(docs, gone.withColumnRenamed(name, "doc_id"), "doc_id")
+    kept = others.unionByName(maybe.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti"))
     return kept if ids.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])

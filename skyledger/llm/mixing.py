@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import n_words
+from skyledger.llm.common import free, n_words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -77,24 +77,29 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = M
     Sums are taken map-side first, so a hot source sends one row per task. Spark
     broadcasts the per-source table if it is small and else splits a skewed join.
     """
-    rate = F.col("_rate")
+    drawn, origin, per_word = free(docs, "_draw", "_source", "_rate")
+    own = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     # Drawn before the join, so that a query without texts does not move them.
-    sized = docs.withColumn("size", n_words("text")).withColumn("_draw", draw(seed))
-    goals = targets(sized.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source")
-    own = [c for c in sized.columns if c not in ("source_size", "target", "copies", "_rate", "_source")]
+    sized = docs.select(*own, n_words("text").alias("size"), draw(seed).alias(drawn))
+    goals = targets(sized.select("source", "size"), weights, share, most)
+    goals = goals.withColumnsRenamed({"source": origin, "_rate": per_word})
+    rate = F.col(per_word)
     return (
-        sized.select(*own)
-        .join(goals, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .withColumn("copies", (F.floor(rate) + (F.col("_draw") < rate - F.floor(rate)).cast("long")).cast("long"))
-        .drop("_rate", "_source", "_draw")
+        sized.join(goals, F.col("source").eqNullSafe(F.col(origin)), "left")
+        .withColumn("copies", (F.floor(rate) + (F.col(drawn) < rate - F.floor(rate)).cast("long")).cast("long"))
+        .drop(drawn, origin, per_word)
     )
 
 
 def emit(planned: DataFrame) -> DataFrame:
     """One row per copy, numbered from 0 in ``copy``; documents with none are gone."""
-    return planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    copy = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
+    return planned.where("copies > 0").select(*[F.col(c) for c in planned.columns if c != "copy"], copy)
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``."""
-    return emit(plan(docs, **settings)).select(*[F.col(c) for c in docs.columns])
+    """The mixed corpus with the columns of ``docs``, whatever their names."""
+    (whole,) = free(docs, "_whole")
+    # The row travels as one column beside the three that decide.
+    packed = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole))
+    return emit(plan(packed, **settings)).select(f"{whole}.*")
