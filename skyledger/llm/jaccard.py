@@ -12,15 +12,18 @@ How the groups come about and which sets meet which groups:
   that many documents share are in few prefixes. The order's counts cover all
   documents; only the ``HOT_MOST`` most frequent tokens are kept, which bounds
   what is sent to the tasks and changes work, never results.
-* Sets that share a prefix token are compared with the most typical of them.
-  What links is one class, and the classes, in chunks of ``GROUP`` sets, are the
-  groups of the matrix. Within a class no pair has to be compared again.
-* A set then queries the groups of other classes with which it shares a prefix
-  token. The bound decides which groups are opened and compared member by member.
-
-Before token sets are moved, pairs are thinned by an exact bound: every set has a
-row of ``SIGN_BITS`` parity bits, and two sets differ in at least as many tokens as
-their rows differ in bits.
+* Sets that share a prefix token are candidates, unless sizes, the token's places
+  in both prefixes, or parity bits rule a link out: a set has a row of
+  ``SIGN_BITS`` parity bits, and two sets differ in at least as many tokens as
+  their rows differ in bits. These bounds are exact.
+* Each set is compared with the most typical of its candidates. What links is one
+  class, and the classes, in chunks of ``GROUP`` sets, are the groups of the
+  matrix. Within a class no pair has to be compared again.
+* All other candidates become queries of a set to the group of its candidate. The
+  group's token union decides whether it is opened and compared member by member.
+* Tokens that more than ``LONG`` sets share take part twice: first each set meets
+  the most typical one, then, once the classes are known, sets of different
+  classes meet in blocks.
 
 So every linked pair is either within a class, compared, or ruled out by a bound,
 and the components are exact, up to collisions of 64-bit hashes.
@@ -49,6 +52,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Sets a group holds at most, about, and queries a task compares with a group.
 GROUP, QUERIES_A_TASK = 64, 256
+#: Sets that share a token and are paired at once; sets of a block beyond that; postings of a task, about.
+LONG, BLOCK, POSTINGS = 32, 1024, 200_000
 #: A token in at least HOT_LEAST sets is frequent; the HOT_MOST most frequent are known to all tasks.
 HOT_LEAST, HOT_MOST = 8, 1 << 18
 #: Tokens counted together in one task, about.
@@ -200,7 +205,7 @@ def frequent(docs: DataFrame, total: int) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def postings(docs: DataFrame, hot: tuple[int, np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, k, n, typical) for the prefix tokens that several sets share."""
+    """(token, k, n, place, typical) for the prefix tokens that several sets share; places count from 0."""
     bits, names, counts = hot
 
     def ordered(tokens: np.ndarray) -> tuple[np.ndarray, float]:
@@ -234,15 +239,16 @@ def postings(docs: DataFrame, hot: tuple[int, np.ndarray, np.ndarray]) -> DataFr
                     pa.array(np.concatenate(tokens_of).view(np.int64) if each else [], pa.int64()),
                     pa.array(np.repeat(np.array(keys, np.int64), each)),
                     pa.array(np.repeat(np.array(sizes, np.int32), each)),
+                    pa.array(np.concatenate([np.arange(e, dtype=np.int32) for e in each]) if each else [], pa.int32()),
                     pa.array(np.repeat(np.array(scores, np.float32), each)),
                 ],
-                names=["token", "k", "n", "typical"],
+                names=["token", "k", "n", "place", "typical"],
             )
 
-    rows = docs.select("text").mapInArrow(posted, "token long, k long, n int, typical float")
+    rows = docs.select("text").mapInArrow(posted, "token long, k long, n int, place int, typical float")
     by_token = Window.partitionBy("token")
     shared = rows.withColumn("_low", F.min("k").over(by_token)).withColumn("_high", F.max("k").over(by_token))
-    return shared.where("_low <> _high").select("token", "k", "n", "typical").distinct()
+    return shared.where("_low <> _high").select("token", "k", "n", "place", "typical").distinct()
 
 
 def token_table(docs: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -285,48 +291,106 @@ def links(left: np.ndarray, right: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (low + high - both)
 
 
-def near(a: str, b: str) -> str:
-    """SQL: two sets of these sizes may link."""
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+def may_meet(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes n and m may link if their first common token has these places.
 
+    All common tokens are at or behind the first one.
+    """
+    both = 1 + np.minimum(n - place - 1, m - other - 1)
+    sizes = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+    return sizes & ((100 + PERCENT) * both >= PERCENT * (n + m))
+
+
+def short_pairs(posts: DataFrame, total: int) -> DataFrame:
+    """Pairs (a, b), a below b, of sets that share a token and may link by size and place."""
+
+    def paired(group: pa.Table) -> pa.Table:
+        token, k, n, place = (group.column(c).to_numpy() for c in ("token", "k", "n", "place"))
+        order = np.lexsort((k, token))
+        token, k, n, place = token[order], k[order], n[order].astype(np.int64), place[order].astype(np.int64)
+        found = []
+        # Rows of one token are neighbours: pair each with those up to LONG rows on.
+        for step in range(1, min(LONG, len(token))):
+            same = np.flatnonzero(token[step:] == token[:-step])
+            if not len(same):
+                break
+            other = same + step
+            good = may_meet(n[same], place[same], n[other], place[other])
+            found.append(np.stack([k[same[good]], k[other[good]]], 1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    buckets = F.pmod(F.xxhash64("token"), F.lit(-(-total // POSTINGS) or 1)).alias("bucket")
+    rows = posts.select(buckets, "token", "k", "n", "place")
+    return rows.groupBy("bucket").applyInArrow(paired, "a long, b long").distinct()
+
+
+def thinned(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and parity bits do not rule out."""
+    own = distinct.select(F.col("k").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    other = distinct.select(F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            left, right = (words64(batch.column(c).to_pylist()) for c in ("bits_a", "bits_b"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(n, left, m, right)))
 
-def typical_pairs(posts: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Pairs (k, top) of sets with the most typical set of each of their tokens that no bound rules out."""
-    typical = posts.groupBy("token").agg(F.max(F.struct("typical", "n", "k")).alias("_top"))
-    pairs = (
-        posts.join(typical, "token")
-        .select("k", "n", F.col("_top.k").alias("top"), F.col("_top.n").alias("top_n"))
-        .where("k <> top")
-        .where(near("n", "top_n"))
-        .select("k", "top")
-        .distinct()
+    return pairs.join(own, "a").join(other, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(
+        kept, "a long, b long"
     )
-    own = distinct.select("k", "n", "bits")
-    other = distinct.select(F.col("k").alias("top"), F.col("n").alias("top_n"), F.col("bits").alias("top_bits"))
 
-    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, tops = (batch.column(c).to_numpy() for c in ("n", "top_n"))
-            left, right = (words64(batch.column(c).to_pylist()) for c in ("bits", "top_bits"))
-            good = may_link(sizes, left, tops, right)
-            yield batch.select(["k", "top"]).filter(pa.array(good))
 
-    return pairs.join(own, "k").join(other, "top").mapInArrow(thinned, "k long, top long")
+def long_pairs(posts: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different classes that share a token of very many sets and may link.
+
+    A token's sets meet in pairs of blocks, so no task holds them all.
+    """
+    rows = posts.join(classes, F.col("k") == F.col("node"), "left").withColumn("c", F.coalesce("root", "k"))
+    several = rows.groupBy("token").agg(
+        F.min("c").alias("_a"), F.max("c").alias("_b"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("chunks")
+    )
+    several = several.where("_a <> _b").select("token", "chunks")
+    bits = distinct.select("k", "bits")
+    rows = rows.join(several, "token").join(bits, "k")
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(2)), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk",
+        "k", "n", "place", "c", "bits",
+    )
+
+    def compared(group: pa.Table) -> pa.Table:
+        chunk, k, n, place, c = (group.column(x).to_numpy() for x in ("chunk", "k", "n", "place", "c"))
+        n, place = n.astype(np.int64), place.astype(np.int64)
+        bits = words64(group.column("bits").to_pylist())
+        own = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        low = np.flatnonzero(chunk == group.column("i")[0].as_py())
+        high = low if own else np.flatnonzero(chunk == group.column("j")[0].as_py())
+        found = []
+        for at in low:
+            good = (c[high] != c[at]) & may_meet(n[at], place[at], n[high], place[high])
+            if own:
+                good &= k[high] > k[at]
+            near = high[good]
+            near = near[may_link(n[near], bits[near], int(n[at]), bits[at])]
+            found += [(int(k[at]), int(x)) for x in k[near]]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return rows.groupBy("token", "i", "j").applyInArrow(compared, "a long, b long").distinct()
 
 
 def class_links(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The linked ones (a, b) of the pairs (k, top)."""
-    own = tokens.select("k", F.col("tokens").alias("x"))
-    other = tokens.select(F.col("k").alias("top"), F.col("tokens").alias("y"))
+    """The linked ones of the pairs (a, b)."""
+    own = tokens.select(F.col("k").alias("a"), F.col("tokens").alias("x"))
+    other = tokens.select(F.col("k").alias("b"), F.col("tokens").alias("y"))
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(batch.column("x"), batch.column("y"))
             good = [links(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in pairs]
-            kept = batch.select(["k", "top"]).filter(pa.array(good, pa.bool_()))
-            yield kept.rename_columns(["a", "b"])
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(own, "k").join(other, "top").mapInArrow(verified, "a long, b long")
+    return pairs.join(own, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
 def met(members: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
@@ -341,14 +405,6 @@ def met(members: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
     return both.applyInArrow(work, schema)
 
 
-def open_groups(group: pa.Table, asking: pa.Table) -> pa.Table:
-    """Queries (k, c, g) that sizes and parity bits of some member do not rule out."""
-    bits, sizes = words64(group.column("bits").to_pylist()), group.column("n").to_numpy()
-    own = words64(asking.column("q_bits").to_pylist())
-    good = [bool(may_link(sizes, bits, n, b).any()) for n, b in zip(asking.column("q_n").to_pylist(), own)]
-    return asking.select(["q_k", "q_c", "q_g"]).rename_columns(["k", "c", "g"]).filter(pa.array(good, pa.bool_()))
-
-
 def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
     """Links of the queries that hold enough of the group's token union; one link each.
 
@@ -367,36 +423,22 @@ def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def matrix_links(posts: DataFrame, docs: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between sets of different classes, by way of the token-group matrix."""
-    posts = posts.join(classes.select(F.col("node").alias("k"), "root"), "k", "left").withColumn(
-        "c", F.coalesce("root", "k")
-    )
-    open_tokens = posts.groupBy("token").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b")
-    posts = posts.join(open_tokens.select("token"), "token", "left_semi")
-    chunks = (
-        posts.select("k", "c").distinct().groupBy("c").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("int").alias("chunks"))
-    )
-    posts = cut(
-        posts.join(chunks, "c").select(
-            "token", "k", "n", "c", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int").alias("g")
-        )
-    )
-    matrix = posts.groupBy("token", "c", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    # Of two classes, the sets of the lower one are the queries.
-    queries = (
-        posts.select("token", "k", "n", F.col("c").alias("own"))
-        .join(matrix, "token")
-        .where(f"own < c AND 100 * most >= {PERCENT} * n AND {PERCENT} * least <= 100 * n")
-        .select("k", "c", "g")
-        .distinct()
-    )
-    grouped = posts.select("c", "g", "k").distinct()
-    bits = distinct.select("k", "n", "bits")
-    asked = cut(met(grouped.join(bits, "k"), queries.join(bits, "k"), open_groups, "k long, c long, g int"))
-    held = grouped.join(asked.select("c", "g").distinct(), ["c", "g"], "left_semi")
-    tokens = cut(token_table(docs, distinct, asked.select("k").union(held.select("k"))))
-    return met(held.join(tokens, "k"), asked.join(tokens, "k"), opened, "a long, b long")
+def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between sets of different classes, by way of the token-group matrix.
+
+    ``pairs`` holds every pair that no bound has ruled out. Of a pair, the first
+    set is the query and the second one names the group.
+    """
+    sets = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
+    named = sets.join(classes, F.col("k") == F.col("node"), "left").select("k", F.coalesce("root", "k").alias("c"))
+    chunks = named.groupBy("c").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("int").alias("chunks"))
+    grouped = cut(named.join(chunks, "c").select("k", "c", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int").alias("g")))
+    own = grouped.select(F.col("k").alias("a"), F.col("c").alias("own"))
+    other = grouped.withColumnRenamed("k", "b")
+    queries = cut(pairs.join(own, "a").join(other, "b").where("own <> c").select(F.col("a").alias("k"), "c", "g").distinct())
+    held = grouped.join(queries.select("c", "g").distinct(), ["c", "g"], "left_semi").select("c", "g", "k")
+    tokens = cut(token_table(docs, distinct, queries.select("k").union(held.select("k"))))
+    return met(held.join(tokens, "k"), queries.join(tokens, "k"), opened, "a long, b long")
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -405,13 +447,29 @@ def linked(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.sum("n")).first()[0] or 0
     least = F.min("doc_id").alias("least")
     distinct = sets.where("k IS NOT NULL").groupBy("k").agg(least, F.first("n").alias("n"), F.first("bits").alias("bits"))
+    distinct = cut(distinct)
     posts = cut(postings(docs, frequent(docs, total)))
-    pairs = cut(typical_pairs(posts, distinct))
-    tokens = cut(token_table(docs, distinct, pairs.select("k").union(pairs.select("top"))))
-    classes = cut(components(class_links(pairs, tokens)))
-    between = matrix_links(posts, docs, distinct, classes)
-    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    found = components(cut(stars.unionByName(between)))
+    typical = F.max(F.struct("typical", "n", "k")).alias("top")
+    lists = posts.groupBy("token").agg(F.count("*").alias("sets"), typical)
+    long = cut(posts.join(lists.where(F.col("sets") > LONG), "token"))
+    short = posts.join(lists.where(F.col("sets") <= LONG).select("token"), "token", "left_semi")
+    # A linked pair's sets meet at their first common token, whatever the length of its list.
+    stars = long.select(F.least("k", "top.k").alias("a"), F.greatest("k", "top.k").alias("b")).where("a <> b")
+    pairs = short_pairs(short, posts.count()).unionByName(stars).distinct()
+    pairs = cut(thinned(pairs, distinct))
+
+    # Each set and the most typical of its candidates make the classes.
+    score = F.max_by("b", F.struct("typical", "b")).alias("b")
+    scores = posts.groupBy("k").agg(F.max("typical").alias("typical"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    best = both.join(scores.withColumnRenamed("k", "b"), "b").groupBy("a").agg(score)
+    best = cut(best)
+    tokens = cut(token_table(docs, distinct, best.select(F.col("a").alias("k")).union(best.select("b"))))
+    classes = cut(components(class_links(best, tokens)))
+    rest = cut(pairs.unionByName(long_pairs(long, distinct, classes)).distinct())
+    between = matrix_links(rest, docs, distinct, classes)
+    known = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = components(known.unionByName(between))
     rooted = distinct.select("k", F.col("least").alias("_least")).join(found, F.col("k") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "k"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     members = rooted.select("k", "_root").join(named, "_root").select(F.col("k").alias("_k"), "component_id")
