@@ -126,7 +126,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at.astype(np.int64) - at[0]
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes, a longer row alone."""
     first, rows = 0, len(offsets) - 1
     while first < rows:

@@ -45,9 +45,11 @@ LENGTH, GRAM = 100, 32
 #: Anchor candidates inside a string.
 REACH = LENGTH - GRAM + 1
 #: Suffixes of a run and, about, of a range; documents sampled for the splitters.
-RUN, RANGE, SAMPLED = 50_000, 50_000, 2_000
+RUN, RANGE, SAMPLED = 30_000, 30_000, 2_000
+#: Documents whose anchors a task holds at once, about.
+HELD = 2_000
 #: Anchors whose grams one task counts, about.
-COUNTED = 1 << 20
+COUNTED = 1 << 18
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -130,7 +132,7 @@ def repeated_anchors(docs: DataFrame, total: int) -> DataFrame:
     bits = max(4, int(np.ceil(np.log2(max(1, total / (REACH + 1) * 2 / COUNTED)))))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, HELD) for b in batches for first in range(0, len(b), HELD)):
             parts = list(batch_anchors(batch))
             if not parts:
                 continue
