@@ -12,6 +12,7 @@ from skyledger.functions import clean
 from skyledger.functions.numbers import round_even
 from skyledger.functions.time import hours_between
 from skyledger.operators.counting import count_met
+from skyledger.operators.joins import missing_by_group, unique_dimension
 from skyledger.operators.rules import Rule
 
 # Fixed values of the score.
@@ -21,9 +22,9 @@ FAIL_CEILING = 69.99
 
 
 def expected_points(points: DataFrame) -> DataFrame:
-    return points.where(clean.is_active(F.col("is_active"))).select(
-        clean.strip("point_id").alias("point_id")
-    )
+    """Ids of the active points; a repeated one stops the job."""
+    active = points.where(clean.is_active(F.col("is_active")))
+    return unique_dimension(active.select(clean.strip("point_id").alias("point_id")), "point_id", [])
 
 
 def point_hours(readings: DataFrame, batch: str) -> DataFrame:
@@ -56,10 +57,12 @@ def cadence_issues(readings: DataFrame, batch: str) -> DataFrame:
 
 
 def hours_per_point(readings: DataFrame, points: DataFrame, batch: str) -> DataFrame:
-    """Distinct hours of each expected point in each batch that reports it."""
-    hours = point_hours(readings, batch).where(F.col("forecast_time").isNotNull())
-    counted = hours.groupBy(batch, "point_id").agg(F.count(F.lit(1)).alias("forecast_hours"))
-    return counted.join(expected_points(points), "point_id", "left_semi")
+    """Distinct hours of each expected point in each batch; 0 where a batch lacks the point."""
+    hours = point_hours(readings, batch)
+    counted = hours.groupBy(batch, "point_id").agg(F.count("forecast_time").alias("forecast_hours"))
+    there = counted.join(expected_points(points), "point_id", "left_semi").select(batch, "point_id", "forecast_hours")
+    lacking = missing_by_group(hours, expected_points(points), batch, "point_id")
+    return there.unionByName(lacking.withColumn("forecast_hours", F.lit(0).cast("bigint")))
 
 
 def _point_facts(readings: DataFrame, points: DataFrame, batch: str, hours: int) -> DataFrame:

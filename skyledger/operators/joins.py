@@ -30,10 +30,10 @@ def unique_dimension(dimension: DataFrame, key: str, columns: Sequence[str]) ->
         F.count(F.lit(1)).alias("_rows"), *[F.min(c).alias(c) for c in columns]
     )
     repeated = F.concat(F.lit(f"{key} is not unique: "), F.col(key))
-    checked = {
-        c: F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(c)) for c in columns
-    }
-    return counted.withColumns(checked).drop("_rows")
+    # The key is checked too, as a join that needs no other column would drop their checks.
+    return counted.select(
+        *[F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col(c)).alias(c) for c in (key, *columns)]
+    )
 
 
 def enrich_locations(
@@ -49,9 +49,9 @@ def enrich_locations(
 
 
 def star(facts: DataFrame, points: DataFrame, locations: DataFrame) -> DataFrame:
-    """Facts with the attributes of their point and location."""
-    point = points.select("point_id", "point_name", "point_type", "latitude", "longitude")
-    location = locations.select("location_id", "location_name", "region", "admin_type")
+    """Facts with the attributes of their point and location; a repeated id stops the job."""
+    point = unique_dimension(points, "point_id", ["point_name", "point_type", "latitude", "longitude"])
+    location = unique_dimension(locations, "location_id", ["location_name", "region", "admin_type"])
     bare = facts.drop("point_name", "point_type", "latitude", "longitude")
     return bare.join(point, "point_id").join(location, "location_id")
 
@@ -90,6 +90,27 @@ def difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Dat
     return left.select(*columns).distinct().subtract(right.select(*columns))
 
 
+def missing_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:
+    """(group, key) for every expected id that a group lacks.
+
+    Both sides are sets of ids of a dimension, so one array per group holds them;
+    only ids that are missing become rows.
+    """
+    wanted = expected.agg(F.collect_set(key)).scalar()
+    seen = F.collect_set(F.nullif(clean.strip(F.col(key)), F.lit("")))
+    lacking = present.groupBy(group).agg(seen.alias("_seen")).withColumn("_lacking", F.array_except(wanted, "_seen"))
+    return lacking.where(F.size("_lacking") > 0).select(group, F.explode("_lacking").alias(key))
+
+
+def coverage_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:
+    """Per group (such as a batch): every id as MISSING, UNEXPECTED or PRESENT."""
+    named = present.select(group, clean.strip(F.col(key)).alias(key)).where(F.col(key) != "").distinct()
+    want = unique_dimension(expected.select(key), key, []).withColumn("_want", F.lit(1))
+    state = F.when(F.col("_want").isNull(), "UNEXPECTED").otherwise("PRESENT")
+    there = named.join(want, key, "left").select(group, key, state.alias("coverage"))
+    return there.unionByName(missing_by_group(present, expected, group, key).withColumn("coverage", F.lit("MISSING")))
+
+
 def coverage(present: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Full comparison of two id sets: MISSING, UNEXPECTED or PRESENT."""
     have = present.select(key).where(clean.strip(F.col(key)) != "").distinct().withColumn("_have", F.lit(1))

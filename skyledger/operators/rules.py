@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from skyledger.functions import clean
 from skyledger.operators.counting import count_met, met, spread
 from skyledger.operators.duplicates import flag_duplicates
+from skyledger.operators.joins import unique_dimension
 from skyledger.schema import AQI_COLUMNS, LOGICAL_KEY, POLLUTANTS, REQUIRED_TEXT
 
 DUPLICATE_FLAG = "_key_repeated"
@@ -45,7 +46,10 @@ def _outside(value: Column, low: float, high: float) -> Column:
 
 
 def with_dimensions(df: DataFrame, points: DataFrame, locations: DataFrame) -> DataFrame:
-    """Attach what the active dimensions say about the row's point and location."""
+    """Attach what the active dimensions say about the row's point and location.
+
+    A repeated active id stops the job, as it would multiply readings.
+    """
     point = points.where(clean.is_active(F.col("is_active"))).select(
         clean.strip("point_id").alias("_point_key"),
         clean.strip("location_id").alias("_home_location"),
@@ -55,6 +59,8 @@ def with_dimensions(df: DataFrame, points: DataFrame, locations: DataFrame) -> D
     location = locations.where(clean.is_active(F.col("is_active"))).select(
         clean.strip("location_id").alias("_location_key")
     )
+    point = unique_dimension(point, "_point_key", DIMENSION_COLUMNS[1:4])
+    location = unique_dimension(location, "_location_key", [])
     return df.join(point, clean.strip(df["point_id"]) == point["_point_key"], "left").join(
         location, clean.strip(df["location_id"]) == location["_location_key"], "left"
     )

@@ -184,10 +184,10 @@ def affected_days(batch: DataFrame) -> DataFrame:
 def daily_summary_increment(
     history: DataFrame, batch: DataFrame, locations: DataFrame, created_at: Column
 ) -> DataFrame:
-    """Daily rows of only those days that the new batch touches."""
+    """Daily rows of only those days that the new batch touches, from valid batches as in ``build``."""
     days = affected_days(batch)
     touched = (
-        history.withColumn("forecast_day", local_date(F.col("forecast_time")))
+        valid_history(history).withColumn("forecast_day", local_date(F.col("forecast_time")))
         .join(days, "forecast_day", "left_semi")
         .drop("forecast_day")
     )

@@ -63,11 +63,11 @@ def top_polluted(current: DataFrame, limit: int = 10) -> DataFrame:
     return current.orderBy(index.desc_nulls_last(), "location_id", "point_id").limit(limit)
 
 
-def point_payloads(current: DataFrame, points: DataFrame, limit: int | None = 500) -> DataFrame:
+def point_payloads(current: DataFrame, points: DataFrame, limit: int | None = None) -> DataFrame:
     return payload_rows(current, points, "point_id", [F.col("forecast_time").asc()], limit)
 
 
-def location_payloads(current: DataFrame, locations: DataFrame, limit: int | None = 500) -> DataFrame:
+def location_payloads(current: DataFrame, locations: DataFrame, limit: int | None = None) -> DataFrame:
     order = [
         F.col("aqi_severity").desc_nulls_last(),
         F.col("us_aqi").desc_nulls_last(),

@@ -38,7 +38,6 @@ COUNTERS = {
         ("failed_records", "skipped_source_object_count"),
     ),
 }
-ERROR_TEXT_LENGTH = 2000
 CHECK_TYPE = (
     "array<struct<check_name: string, status: string, bad_records_count: string, message: string>>"
 )
@@ -85,7 +84,7 @@ def run_log_rows(summaries: DataFrame, source: str) -> DataFrame:
         _stage_counter(0).alias("input_records"),
         _stage_counter(1).alias("output_records"),
         _stage_counter(2).alias("failed_records"),
-        F.left(first_failure, F.lit(ERROR_TEXT_LENGTH)).alias("error_message"),
+        first_failure.alias("error_message"),
         F.col("object_name").alias("summary_object_name"),
     )
 

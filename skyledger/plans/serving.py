@@ -10,7 +10,7 @@ from skyledger.operators.joins import active_points, star
 from skyledger.operators.ranking import keep_top
 from skyledger.schema import AQI_COLUMNS, POLLUTANTS
 
-# Largest row count each query hands out.
+# Largest limit a caller may ask for.
 MAX_READINGS, MAX_TOP, MAX_HISTORY, MAX_ALERTS = 5000, 100, 2160, 1000
 
 READING_COLUMNS = (
@@ -41,6 +41,11 @@ def bounded(limit: int, maximum: int) -> int:
     return limit
 
 
+def limited(rows: DataFrame, limit: int | None, maximum: int) -> DataFrame:
+    """The first rows if the caller names a limit, else all."""
+    return rows if limit is None else rows.limit(bounded(limit, maximum))
+
+
 def key_of(text: str) -> str:
     """Ids are looked up trimmed and in upper case; the column stays bare so
     that the filter reaches the scan."""
@@ -61,36 +66,26 @@ def _readings(rows: DataFrame, points: DataFrame, locations: DataFrame) -> DataF
 
 
 def latest_readings(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int = 500
+    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int | None = None
 ) -> DataFrame:
     rows = latest_batch_rows(facts)
-    return (
-        _readings(rows, points, locations)
-        .orderBy("forecast_time", "point_id")
-        .limit(bounded(limit, MAX_READINGS))
-    )
+    ordered = _readings(rows, points, locations).orderBy("forecast_time", "point_id")
+    return limited(ordered, limit, MAX_READINGS)
 
 
 def readings_by_location(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, location_id: str, limit: int = 500
+    facts: DataFrame, points: DataFrame, locations: DataFrame, location_id: str, limit: int | None = None
 ) -> DataFrame:
     rows = latest_batch_rows(facts).where(F.col("location_id") == key_of(location_id))
-    return (
-        _readings(rows, points, locations)
-        .orderBy("forecast_time", "point_id")
-        .limit(bounded(limit, MAX_READINGS))
-    )
+    ordered = _readings(rows, points, locations).orderBy("forecast_time", "point_id")
+    return limited(ordered, limit, MAX_READINGS)
 
 
 def readings_by_point(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, limit: int = 500
+    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, limit: int | None = None
 ) -> DataFrame:
     rows = latest_batch_rows(facts).where(F.col("point_id") == key_of(point_id))
-    return (
-        _readings(rows, points, locations)
-        .orderBy("forecast_time")
-        .limit(bounded(limit, MAX_READINGS))
-    )
+    return limited(_readings(rows, points, locations).orderBy("forecast_time"), limit, MAX_READINGS)
 
 
 def top_polluted(
@@ -108,18 +103,14 @@ def top_polluted(
 
 
 def point_history(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, hours: int = 168
+    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, hours: int | None = None
 ) -> DataFrame:
-    """Last hours of one point, oldest first."""
-    recent = (
-        facts.where(F.col("point_id") == key_of(point_id))
-        .orderBy(F.col("forecast_time").desc())
-        .limit(bounded(hours, MAX_HISTORY))
-    )
-    return _readings(recent, points, locations).orderBy("forecast_time")
+    """All or the last hours of one point, oldest first."""
+    recent = facts.where(F.col("point_id") == key_of(point_id)).orderBy(F.col("forecast_time").desc())
+    return _readings(limited(recent, hours, MAX_HISTORY), points, locations).orderBy("forecast_time")
 
 
-def history_all_points(facts: DataFrame, hours: int = 168) -> DataFrame:
+def history_all_points(facts: DataFrame, hours: int) -> DataFrame:
     """Last hours of every point at once."""
     order = [F.col("forecast_time").desc(), F.col("source").asc()]
     return keep_top(facts, ["point_id"], order, bounded(hours, MAX_HISTORY))
@@ -133,6 +124,6 @@ def active_monitoring_points(points: DataFrame, locations: DataFrame) -> DataFra
     return active_points(points, locations).orderBy("location_name", "point_name")
 
 
-def latest_alerts(alerts: DataFrame, limit: int = 100) -> DataFrame:
+def latest_alerts(alerts: DataFrame, limit: int | None = None) -> DataFrame:
     order = [F.col("created_at").desc(), "point_id", "alert_time", "severity"]
-    return alerts.orderBy(*order).limit(bounded(limit, MAX_ALERTS))
+    return limited(alerts.orderBy(*order), limit, MAX_ALERTS)

@@ -145,8 +145,10 @@ LOCATION_VIEW_TYPES = {
 }
 
 
-def location_view(mart: DataFrame, nearest: DataFrame) -> DataFrame:
-    """Mart rows for display; computed from the nearest rows if the mart is empty."""
+def location_view(mart: DataFrame | None, nearest: DataFrame) -> DataFrame:
+    """Mart rows for display; computed from the nearest rows if the mart is empty or not there."""
+    if mart is None:
+        mart = nearest.sparkSession.createDataFrame([], "location_id string")
     stored = with_columns_present(mart, LOCATION_VIEW_TYPES)
     stored = stored.select(*[F.col(c).try_cast(t).alias(c) for c, t in LOCATION_VIEW_TYPES.items()])
     stored = with_display(stored.where(~clean.is_blank(F.col("location_id"))))
@@ -206,17 +208,14 @@ def hourly_mean(readings: DataFrame, value: str = "us_aqi", series: str | None =
 
 
 def nearest_hour_delta(readings: DataFrame, value: str, as_of: Column) -> DataFrame:
-    """Change of the hourly mean at the hour nearest to ``as_of`` against the hour before.
-
-    The window has no key, but runs over one row per hour of the data.
-    """
+    """Change of the hourly mean at the hour nearest to ``as_of`` against the hour before."""
     series = hourly_mean(readings, value)
-    order = Window.orderBy("forecast_time")
-    steps = series.select(
-        "forecast_time", "average", (F.col("average") - F.lag("average").over(order)).alias("delta")
-    )
     distance = F.abs(F.unix_micros("forecast_time") - F.unix_micros(as_of))
-    return steps.orderBy(distance, "forecast_time").limit(1)
+    hour = F.struct("forecast_time", "average")
+    nearest = series.agg(F.min_by(hour, F.struct(distance.alias("distance"), "forecast_time")).alias("at"))
+    at = nearest.select("at.forecast_time").scalar()
+    before = series.where(F.col("forecast_time") < at).agg(F.max_by("average", "forecast_time")).scalar()
+    return nearest.where("at IS NOT NULL").select("at.*", (F.col("at.average") - before).alias("delta"))
 
 
 def available_hours(readings: DataFrame, time: str = "forecast_time", default: int = 24) -> DataFrame:

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows a key may keep and still be limited before the shuffle: more than the longest history.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # HotSpot never compiles a method of more than 8000 bytes. Rule sets generate
     # larger ones, which then run as bytecode; split expressions are much faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.upserts import merge_alerts, upsert
 from skyledger.schema import LOGICAL_KEY
-from skyledger.session import scratch_folder
-from skyledger.sinks.files import exists
+from skyledger.sinks.files import delete_folder, exists
 
 FACT_DAY, ALERT_DAY = "forecast_date", "alert_date"
 
@@ -33,14 +32,23 @@ def rewrite_days(
 
     The list of days is bounded by the calendar, so it may be broadcast; it
     prunes the scan to the touched folders. The merged rows go through a table
-    in the shared scratch folder, as a path must not be overwritten while it is
-    read; a job that dies before the last write leaves the table as it was.
+    beside this one, as a path must not be overwritten while it is read; a job
+    that dies before the last write leaves the table as it was. A touched day
+    without merged rows loses its folder, which a dynamic overwrite would keep.
     """
     days = incoming.select(day).distinct()
     stored = spark.read.parquet(path).join(F.broadcast(days), day, "left_semi")
-    staging = f"{scratch_folder(spark)}/upsert-{uuid.uuid4().hex}"
-    merge(stored).write.parquet(staging)
-    _write_days(spark.read.parquet(staging), path, day)
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        merge(stored).write.parquet(staging)
+        merged = spark.read.parquet(staging)
+        emptied = days.where(F.col(day).isNotNull()).join(merged.select(day).distinct(), day, "left_anti")
+        emptied = [row[0] for row in emptied.select(F.col(day).cast("string")).collect()]
+        _write_days(merged, path, day)
+        for value in emptied:
+            delete_folder(spark, f"{path.rstrip('/')}/{day}={value}")
+    finally:
+        delete_folder(spark, staging)
 
 
 def upsert_facts(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.audits import dataset_audit
 from skyledger.plans import marts
+from skyledger.sinks.files import exists
 
 BUILD_LOG = "build_log"
 
@@ -36,10 +39,31 @@ def build_marts(
     summary.withColumn("partition", F.lit(partition)).write.mode("append").parquet(f"{root}/{BUILD_LOG}")
 
 
+#: Key columns of each mart.
+MART_KEYS = {
+    "current": ["point_id"],
+    "location_summary": ["location_id"],
+    "daily_summary": ["forecast_date", "point_id"],
+}
+
+
 def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A mart of the newest successful build in the log."""
+    """A mart of the newest successful build whose stored rows match its log row.
+
+    Builds are tried from the newest on; a damaged one is passed over.
+    """
     log = spark.read.parquet(f"{root}/{BUILD_LOG}").where(F.upper("status") == "SUCCESS")
-    newest = log.agg(F.max("partition")).first()[0]
-    if newest is None:
-        raise ValueError(f"no successful build in {root}")
-    return spark.read.parquet(f"{root}/{name}/{newest}")
+    builds = log.groupBy("partition").agg(F.max(f"{name}_rows").alias("rows")).orderBy(F.desc("partition"))
+    for build in builds.toLocalIterator():
+        path = f"{root}/{name}/{build.partition}"
+        if not exists(spark, path):
+            continue
+        mart = spark.read.parquet(path)
+        audit = dataset_audit(mart, name, MART_KEYS[name], F.lit(build.rows).cast("bigint"))
+        try:
+            if audit.first().is_valid:
+                return mart
+        except PySparkException:
+            # Files that cannot be read make a build as unusable as missing rows.
+            continue
+    raise ValueError(f"no valid build of {name} in {root}")

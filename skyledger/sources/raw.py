@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions import clean
 from skyledger.functions.time import parse_instant
@@ -27,11 +28,17 @@ def read_raw(
     batch: str | None = None,
     schema=RAW_SCHEMA,
 ) -> DataFrame:
-    """Raw documents below ``root``, pruned by the partition folders."""
-    df = spark.read.schema(schema).option("multiLine", True).json(root)
+    """Raw documents below ``root``, pruned by the partition folders.
+
+    The folder columns are part of the schema, so that an hour ``05`` or a batch
+    id of digits stays a text.
+    """
+    folders = [T.StructField(c, T.StringType()) for c in ("date", "hour", "batch_id") if c not in schema.names]
+    full = T.StructType([*schema.fields, *folders])
+    df = spark.read.schema(full).option("multiLine", True).json(root)
     for name, wanted in (("date", date), ("hour", hour), ("batch_id", batch)):
         if wanted is not None:
-            df = df.where(F.col(name).cast("string") == wanted)
+            df = df.where(F.col(name) == wanted)
     return df
 
 

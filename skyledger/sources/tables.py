@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import clean
 from skyledger.operators.audits import batch_validity
-from skyledger.schema import HISTORY_SCHEMA
+from skyledger.operators.joins import unique_dimension
+from skyledger.schema import HISTORY_SCHEMA, REQUIRED_TEXT
+
+#: Columns that hold a value in at least one row of any sound batch.
+REQUIRED_COLUMNS = (*[c for c in REQUIRED_TEXT if c != "batch_id"], "forecast_time", "ingested_at")
 
 # Fixed value: layout of one batch below a table root.
 PARTITION_PATTERN = r"date=(\d{4}-\d{2}-\d{2})/hour=(\d{2})/batch_id=([^/]+)/[^/]+\.parquet$"
@@ -25,15 +29,61 @@ def read_history(
     """All batches below ``root``; date, hour and batch prune folders.
 
     The schema is given, so that an hour ``05`` or a batch id of digits stays a
-    text. Corrupt files are skipped.
+    text. A file that cannot be read stops the job; :func:`read_history_isolated`
+    goes on without its batch.
     """
-    df = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
+    df = spark.read.schema(HISTORY_SCHEMA).parquet(root)
     for name, wanted in (("date", date), ("hour", hour), ("batch_id", batch)):
         if wanted is not None:
             df = df.where(F.col(name) == wanted)
     return df
 
 
+def history_report(spark: SparkSession, root: str, announced: DataFrame | None = None) -> DataFrame:
+    """Every batch that has a folder or an announced count, and whether it may be used.
+
+    A batch is valid if each of its files gave rows, none of its contract columns
+    is without any value, its times and keys are sound, and its rows are as many
+    as ``announced`` (batch_id, announced_count) says. A file that is destroyed or
+    empty gives no rows; one that breaks off gives too few.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    listed = files.load(root).select(*partition_parts(F.col("path")))
+    listed = listed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"))
+    rows = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
+    rows = rows.withColumn("_file", F.col("_metadata.file_path"))
+    per_file = rows.groupBy("batch_id", "_file").agg(*[F.count(c).alias(c) for c in REQUIRED_COLUMNS])
+    empty = F.array(*[F.when(F.sum(c) == 0, F.lit(c)) for c in REQUIRED_COLUMNS])
+    read = per_file.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("files_read"), F.array_compact(empty).alias("empty_columns")
+    )
+    sound = batch_validity(rows).withColumnRenamed("is_valid", "_sound")
+    if announced is None:
+        announced = listed.select("batch_id", F.lit(None).cast("bigint").alias("announced_count"))
+    report = (
+        listed.join(announced, "batch_id", "full_outer")
+        .join(read, "batch_id", "left")
+        .join(sound, "batch_id", "left")
+        .fillna(0, ["files", "files_read", "record_count"])
+    )
+    good = (
+        F.col("_sound")
+        & (F.col("files") == F.col("files_read"))
+        & (F.size("empty_columns") == 0)
+        & F.coalesce(F.col("record_count") == F.col("announced_count"), F.lit(True))
+    )
+    return report.withColumn("is_valid", F.coalesce(good, F.lit(False))).drop("_sound")
+
+
+def read_history_isolated(
+    spark: SparkSession, root: str, announced: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the valid batches, and the report that lists every other one."""
+    report = history_report(spark, root, announced)
+    rows = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
+    return rows.join(report.where("is_valid").select("batch_id"), "batch_id", "left_semi"), report
+
+
 def partition_parts(path: Column) -> list[Column]:
     """Date, hour and batch id of a file path, as three columns."""
     names = ("partition_date", "partition_hour", "batch_id")
@@ -49,24 +99,24 @@ def valid_history(history: DataFrame, batch: str = "batch_id") -> DataFrame:
     return history.join(good, batch, "left_semi")
 
 
-def skipped_batches(history: DataFrame, batch: str = "batch_id", report: int = 20) -> DataFrame:
-    """The first skipped batches for the build report."""
-    return (
-        batch_validity(history, batch)
-        .where("NOT is_valid")
-        .orderBy(batch)
-        .limit(report)
-        .select(batch, "invalid_times", "duplicate_rows")
-    )
+def skipped_batches(history: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Every skipped batch for the build report."""
+    return batch_validity(history, batch).where("NOT is_valid").select(batch, "invalid_times", "duplicate_rows")
+
+
+LOAD_ORDER = "load_order"
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """A CSV dimension as text; the literal ``NA`` stays a text."""
+    """A CSV dimension as text with ``load_order``; the literal ``NA`` stays a text.
+
+    The order follows the lines of a file, which is what "the last row wins" needs.
+    """
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{path} lacks columns: {', '.join(missing)}")
-    return df.select(*columns)
+    return df.select(*columns, F.monotonically_increasing_id().alias(LOAD_ORDER))
 
 
 LOCATION_FILE_COLUMNS = ("location_id", "location_name", "region", "admin_type", "is_active")
@@ -93,14 +143,10 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def collectable_points(points: DataFrame) -> DataFrame:
-    """Active points of a point file that are complete, in range and unique."""
+    """Active points of a point file that are complete and in range; a repeated id stops the job."""
     texts = ("point_id", "location_id", "point_name", "point_type")
     usable = clean.is_active(F.col("is_active"))
     for c in texts:
         usable = usable & ~clean.is_blank(F.col(c))
     usable = usable & F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
-    active = points.where(usable)
-    single = active.groupBy("point_id").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
-    return active.join(single.select("point_id"), "point_id", "left_semi").select(
-        *texts, "latitude", "longitude"
-    )
+    return unique_dimension(points.where(usable), "point_id", [*texts[1:], "latitude", "longitude"])

@@ -233,13 +233,17 @@ oracle(
 )
 oracle(
     "skipped_batches",
-    "SELECT batch_id, invalid_times, duplicate_rows FROM m_validity WHERE NOT is_valid ORDER BY batch_id LIMIT 20",
+    "SELECT batch_id, invalid_times, duplicate_rows FROM m_validity WHERE NOT is_valid",
 )
 oracle("location_dimension", "SELECT location_id, max(point_id) AS point_id, arg_max(point_name, point_id) AS point_name FROM m_points GROUP BY 1")
 oracle(
     "active_points",
     "SELECT p.point_id, p.location_id, l.region FROM m_on_points p JOIN m_on_locations l ON l.location_id = p.location_id",
 )
+oracle(
+    "collectable_points",
+    "SELECT point_id, location_id, point_name, point_type, latitude, longitude FROM m_on_points",
+)
 oracle("latest_batch_rows", "SELECT point_id, forecast_time, us_aqi, batch_id FROM m_batch_facts")
 
 # --- sinks as set operations -------------------------------------------------
@@ -288,9 +292,8 @@ oracle(
 )
 oracle(
     "quarantine_backup",
-    """SELECT run_id AS original_id, 'MISSING_BATCH_OR_STAGE' AS backup_reason,
-      '{"run_id":"' || run_id || '","stage_name":"' || stage_name || '","status":"' || status || '"}' AS row_data
-    FROM m_run_log WHERE batch_id IS NULL OR trim(batch_id) = ''""",
+    """SELECT run_id AS original_id, 'MISSING_BATCH_OR_STAGE' AS backup_reason, run_key, stage_name, status
+    FROM m_run_log WHERE (batch_id IS NULL OR trim(batch_id) = '') AND run_key % 3 <> 0""",
 )
 oracle(
     "backfill_batch_id",
@@ -423,7 +426,7 @@ oracle(
 )
 oracle(
     "label_fallback",
-    "SELECT reading_id, f.location_id, COALESCE(l.location_name, f.location_id) AS location_label FROM m_facts f LEFT JOIN m_locations l ON l.location_id = f.location_id",
+    "SELECT reading_id, f.location_id, COALESCE(l.location_name, f.location_id) AS location_label FROM m_dirty f LEFT JOIN m_locations l ON l.location_id = f.location_id",
 )
 oracle(
     "translated_run_log",
@@ -510,12 +513,12 @@ _READING = """point_id, location_id, point_name, point_type, location_name, regi
   us_aqi_nitrogen_dioxide, us_aqi_carbon_monoxide, us_aqi_ozone, us_aqi_sulphur_dioxide, aqi_level, aqi_severity,
   source, batch_id, schema_version, ingested_at"""
 _LATEST = "batch_id = (SELECT batch_id FROM m_fact_batch)"
-oracle("latest_air_quality", f"SELECT {_READING} FROM m_star WHERE {_LATEST} ORDER BY forecast_time, point_id LIMIT 500")
+oracle("latest_air_quality", f"SELECT {_READING} FROM m_star WHERE {_LATEST}")
 oracle(
     "readings_by_location",
-    f"SELECT {_READING} FROM m_star WHERE {_LATEST} AND location_id = 'L7' ORDER BY forecast_time, point_id LIMIT 500",
+    f"SELECT {_READING} FROM m_star WHERE {_LATEST} AND location_id = 'L7'",
 )
-oracle("readings_by_point", f"SELECT {_READING} FROM m_star WHERE {_LATEST} AND point_id = 'P7' ORDER BY forecast_time LIMIT 500")
+oracle("readings_by_point", f"SELECT {_READING} FROM m_star WHERE {_LATEST} AND point_id = 'P7'")
 oracle(
     "top_polluted",
     f"""SELECT {_READING} FROM m_star WHERE {_LATEST} AND us_aqi IS NOT NULL
@@ -535,7 +538,7 @@ oracle(
 )
 oracle(
     "latest_alerts",
-    "SELECT point_id, alert_time, severity, created_at FROM m_alerts ORDER BY created_at DESC, point_id, alert_time, severity LIMIT 100",
+    "SELECT point_id, alert_time, severity, created_at FROM m_alerts",
 )
 PARTS["m_last_runs"] = """
   SELECT * FROM m_run_log WHERE batch_id = (SELECT batch_id FROM m_run_log
@@ -619,13 +622,17 @@ PARTS["m_gaps"] = """
 oracle("dq_cadence", f"SELECT load_id, point_id, forecast_time, {rnd('gap_hours', 3)} AS gap_hours FROM m_gaps WHERE gap_hours <> 1")
 oracle(
     "dq_hours_per_point",
-    "SELECT load_id, point_id, count(*) AS forecast_hours FROM m_hours_of_points WHERE point_id IN (SELECT point_id FROM m_on_points) GROUP BY 1, 2",
+    """SELECT b.load_id, p.point_id, count(h.forecast_time) AS forecast_hours
+    FROM (SELECT DISTINCT load_id FROM m_dirty) b CROSS JOIN m_on_points p
+    LEFT JOIN m_hours_of_points h ON h.load_id = b.load_id AND h.point_id = p.point_id GROUP BY 1, 2""",
 )
 oracle(
     "dq_point_coverage",
-    """SELECT COALESCE(h.point_id, p.point_id) AS point_id, CASE WHEN h.point_id IS NULL THEN 'MISSING'
-      WHEN p.point_id IS NULL THEN 'UNEXPECTED' ELSE 'PRESENT' END AS coverage
-    FROM (SELECT DISTINCT point_id FROM m_dirty WHERE trim(point_id) <> '') h FULL JOIN m_on_points p ON p.point_id = h.point_id""",
+    """SELECT COALESCE(h.load_id, p.load_id) AS load_id, COALESCE(h.point_id, p.point_id) AS point_id,
+      CASE WHEN h.point_id IS NULL THEN 'MISSING' WHEN p.point_id IS NULL THEN 'UNEXPECTED' ELSE 'PRESENT' END AS coverage
+    FROM (SELECT DISTINCT load_id, trim(point_id) AS point_id FROM m_dirty WHERE trim(point_id) <> '') h
+    FULL JOIN (SELECT b.load_id, q.point_id FROM (SELECT DISTINCT load_id FROM m_dirty) b CROSS JOIN m_on_points q) p
+      ON p.load_id = h.load_id AND p.point_id = h.point_id""",
 )
 PARTS["m_per_point"] = """
   SELECT load_id, g.point_id, count(*) AS hours, count(*) FILTER (WHERE gap_hours <> 1) AS bad_gaps, p.point_id IS NOT NULL AS known
@@ -716,26 +723,30 @@ def blank(*columns):
     return [("BLANK", c, f"{c} IS NULL OR trim({c}) = ''") for c in columns]
 
 
+PARTS["m_strayed_locations"] = """
+  SELECT * REPLACE (CASE WHEN CAST(substr(location_id, 2) AS INTEGER) % 6 = 0 THEN 'ATLANTIS' ELSE region END AS region) FROM m_locations"""
+PARTS["m_strayed_points"] = """
+  SELECT * REPLACE (CASE WHEN CAST(substr(point_id, 2) AS INTEGER) % 29 = 0 THEN 'L99' ELSE location_id END AS location_id) FROM m_points"""
 oracle(
     "dim_location_audit",
     issue_rows(
-        "m_locations",
+        "m_strayed_locations",
         [
             *blank("location_id", "location_name", "region", "admin_type"),
-            ("VALUE_NOT_ALLOWED", "region", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"),
+            ("VALUE_NOT_ALLOWED", "region", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"),
             ("VALUE_NOT_ALLOWED", "admin_type", "admin_type NOT IN ('City', 'Province')"),
             ("INVALID_BOOLEAN", "is_active", "lower(is_active) NOT IN ('yes', 'no')"),
         ],
     )
     + " UNION ALL "
-    + dup_rows("m_locations", ["location_id"], "DUPLICATE_KEY", True)
+    + dup_rows("m_strayed_locations", ["location_id"], "DUPLICATE_KEY", True)
     + " UNION ALL "
-    + dup_rows("m_locations", ["location_name"], "DUPLICATE_KEY", True),
+    + dup_rows("m_strayed_locations", ["location_name"], "DUPLICATE_KEY", True),
 )
 oracle(
     "dim_point_audit",
     issue_rows(
-        "m_points",
+        "m_strayed_points",
         [
             *blank("point_id", "location_id", "point_name", "point_type"),
             ("INVALID_NUMBER", "latitude", "latitude IS NULL"),
@@ -746,11 +757,11 @@ oracle(
         ],
     )
     + " UNION ALL "
-    + dup_rows("m_points", ["point_id"], "DUPLICATE_KEY", True)
+    + dup_rows("m_strayed_points", ["point_id"], "DUPLICATE_KEY", True)
     + " UNION ALL "
-    + dup_rows("m_points", ["location_id", "latitude", "longitude"], "DUPLICATE_COORDINATES")
-    + """ UNION ALL SELECT 'UNKNOWN_LOCATION', 'location_id', count(DISTINCT location_id) FROM m_points
-      WHERE location_id NOT IN (SELECT location_id FROM m_locations WHERE location_id <> 'L3')""",
+    + dup_rows("m_strayed_points", ["location_id", "latitude", "longitude"], "DUPLICATE_COORDINATES")
+    + """ UNION ALL SELECT 'UNKNOWN_LOCATION', 'location_id', count(DISTINCT location_id) FROM m_strayed_points
+      WHERE location_id NOT IN (SELECT location_id FROM m_locations)""",
 )
 oracle(
     "config_audit",
@@ -1007,10 +1018,10 @@ oracle(
 )
 oracle(
     "release_locations",
-    """SELECT l.location_id, least(COALESCE(n, 0), 5) AS record_count, c.point_id, c.us_aqi, c.source_batch_id AS batch_id
+    """SELECT l.location_id, COALESCE(n, 0) AS record_count, c.point_id, c.us_aqi, c.source_batch_id AS batch_id
     FROM m_locations l LEFT JOIN (SELECT location_id, count(*) AS n FROM m_current_all GROUP BY 1) k ON k.location_id = l.location_id
     LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY aqi_severity DESC NULLS LAST, us_aqi DESC NULLS LAST, point_id) AS rn
-               FROM m_current_all) c ON c.location_id = l.location_id AND rn <= 5""",
+               FROM m_current_all) c ON c.location_id = l.location_id""",
 )
 oracle(
     "release_history",

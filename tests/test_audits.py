@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from data import SOURCE, batch, frame, locations, points, reading
 from skyledger import schema
-from skyledger.operators import audits, joins
+from skyledger.operators import audits, batch_checks, joins, rules
 
 
 def issues(df, contract):
@@ -78,6 +78,33 @@ def test_orphans_and_coverage(spark):
     assert {r.point_id: r.coverage for r in rows} == {"P1": "PRESENT", "P2": "MISSING", "P7": "UNEXPECTED"}
 
 
+def test_coverage_of_each_batch(spark):
+    rows = [("B1", "P1"), ("B1", " "), ("B2", "P2"), ("B2", "P7"), ("B3", None)]
+    seen = spark.createDataFrame(rows, "batch_id string, point_id string")
+    found = joins.coverage_by_group(seen, points(spark).select("point_id"), "batch_id", "point_id").collect()
+    assert sorted((r.batch_id, r.point_id, r.coverage) for r in found) == [
+        ("B1", "P1", "PRESENT"), ("B1", "P2", "MISSING"), ("B2", "P1", "MISSING"), ("B2", "P2", "PRESENT"),
+        ("B2", "P7", "UNEXPECTED"), ("B3", "P1", "MISSING"), ("B3", "P2", "MISSING"),
+    ]
+
+
+def test_point_without_readings_has_no_hours(spark):
+    rows = frame(spark, [r for r in batch() if r["point_id"] != "P2"])
+    found = {r.point_id: r.forecast_hours for r in batch_checks.hours_per_point(rows, points(spark), "batch_id").collect()}
+    assert found["P2"] == 0 and found["P1"] > 0
+
+
+@pytest.mark.parametrize("table", ["point", "location"])
+def test_repeated_dimension_row_stops_grading_and_serving(spark, table):
+    p, l = points(spark), locations(spark)
+    p, l = (p.union(p.limit(1)), l) if table == "point" else (p, l.union(l.limit(1)))
+    readings = frame(spark, batch())
+    with pytest.raises(Exception, match="not unique"):
+        rules.with_dimensions(readings, p, l).collect()
+    with pytest.raises(Exception, match="not unique"):
+        joins.star(readings, p, l).collect()
+
+
 @pytest.mark.parametrize("rows, valid", [(2, True), (3, False)])
 def test_dataset_audit(spark, rows, valid):
     df = spark.createDataFrame([("P1", "B"), ("P2", "B")], "point_id string, batch string")

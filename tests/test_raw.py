@@ -45,6 +45,16 @@ def load(spark, folder, documents):
     return raw.read_raw(spark, str(folder))
 
 
+def test_hours_before_ten_are_found(spark, tmp_path):
+    path = tmp_path / "date=2026-07-13" / "hour=05" / "batch_id=20260713"
+    path.mkdir(parents=True)
+    (path / "0.json").write_text(json.dumps(document()))
+    found = raw.read_raw(spark, str(tmp_path), date="2026-07-13", hour="05", batch="20260713")
+    assert found.count() == 1 and found.first().hour == "05"
+    assert "PartitionFilters: [isnotnull(" in found._jdf.queryExecution().executedPlan().toString()
+    assert raw.read_raw(spark, str(tmp_path), hour="06").count() == 0
+
+
 def failure_of(spark, folder, doc):
     return raw.with_failure(load(spark, folder, [doc]), SOURCE).first().failure
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from data import SOURCE, batch, frame, locations, points, reading
+from skyledger.operators import joins
 from skyledger.plans import alerts, marts, quality, release
 from skyledger.sinks import batches, facts, marts as mart_sink, release as release_sink
 from skyledger.sources import tables
@@ -131,7 +132,86 @@ def test_collectable_points(spark, tmp_path):
     path = tmp_path / "points.csv"
     path.write_text(
         "point_id,location_id,point_name,point_type,latitude,longitude,is_active\n"
-        "A,L1,a,t,1,2,true\nB,L1,b,t,x,2,true\nC,L1,c,t,1,2,no\nD,L1,d,t,1,2,1\nD,L1,d,t,1,2,1\nE,L1, ,t,1,2,1\n"
+        "A,L1,a,t,1,2,true\nB,L1,b,t,x,2,true\nC,L1,c,t,1,2,no\nE,L1, ,t,1,2,1\n"
     )
     assert [r.point_id for r in tables.collectable_points(tables.read_points(spark, str(path))).collect()] == ["A"]
+    path.write_text(path.read_text() + "A,L2,a,t,1,2,true\n")
+    with pytest.raises(Exception, match="not unique: A"):
+        tables.collectable_points(tables.read_points(spark, str(path))).collect()
+
+
+def test_last_row_of_a_file_wins(spark, tmp_path):
+    path = tmp_path / "locations.csv"
+    path.write_text("location_id,location_name,region,admin_type,is_active\nL1,Old,R,City,1\nL1,New,R,City,1\n")
+    named = joins.enrich_locations(frame(spark, batch()), tables.read_locations(spark, str(path)), tables.LOAD_ORDER)
+    assert {r.location_name for r in named.where("location_id = 'L1'").collect()} == {"New"}
+
+
+def test_alert_day_that_empties_is_deleted(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    made = F.lit("2026-07-20 12:00:00").cast("timestamp")
+    for index in (160, 40):
+        judged = frame(spark, [reading("P1", us_aqi=index)])
+        facts.upsert_alerts(spark, path, judged, alerts.derive(judged, made))
+    assert spark.read.schema("point_id string").parquet(path).count() == 0
+    assert os.listdir(tmp_path) == ["alerts"]
+
+
+def history_folder(spark, root, many=1, **lacking):
+    """Batches B0.. of two files each; returns the files of each batch."""
+    rows = [dict(r, batch_id=f"B{i}") for i in range(many) for r in batch()]
+    df = frame(spark, rows).withColumns({"date": F.lit("2026-07-20"), "hour": F.lit("05")})
+    df = df.repartition(2 * many, "batch_id", "forecast_time")
+    df.write.partitionBy("date", "hour", "batch_id").parquet(root)
+    return {
+        f"B{i}": sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet") and d.endswith(f"batch_id=B{i}"))
+        for i in range(many)
+    }
+
+
+def test_destroyed_files_make_their_batch_invalid(spark, tmp_path):
+    root = str(tmp_path / "clean")
+    files = history_folder(spark, root, many=4)
+    for name in [files["B1"][0], *files["B2"]]:
+        with open(name, "wb") as broken:
+            broken.write(b"no parquet")
+    rows, report = tables.read_history_isolated(spark, root)
+    found = {r.batch_id: r.is_valid for r in report.collect()}
+    assert found == {"B0": True, "B1": False, "B2": False, "B3": True}
+    assert {r.batch_id for r in rows.select("batch_id").distinct().collect()} == {"B0", "B3"}
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tables.read_history(spark, root).collect()
+
+
+def test_announced_counts_and_missing_batches(spark, tmp_path):
+    root = str(tmp_path / "clean")
+    history_folder(spark, root, many=2)
+    announced = spark.createDataFrame([("B0", 6), ("B1", 7), ("B9", 1)], "batch_id string, announced_count long")
+    report = {r.batch_id: (r.is_valid, r.files) for r in tables.history_report(spark, root, announced).collect()}
+    assert report["B0"][0] and not report["B1"][0] and report["B9"] == (False, 0)
+
+
+def test_batch_without_a_column_is_invalid(spark, tmp_path):
+    root = str(tmp_path / "clean")
+    history_folder(spark, root)
+    lacking = frame(spark, batch()).drop("source").withColumns({"date": F.lit("2026-07-20"), "hour": F.lit("05"), "batch_id": F.lit("B8")})
+    lacking.write.mode("append").partitionBy("date", "hour", "batch_id").parquet(root)
+    report = {r.batch_id: r for r in tables.history_report(spark, root).collect()}
+    assert report["B0"].is_valid and not report["B8"].is_valid and report["B8"].empty_columns == ["source"]
+
+
+def test_every_skipped_batch_is_listed(spark):
+    rows = [dict(r, batch_id=f"B{i}") for i in range(25) for r in [*batch(), batch()[0]]]
+    assert tables.skipped_batches(frame(spark, rows)).count() == 25
+
+
+def test_damaged_build_is_passed_over(spark, tmp_path):
+    root = str(tmp_path)
+    made = F.lit("2026-07-21 00:00:00").cast("timestamp")
+    history = frame(spark, batch())
+    for name in ("batch_id=B1", "batch_id=B2"):
+        mart_sink.build_marts(history, locations(spark), made, root, name)
+    marts.build(history, locations(spark), made)["current"].limit(1).write.mode("overwrite").parquet(f"{root}/current/batch_id=B2")
+    found = mart_sink.read_latest(spark, root, "current")
+    assert found.count() == 2 and "batch_id=B1" in found.inputFiles()[0]
 
