@@ -81,7 +81,7 @@ def labelled(docs: DataFrame, labels: DataFrame, categories: dict[str, str], mos
         F.col("doc_id").alias("_id"), F.array(*[f"y{i}" for i in range(len(categories))]).alias("y")
     )
     # The drawn labels are bounded by ``most``, so they go to every task.
-    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
     return cut(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
 
 
@@ -285,7 +285,17 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
-def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the chain does not call toxic."""
+def filtered(docs: DataFrame, labels: DataFrame, reject: str = "toxic") -> DataFrame:
+    """The documents that the chain does not put into the category ``reject``."""
     chain = fit(docs, labels, CATEGORIES)
-    return scored(docs, chain).where("NOT is_toxic").select(*[F.col(c) for c in docs.columns])
+    place = chain.names.index(reject)
+    model = chain.models[place]
+    if model is None:
+        return docs
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = chain.score([t or "" for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array(p[:, place] < model[1]))
+
+    return docs.mapInArrow(kept, docs.schema)
