@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,15 +11,65 @@ from skyledger.operators import batch_checks, rules
 from skyledger.schema import CLEAN_COLUMNS
 
 
-@dataclass(frozen=True)
 class Grading:
-    """Lazy results of grading all batches of a table of readings."""
+    """Results of grading all batches of a table of readings, each planned when first asked for.
 
-    valid: DataFrame
-    bad: DataFrame
-    row_report: DataFrame
-    batch_report: DataFrame
-    summary: DataFrame
+    A query that needs one result does not pay for the plans of the others.
+    """
+
+    def __init__(
+        self,
+        readings: DataFrame,
+        points: DataFrame,
+        locations: DataFrame,
+        source: str,
+        checked_at: Column,
+        batch: str,
+        hours: int,
+        freshness_minutes: int,
+        tolerance: float,
+    ):
+        self._readings, self._points, self._locations = readings, points, locations
+        self._source, self._checked_at, self._batch = source, checked_at, batch
+        self._hours, self._freshness, self._tolerance = hours, freshness_minutes, tolerance
+
+    @cached_property
+    def _checked(self) -> tuple[DataFrame, list[rules.Rule]]:
+        return rules.check_readings(
+            self._readings, self._points, self._locations, self._source, self._tolerance, self._batch
+        )
+
+    @cached_property
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return rules.split(*self._checked, self._checked_at)
+
+    @cached_property
+    def _facts(self) -> DataFrame:
+        return batch_checks.batch_facts(
+            self._readings, self._points, self._batch, self._source, self._hours, self._freshness
+        )
+
+    @property
+    def valid(self) -> DataFrame:
+        return self._split[0]
+
+    @property
+    def bad(self) -> DataFrame:
+        return self._split[1]
+
+    @cached_property
+    def row_report(self) -> DataFrame:
+        return rules.report(*self._checked, [self._batch])
+
+    @cached_property
+    def batch_report(self) -> DataFrame:
+        return batch_checks.batch_report(self._facts, self._batch, self._hours, self._freshness)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        prepared, row_rules = self._checked
+        rows = batch_checks.row_facts(prepared, row_rules, self._batch)
+        return batch_checks.score(self._facts, rows, len(row_rules), self._batch)
 
 
 def grade(
@@ -39,17 +89,7 @@ def grade(
         raise ValueError(f"readings lack columns: {', '.join(missing)}")
     if tolerance < 0:
         raise ValueError("tolerance must not be negative")
-    prepared, row_rules = rules.check_readings(readings, points, locations, source, tolerance, batch)
-    valid, bad = rules.split(prepared, row_rules, checked_at)
-    facts = batch_checks.batch_facts(readings, points, batch, source, hours, freshness_minutes)
-    rows = batch_checks.row_facts(prepared, row_rules, batch)
-    return Grading(
-        valid=valid,
-        bad=bad,
-        row_report=rules.report(prepared, row_rules, [batch]),
-        batch_report=batch_checks.batch_report(facts, batch, hours, freshness_minutes),
-        summary=batch_checks.score(facts, rows, len(row_rules), batch),
-    )
+    return Grading(readings, points, locations, source, checked_at, batch, hours, freshness_minutes, tolerance)
 
 
 def not_passed(row_report: DataFrame, batch_report: DataFrame, batch: str = "load_id") -> DataFrame:

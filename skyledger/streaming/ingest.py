@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.functions.bands import level_code, local_level
 from skyledger.operators.ranking import latest_wins
 from skyledger.plans.ingest import clean_batches, transform
+from skyledger.plans.quality import grade
 from skyledger.schema import LOGICAL_KEY, RAW_SCHEMA
 from skyledger.sinks.facts import upsert_facts
 
@@ -19,17 +20,32 @@ def labelled(rows: DataFrame) -> DataFrame:
 
 
 def ingest_available(
-    spark: SparkSession, raw_path: str, fact_path: str, checkpoint: str, source: str
+    spark: SparkSession,
+    raw_path: str,
+    fact_path: str,
+    checkpoint: str,
+    source: str,
+    points: DataFrame | None = None,
+    locations: DataFrame | None = None,
+    bad_path: str | None = None,
 ) -> StreamingQuery:
     """Process the documents that arrived since the last run, then stop.
 
-    The checkpoint remembers the files already taken. A replayed micro-batch
-    upserts the same keys again, so the table does not change.
+    With the dimensions given, rows are graded: only valid ones reach the facts,
+    the others a folder of their micro-batch below ``bad_path``. The checkpoint
+    remembers the files already taken. A replayed micro-batch upserts the same
+    keys again and overwrites its quarantine, so neither table changes.
     """
     documents = spark.readStream.schema(RAW_SCHEMA).option("multiLine", True).json(raw_path)
 
-    def load(batch: DataFrame, _: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         rows = clean_batches(transform(batch, source))
+        if points is not None and locations is not None:
+            loaded = rows.withColumn("load_id", F.col("batch_id"))
+            graded = grade(loaded, points, locations, source, F.current_timestamp())
+            if bad_path is not None:
+                graded.bad.write.mode("overwrite").parquet(f"{bad_path}/micro_batch={number}")
+            rows = graded.valid.drop("load_id")
         upsert_facts(batch.sparkSession, fact_path, labelled(latest_wins(rows, LOGICAL_KEY)))
 
     return (

@@ -1,7 +1,7 @@
 import json
 
-from data import SOURCE, frame, reading
-from skyledger.schema import CLEAN_SCHEMA
+from data import SOURCE, frame, locations, points, reading
+from skyledger.schema import AQI_COLUMNS, CLEAN_SCHEMA
 from skyledger.streaming import live
 from skyledger.streaming.ingest import ingest_available
 from test_raw import document
@@ -34,6 +34,17 @@ def test_new_documents_reach_the_facts_once(spark, tmp_path):
     assert run(spark, tmp_path).count() == 2
 
 
+def test_rows_that_break_a_rule_go_to_quarantine(spark, tmp_path):
+    put(tmp_path, "1.json", document("P1", pm10=[-1.0, 2.0], **{c: [75, 80] for c in AQI_COLUMNS}))
+    paths = [str(tmp_path / name) for name in ("raw", "facts", "checkpoint")]
+    ingest_available(
+        spark, *paths, SOURCE, points(spark), locations(spark), str(tmp_path / "bad")
+    ).awaitTermination(120)
+    assert [r.pm10 for r in spark.read.parquet(paths[1]).collect()] == [2.0]
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert [(r.pm10, r.dq_status) for r in bad] == [(-1.0, "FAILED")]
+
+
 def drain(spark, df, name):
     query = df.writeStream.outputMode("complete").format("memory").queryName(name).start()
     query.processAllAvailable()
