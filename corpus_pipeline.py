@@ -12,6 +12,7 @@ from skyledger.llm.common import cut, prepare, table
 
 def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
+    prepare(spark)
     return toxicity.filtered(docs, table(spark, folder, "labels"))
 
 
@@ -29,6 +30,7 @@ def personal_data_out(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents repeated or left out so that sources have their target weights."""
+    prepare(spark)
     return mixing.mix(docs)
 
 

@@ -17,11 +17,19 @@ from skyledger import session
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Rows that Spark sends to Python at once; whole texts and token sets are wide rows.
+BATCH_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it.
+    """Bound what Spark sends to Python at once, and let workers import this package.
 
-    A cluster that ships the package with ``--py-files`` does not need this.
+    Workers find the package where the driver found it; a cluster that ships it
+    with ``--py-files`` does not need that.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(rows))
+    spark.conf.set(rows, str(min(now, BATCH_ROWS) if now > 0 else BATCH_ROWS))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
@@ -136,6 +144,22 @@ def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]
         first = last
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: a task's Python objects then stay few, whatever Spark sends at once."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
+def squeezed(raw: bytes) -> bytes:
+    """Bytes packed with zstd behind their length."""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def unsqueezed(packed: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads every bit of 64-bit values over all bits."""
     x = x.astype(np.uint64)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import cut, mixed
+from skyledger.llm.common import cut, mixed, parts
 
 LENGTH = 2048
 END = 1
@@ -31,7 +31,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Dimensions of the hashed vector and bits of each on the curve.
 DIMENSIONS, BITS = 4, 12
 #: Distinct words whose ids a Python worker remembers at most.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 # ASCII, Latin letters and common signs: the same letters, spaces and normal form to Python and the tokenizer.
 PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7e\\xa0\\xab\\xbb\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u017e\\u2013-\\u2026\\u20ac]*")
@@ -170,12 +170,10 @@ def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.at(path)
-        for batch in batches:
-            for first in range(0, len(batch), 500):
-                part = batch.slice(first, 500)
-                ids = [encoder.ids(text.as_py() or "") + end for text in part.column("text")]
-                places = keys(np.stack([vector(np.frombuffer(x, "<u2")) for x in ids]))
-                yield pa.record_batch([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(places)], schema=schema)
+        for part in parts(batches):
+            ids = [encoder.ids(text.as_py() or "") + end for text in part.column("text")]
+            places = keys(np.stack([vector(np.frombuffer(x, "<u2")) for x in ids]))
+            yield pa.record_batch([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(places)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encode, "doc_id long, ids binary, key long"
@@ -192,7 +190,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = filled = 0
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             columns = [batch.column(name).to_pylist() for name in ("doc_id", "ids", "part")]
             for doc, raw, part in zip(*columns):

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import boosting
+from skyledger.llm.common import parts
 
 #: Pages the trees are trained on at most, about, and new layouts of each.
 SAMPLE, LAYOUTS = 300, 4
@@ -455,14 +456,12 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     trees = fit(pages, sample)
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, len(batch), 200):
-                part = batch.slice(first, 200)
-                found = texts([source or "" for source in part.column("html").to_pylist()], trees)
-                yield pa.record_batch(
-                    [part.column("page_id"), part.column("url"), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())],
-                    names=["page_id", "url", "text", "n_chars"],
-                )
+        for part in parts(batches, 200):
+            found = texts([source or "" for source in part.column("html").to_pylist()], trees)
+            yield pa.record_batch(
+                [part.column("page_id"), part.column("url"), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())],
+                names=["page_id", "url", "text", "n_chars"],
+            )
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         extracted, "page_id long, url string, text string, n_chars long"

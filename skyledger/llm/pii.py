@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from skyledger.llm.common import parts
+
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
 KINDS = BASE + ADDED
@@ -177,7 +179,7 @@ def report(docs: DataFrame) -> DataFrame:
     """Counts, digest and spans of every document; narrow, without a shuffle."""
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             columns = {field.name: [] for field in REPORT}
             for text in batch.column("text"):
                 found = spans(text.as_py())
@@ -207,7 +209,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             at = batch.schema.get_field_index("text")
             texts = []
             for value in batch.column(at):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.common import cut
+from skyledger.llm.common import cut, parts
 
 #: Labelled rows that a fit takes at most, about.
 TRAIN_ROWS = 16_000
@@ -101,7 +101,7 @@ def vocabulary(train: DataFrame, size: int, kept: int = VOCABULARY) -> list[str]
                 names=["feature", "n", *[f"y{i}" for i in range(size)]],
             )
 
-        for batch in batches:
+        for batch in parts(batches):
             for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
                 for name in features(text.as_py()):
                     entry = counts[name]
@@ -222,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most: in
     chain = Chain(list(categories), vocabulary(train, size))
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts = batch.column("text").to_pylist()
             yield pa.record_batch(
                 [
@@ -270,7 +270,7 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
         schema = schema.add(f"is_{name}", "boolean")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             p = chain.score([t or "" for t in batch.column("text").to_pylist()])
             columns = list(batch.columns) + [pa.array(p[:, i]) for i in range(len(chain.names))]
             for i, model in enumerate(chain.models):
@@ -294,7 +294,7 @@ def filtered(docs: DataFrame, labels: DataFrame, reject: str = "toxic") -> DataF
         return docs
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             p = chain.score([t or "" for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(p[:, place] < model[1]))
 
