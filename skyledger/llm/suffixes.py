@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Rolling, cut, slices, some_texts, split_texts, utf8
+from skyledger.llm.common import Rolling, cut, slices, some_texts, split_texts, squeezed, unsqueezed, utf8
 
 LENGTH, GRAM = 100, 32
 #: Anchor candidates inside a string.
@@ -143,15 +143,18 @@ def repeated_anchors(docs: DataFrame, total: int) -> DataFrame:
             full = grams >> np.uint64(32 - bits)
             _, first, inverse, counts = np.unique(full, return_index=True, return_inverse=True, return_counts=True)
             # Repeated within the batch: known already, so only the first one is exchanged.
-            known = counts[inverse] > 1
-            out = [
-                (-1 - key % 64, *blocks)
-                for key, blocks in grouped_blocks(uids[known] // 16, name[known], uids[known], places[known].astype(np.uint32))
-            ]
-            out += [
-                (key, *blocks)
-                for key, blocks in grouped_blocks(bucket[first], name[first], uids[first], places[first].astype(np.uint32))
-            ]
+            known = np.flatnonzero(counts[inverse] > 1)
+            first = np.sort(first)
+            out = []
+            for rows, keys in ((known, -1 - uids[known] // 16 % 64), (first, bucket[first])):
+                # Steps between the numbers of neighbours are small and pack well.
+                steps = np.zeros(len(rows), np.int64)
+                order = np.argsort(keys, kind="stable")
+                steps[order] = np.diff(uids[rows][order], prepend=0)
+                starts = np.unique(keys[order], return_index=True)[1]
+                steps[order[starts]] = uids[rows][order[starts]]
+                for key, (a, b, c) in grouped_blocks(keys, name[rows], steps, places[rows].astype(np.uint32)):
+                    out.append((key, a, squeezed(b), squeezed(c)))
             columns = list(zip(*out)) or [[], [], [], []]
             yield pa.record_batch(
                 [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
@@ -159,10 +162,9 @@ def repeated_anchors(docs: DataFrame, total: int) -> DataFrame:
             )
 
     def counted(group: pa.Table) -> pa.Table:
-        names, uids, places = (
-            np.concatenate([np.frombuffer(b.as_py(), kind) for b in group.column(c)])
-            for c, kind in (("names", np.uint32), ("uids", np.int64), ("places", np.uint32))
-        )
+        names = np.concatenate([np.frombuffer(b.as_py(), np.uint32) for b in group.column("names")])
+        uids = np.concatenate([np.cumsum(np.frombuffer(unsqueezed(b.as_py()), np.int64)) for b in group.column("uids")])
+        places = np.concatenate([np.frombuffer(unsqueezed(b.as_py()), np.uint32) for b in group.column("places")])
         if group.column("bucket")[0].as_py() >= 0:
             _, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
             again = counts[inverse] > 1
@@ -259,7 +261,8 @@ def runs(active: DataFrame, bounds: list[bytes]) -> DataFrame:
                 behind = left[a:b][np.arange(REACH - 1) < high[a:b, None]]
                 yield (
                     number, uid[a:b].tobytes(), place[a:b].astype(np.int32).tobytes(), low[a:b].astype(np.uint8).tobytes(),
-                    high[a:b].astype(np.uint8).tobytes(), known.astype(np.uint8).tobytes(), rest.tobytes(), behind.tobytes(),
+                    high[a:b].astype(np.uint8).tobytes(), known.astype(np.uint8).tobytes(),
+                    squeezed(rest.tobytes()), squeezed(behind.tobytes()),
                 )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +287,7 @@ RUN_SCHEMA = pa.schema([("range", pa.int32())] + [(name, pa.binary()) for name i
 def entries(block: dict) -> Iterator[tuple]:
     """Suffixes of a front-coded run in order: suffix, known prefix, uid, place, low, high, left side."""
     uids, places = np.frombuffer(block["uids"], np.int64).tolist(), np.frombuffer(block["places"], np.int32).tolist()
-    rests, lefts, suffix, rest, left = block["rests"], block["lefts"], b"", 0, 0
+    rests, lefts, suffix, rest, left = unsqueezed(block["rests"]), unsqueezed(block["lefts"]), b"", 0, 0
     for uid, place, low, high, known in zip(uids, places, block["lows"], block["highs"], block["prefixes"]):
         more = LENGTH - low - known
         suffix = suffix[:known] + rests[rest : rest + more]
