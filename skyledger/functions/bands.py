@@ -34,6 +34,7 @@ LOCAL_LEVELS = (
 DISPLAY_LEVELS = (*LOCAL_LEVELS[:5], "Nguy hiểm")
 NO_DATA_LEVEL = "Không có dữ liệu"
 ALERT_SEVERITIES = (None, None, "MEDIUM", "HIGH", "CRITICAL", "CRITICAL")
+# Colour of each band as red, green, blue and opacity.
 BAND_COLORS = (
     (34, 197, 94, 225),
     (234, 179, 8, 230),
@@ -43,6 +44,7 @@ BAND_COLORS = (
     (127, 29, 29, 235),
 )
 NO_DATA_COLOR = (148, 163, 184, 210)
+# Health advice of each band, title, body and colour.
 ADVICE_TITLES = (
     "Sinh hoạt ngoài trời bình thường",
     "Hầu hết mọi người có thể sinh hoạt bình thường",
@@ -69,6 +71,7 @@ ADVICE_BODIES = (
 NO_DATA_BODY = "Hiện chưa có đủ dữ liệu AQI để đánh giá mức chất lượng không khí."
 ADVICE_COLORS = ("#22c55e", "#eab308", "#f97316", "#dc2626", "#9333ea", "#7f1d1d")
 NO_DATA_ADVICE_COLOR = "#64748b"
+# Fixed value: text of an alert.
 ALERT_MESSAGE = "Cảnh báo chất lượng không khí: %s (%s) có US AQI=%d, mức '%s'."
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from skyledger.functions.bands import LEVEL_CODES, LEVEL_NAMES
 
+# Column names of the layers, the logical key and the point types.
 POLLUTANTS = (
     "pm2_5",
     "pm10",
