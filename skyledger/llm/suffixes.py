@@ -436,9 +436,10 @@ def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     listed = places.groupBy("uid").agg(F.collect_list("places").alias("places"))
     active = cut(some_texts(rows.select("uid", "text"), places, "uid").dropDuplicates(["uid"]).join(listed, "uid"))
     bounds = splitters(active, documents, -(-count // RANGE))
-    found = runs(active, bounds).groupBy("range").applyInArrow(merge_range, "uid long, spans binary")
+    found = cut(runs(active, bounds).groupBy("range").applyInArrow(merge_range, "uid long, spans binary"))
     spans = found.groupBy("uid").agg(F.collect_list("spans").alias("spans"))
-    return copies, active.select("uid", "text").join(spans, "uid")
+    # Only texts that lose bytes are moved again.
+    return copies, some_texts(active.select("uid", "text"), found, "uid").join(spans, "uid")
 
 
 def removed(docs: DataFrame) -> DataFrame:
