@@ -93,14 +93,14 @@ def free(frame: DataFrame, *names: str) -> list[str]:
 FILTER_BITS = 1 << 26
 
 
-def split_texts(docs: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``name`` may be among the wanted ones, and rows where it cannot.
+def split_texts(docs: DataFrame, wanted: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``names`` may be among the wanted ones, and rows where they cannot.
 
     The filter has a fixed size, 8 MB, so it can go to every task. It never takes
     a wanted row for an unwanted one.
     """
     row, bucket, held, hit = free(docs, "_row", "_bucket", "_bits", "_hit")
-    slot = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS)) + 1
+    slot = F.pmod(F.xxhash64(*names), F.lit(FILTER_BITS)) + 1
     bits = (
         wanted.select(slot.alias("_slot"))
         .groupBy(F.bitmap_bucket_number("_slot").alias(bucket))
@@ -117,8 +117,8 @@ def split_texts(docs: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFram
     return marked.where(F.col(hit)).drop(hit), marked.where(~F.col(hit)).drop(hit)
 
 
-def some_texts(docs: DataFrame, wanted: DataFrame, name: str = "doc_id") -> DataFrame:
-    return split_texts(docs, wanted, name)[0]
+def some_texts(docs: DataFrame, wanted: DataFrame, *names: str) -> DataFrame:
+    return split_texts(docs, wanted, *names)[0]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -30,9 +30,10 @@ and the components are exact, up to collisions of 64-bit hashes.
 
 Defined cases: null and empty texts have an empty set and link with nothing; a
 text of one to four words is one shingle; repeated rows are documents with equal
-sets; a null ``doc_id`` never names a component unless it has no other document;
-columns beside ``doc_id`` and ``text`` are ignored by ``linked`` and kept by
-``deduplicated``.
+sets; rows that share an id, or have none, are documents of their own, told apart by
+a 64-bit hash of their text; a null ``doc_id`` never names a component unless it has
+no other document; columns beside ``doc_id`` and ``text`` are ignored by ``linked``
+and kept by ``deduplicated``.
 """
 
 from __future__ import annotations
@@ -129,8 +130,13 @@ def words64(packs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(packs), np.uint64).reshape(-1, SIGN_BITS // 64)
 
 
+def texts_of(docs: DataFrame) -> DataFrame:
+    """doc_id, h (hash of the text) and text; doc_id alone does not name a row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+
+
 def set_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, n (tokens of the set), k (the set's key, null for an empty set) and its parity bits."""
+    """doc_id, h, n (tokens of the set), k (the set's key, null for an empty set) and its parity bits."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,13 +146,17 @@ def set_keys(docs: DataFrame) -> DataFrame:
                 keys.append(set_key(tokens) if len(tokens) else None)
                 bits.append(parity(tokens))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())],
-                names=["doc_id", "n", "k", "bits"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("h"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(bits, pa.binary()),
+                ],
+                names=["doc_id", "h", "n", "k", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        keyed, "doc_id long, n long, k long, bits binary"
-    )
+    return texts_of(docs).mapInArrow(keyed, "doc_id long, h long, n long, k long, bits binary")
 
 
 def short_names(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -251,11 +261,16 @@ def postings(docs: DataFrame, hot: tuple[int, np.ndarray, np.ndarray]) -> DataFr
     return shared.where("_low <> _high").select("token", "k", "n", "place", "typical").distinct()
 
 
-def token_table(docs: DataFrame, distinct: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(k, n, tokens) of the wanted sets, each from its least document."""
-    wanted = distinct.join(wanted.select("k").distinct(), "k", "left_semi").select("k", F.col("least").alias("_id"))
-    texts = some_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted.select(F.col("_id").alias("doc_id")))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("k", "text")
+def token_table(docs: DataFrame, distinct: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """(k, n, tokens) of the wanted sets, each from its least document; ``repeated`` if one may be there twice."""
+    wanted = distinct.join(wanted.select("k").distinct(), "k", "left_semi").select(
+        "k", F.col("least.doc_id").alias("_id"), F.col("least.h").alias("_h")
+    )
+    texts = some_texts(texts_of(docs), wanted.select(F.col("_id").alias("doc_id"), F.col("_h").alias("h")), "doc_id", "h")
+    if repeated:
+        texts = texts.dropDuplicates(["doc_id", "h"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    texts = texts.join(wanted, same).select("k", "text")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -423,7 +438,7 @@ def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
+def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
     """Links (a, b) between sets of different classes, by way of the token-group matrix.
 
     ``pairs`` holds every pair that no bound has ruled out. Of a pair, the first
@@ -437,17 +452,23 @@ def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes
     other = grouped.withColumnRenamed("k", "b")
     queries = cut(pairs.join(own, "a").join(other, "b").where("own <> c").select(F.col("a").alias("k"), "c", "g").distinct())
     held = grouped.join(queries.select("c", "g").distinct(), ["c", "g"], "left_semi").select("c", "g", "k")
-    tokens = cut(token_table(docs, distinct, queries.select("k").union(held.select("k"))))
+    tokens = cut(token_table(docs, distinct, queries.select("k").union(held.select("k")), repeated))
     return met(held.join(tokens, "k"), queries.join(tokens, "k"), opened, "a long, b long")
 
 
-def linked(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``set_keys``, and (_k, first) of every set: the least document (doc_id, h) of its component."""
     sets = cut(set_keys(docs))
     total = sets.agg(F.sum("n")).first()[0] or 0
-    least = F.min("doc_id").alias("least")
-    distinct = sets.where("k IS NOT NULL").groupBy("k").agg(least, F.first("n").alias("n"), F.first("bits").alias("bits"))
+    # Structs compare field by field, so a null id comes after all others.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    distinct = sets.where("k IS NOT NULL").groupBy("k").agg(
+        F.min(row).alias("least"),
+        F.first("n").alias("n"),
+        F.first("bits").alias("bits"),
+    )
     distinct = cut(distinct)
+    repeated = not sets.where("k IS NOT NULL").groupBy("doc_id", "h").count().where("count > 1").isEmpty()
     posts = cut(postings(docs, frequent(docs, total)))
     typical = F.max(F.struct("typical", "n", "k")).alias("top")
     lists = posts.groupBy("token").agg(F.count("*").alias("sets"), typical)
@@ -464,30 +485,44 @@ def linked(docs: DataFrame) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     best = both.join(scores.withColumnRenamed("k", "b"), "b").groupBy("a").agg(score)
     best = cut(best)
-    tokens = cut(token_table(docs, distinct, best.select(F.col("a").alias("k")).union(best.select("b"))))
+    tokens = cut(token_table(docs, distinct, best.select(F.col("a").alias("k")).union(best.select("b")), repeated))
     classes = cut(components(class_links(best, tokens)))
     rest = cut(pairs.unionByName(long_pairs(long, distinct, classes)).distinct())
-    between = matrix_links(rest, docs, distinct, classes)
+    between = matrix_links(rest, docs, distinct, classes, repeated)
     known = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
     found = components(known.unionByName(between))
-    rooted = distinct.select("k", F.col("least").alias("_least")).join(found, F.col("k") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "k"))
-    named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    members = rooted.select("k", "_root").join(named, "_root").select(F.col("k").alias("_k"), "component_id")
-    return sets.join(members, F.col("k") == F.col("_k"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    rooted = distinct.select("k", "least").join(found, F.col("k") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "k"))
+    named = rooted.groupBy("_root").agg(F.min("least").alias("first"))
+    return sets, rooted.select("k", "_root").join(named, "_root").select(F.col("k").alias("_k"), "first")
+
+
+def linked(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    sets, first = members(docs)
+    return sets.join(first, F.col("k") == F.col("_k"), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id")
     )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the least doc_id.
+    """``docs`` with one row of each component: the one with the least doc_id, of one id with the least text hash.
 
-    Of rows with one id, one stays if any of them would. Only texts that may have
-    to go are moved.
+    Rows are decided by id and text, so a row is only left out if it is a copy of
+    one that stays. Rows without words are copies of nothing and all stay. Only
+    texts that may have to go are moved.
     """
-    keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = cut(linked(docs).groupBy("doc_id").agg(F.max(keep).alias("keep"), F.count("*").alias("rows")))
-    (name,) = free(docs, "_id")
-    gone = ids.where("NOT keep").select(F.col("doc_id").alias(name))
-    maybe, others = split_texts(docs, gone.withColumnRenamed(name, "doc_id"), "doc_id")
-    kept = others.unionByName(maybe.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti"))
-    return kept if ids.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    sets, first = members(docs)
+    keep = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
+    rows = sets.join(first, F.col("k") == F.col("_k")).groupBy("doc_id", "h").agg(F.first(keep).alias("keep"), F.count("*").alias("rows"))
+    own, text_hash, once = free(docs, "_id", "_h", "_once")
+    ruled = rows.where("NOT keep OR rows > 1").select(F.col("doc_id").alias(own), F.col("h").alias(text_hash), F.col("keep").alias(once))
+    ruled = cut(ruled)
+    row, row_hash = free(docs.select("*", *[F.lit(None).alias(c) for c in (own, text_hash, once)]), "_doc", "_text")
+    named = docs.withColumn(row, F.col("doc_id").cast("long")).withColumn(row_hash, F.xxhash64("text"))
+    maybe, others = split_texts(named, ruled.select(F.col(own).alias(row), F.col(text_hash).alias(row_hash)), row, row_hash)
+    same = F.col(row).eqNullSafe(F.col(own)) & (F.col(row_hash) == F.col(text_hash))
+    kept = others.unionByName(maybe.join(ruled, same, "left_anti"))
+    repeated = ruled.where(once)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(maybe.join(repeated, same, "left_semi").dropDuplicates([row, row_hash]))
+    return kept.drop(row, row_hash)

@@ -67,6 +67,27 @@ def test_one_of_each_component_stays(spark):
     assert len(ids) == len(set(ids)) and 1 not in ids and -5 in ids and {4, 5, 6, 7, 8, 13} <= set(ids)
 
 
+def test_only_copies_go(spark):
+    clean, near = odd.prose(40, 90), odd.prose(40, 90).split()
+    near[50] = "changed"
+    others = [odd.prose(41 + i, 60) for i in range(6)]
+    rows = [(1, clean), (5, " ".join(near)), (5, others[0]), (5, others[1]), (None, others[2]), (None, others[3]),
+            (None, others[4]), (None, others[4]), (None, clean), (6, others[5]), (6, others[5]), (7, None), (7, None)]
+    docs = odd.documents(spark, rows)
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.deduplicated(docs).collect()), key=str)
+    assert kept == sorted([(1, clean), (5, others[0]), (5, others[1]), *((None, t) for t in others[2:5]), (6, others[5]), (7, None), (7, None)], key=str)
+    assert result(docs) == brute(rows)
+
+
+def test_texts_of_null_ids_are_read_once(spark):
+    rows = [(None, odd.prose(60 + i, 30)) for i in range(8)] + [(None, odd.prose(60, 30))] * 3
+    docs = odd.documents(spark, rows)
+    sets = jaccard.set_keys(docs)
+    distinct = sets.groupBy("k").agg(jaccard.F.min(jaccard.F.struct(sets.doc_id.isNull().alias("none"), "doc_id", "h")).alias("least"))
+    keys = [r.k for r in jaccard.token_table(docs, distinct, distinct, True).collect()]
+    assert len(keys) == len(set(keys)) == 8
+
+
 def test_bounds_never_rule_out_a_link():
     draw = np.random.default_rng(0)
     for n in (1, 4, 5, 30, 400):
