@@ -12,8 +12,9 @@ with their own text in layouts with menus, sidebars, notices, adverts, forms and
 comments, with and without telling names.
 
 Defined cases: a null or empty page, and one whose text is all out, give an empty
-text; unclosed elements end with their parent; an unclosed comment or script runs
-to the end; blocks are joined as they stand, none is dropped as a repetition;
+text; unclosed elements end with their parent; an unclosed comment, script, style,
+textarea or title runs to the end; an unclosed button, select, svg or other hidden
+element ends where the next block starts or ends; text of formulas stays; blocks are joined as they stand, none is dropped as a repetition;
 repeated rows are treated one by one; a null ``url`` or ``page_id`` is carried
 along; other columns are ignored; an empty table gives an empty result.
 """
@@ -42,9 +43,9 @@ BLOCKS = frozenset(
     "header footer nav aside blockquote pre figure figcaption form fieldset address details summary hr menu dialog "
     "center hgroup search".split()
 )
-HIDDEN = frozenset(
-    "script style noscript template svg math textarea select iframe object canvas title button audio video head".split()
-)
+#: Their content is text up to the end tag, whatever it looks like.
+RAW = frozenset("script style textarea title".split())
+HIDDEN = frozenset("noscript template svg select iframe object canvas button audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 POSITIVE = frozenset(("article", "main"))
 NEGATIVE = frozenset("nav aside footer header form menu dialog search".split())
@@ -67,12 +68,34 @@ CLOSES = {
     "th": (frozenset("td th".split()), frozenset("tr table".split())),
 }
 TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*(?:>|\Z))", re.S)
+#: Tags of hidden elements; comments and raw text are passed over.
+HIDING = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1|\Z)"
+    rf"|<(/?)({'|'.join(sorted(HIDDEN))})(?=[\s/>])([^>]*)>",
+    re.I | re.S,
+)
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LETTERS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 STOPS = re.compile("[.,;:!?]")
 FEATURES = 36
 
 
+def hidden_ends(source: str) -> dict[int, int]:
+    """Place of the end tag of each hidden element that has one, by the place of its start tag."""
+    opened: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
+    ends = {}
+    for found in HIDING.finditer(source):
+        if found[3] is None:
+            continue
+        places = opened[found[3].lower()]
+        if not found[2]:
+            if not found[4].endswith("/"):
+                places.append(found.start())
+        elif places:
+            ends[places.pop()] = found.start()
+    return ends
+
+
 class Page:
     """Block tree of a page: parallel lists in page order; ``text`` is None for elements."""
 
@@ -100,6 +123,10 @@ class Page:
         links: list[str] = []
         in_link, at, find = False, 0, TAG.search
         lowered: str | None = None
+        ends: dict[int, int] | None = None
+        # In a hidden element: where it ends (-1 if it has no end tag), and the blocks open inside.
+        hidden: int | None = None
+        inside: list[str] = []
 
         def flush() -> None:
             if held:
@@ -113,7 +140,7 @@ class Page:
         while True:
             found = find(source, at)
             piece = source[at : found.start()] if found else source[at:]
-            if piece:
+            if piece and hidden is None:
                 held.append(piece)
                 if in_link:
                     links.append(piece)
@@ -124,6 +151,24 @@ class Page:
             if tag is None:
                 continue
             tag = tag.lower()
+            if hidden is not None and found.start() >= hidden >= 0:
+                hidden = None
+            if hidden is not None and not (tag in RAW and not found[1]):
+                if hidden < 0:
+                    if tag not in BLOCKS and (found[1] or tag not in HIDDEN):
+                        continue
+                elif tag not in BLOCKS or tag == "hr":
+                    continue
+                elif not found[1]:
+                    inside.append(tag)
+                    continue
+                elif tag in inside:
+                    while inside.pop() != tag:
+                        pass
+                    continue
+                elif all(self.tag[i] != tag for i in stack):
+                    continue
+                hidden = None
             if found[1]:
                 if tag == "a":
                     in_link = False
@@ -135,6 +180,13 @@ class Page:
                             break
                 continue
             if tag in HIDDEN:
+                if not found[3].endswith("/"):
+                    if ends is None:
+                        ends = hidden_ends(source)
+                    hidden = ends.get(found.start(), -1)
+                    inside.clear()
+                continue
+            if tag in RAW or tag == "head":
                 if found[3].endswith("/"):
                     continue
                 # The head ends at the latest where the body starts.

@@ -75,6 +75,28 @@ def test_blocks_of_a_page():
     assert [t for t in page.text if t is not None] == ["a b", "c de f", "g", "h", "i", "j", "k"]
 
 
+def test_unclosed_hidden_elements_do_not_cut_the_page():
+    runs = lambda source: [t for t in pages.Page(source).text if t is not None]
+    for tag in sorted(pages.HIDDEN):
+        assert runs(f"<div>a<{tag}>x</div><p>b</p>") == ["a", "b"], tag
+        assert runs(f"<body>a<{tag} class=y>x<article><p>b</p><{tag}>x</{tag}> c</article>") == ["a", "b", "c"], tag
+        assert runs(f"<div>a<{tag}><p>x</p><div>y</div>z</{tag}> b</div>c") == ["a b", "c"], tag
+        assert runs(f"<div>a<{tag}>x<p>y</div>b</{tag}>c") == ["a", "bc"], tag
+        assert runs(f"<div>a<{tag}/> b<{tag}>x<{tag}>y</{tag}>z</{tag}> c</div>") == ["a b c"], tag
+        assert runs(f"<p>a<{tag}><script>'</{tag}>'</script>x</{tag}></p><p>b") == ["a", "b"], tag
+    assert runs("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert runs("<p>a<textarea>b<p>c") == ["a"]
+
+
+def test_main_text_below_an_unclosed_button(spark):
+    trees = pages.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    body = [odd.prose(i, 60) + "." for i in range(4)]
+    article = f"<article><h1>{odd.prose(9, 5)}</h1>{''.join(f'<p>{b}</p>' for b in body)}</article></body></html>"
+    for tag in ("button", "svg", "select"):
+        page = f"<html><body><nav><ul><li><{tag}>Menu<li><a href=/a>One</a></ul></nav>{article}"
+        assert pages.texts([page], trees)[0] == "\n".join([odd.prose(9, 5), *body])
+
+
 def test_decoding_keeps_no_node_without_its_ancestors():
     page = pages.Page("<div><p>a</p><p>b</p></div><div><p>c</p></div>")
     odds = np.array([0, 2, 3, 3, -3, -3, -9, 1, 1], float)
