@@ -19,6 +19,10 @@ earlier, in a lesser document or further up in the same one.
    equal where the common prefix stays at least ``LENGTH - o`` and the ``o`` bytes
    on the left agree. All but the earliest of them are removed.
 
+6. A gram with more than ``HOT`` anchors is left out of the ranges, which cannot be
+   cut inside a gram. Contexts that differ within a run send each of their strings
+   as a 128-bit hash instead, and equal hashes meet in buckets of bounded size.
+
 Only anchors are sorted, yet every string is decided, each by its own anchor.
 
 Defined cases: a null text is empty; texts below ``LENGTH`` bytes lose nothing
@@ -50,6 +54,8 @@ RUN, RANGE, SAMPLED = 30_000, 30_000, 2_000
 HELD = 2_000
 #: Anchors whose grams one task counts, about.
 COUNTED = 1 << 18
+#: Anchors of a gram that one task may hold; strings of such grams, and decided spans, in one task, about.
+HOT, STRINGS, SPANS = 100_000, 1 << 20, 1 << 20
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -127,9 +133,17 @@ def grouped_blocks(keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int
         yield key, [p[i].tobytes() for p in parts]
 
 
+def name_bits(total: int) -> int:
+    """Bits of the buckets in which grams are counted; a gram's name has 32 more."""
+    return max(4, int(np.ceil(np.log2(max(1, total / (REACH + 1) * 2 / COUNTED)))))
+
+
 def repeated_anchors(docs: DataFrame, total: int) -> DataFrame:
-    """(uid, places) of the anchors whose gram occurs more than once; several rows a document."""
-    bits = max(4, int(np.ceil(np.log2(max(1, total / (REACH + 1) * 2 / COUNTED)))))
+    """(uid, places) of the anchors whose gram occurs more than once; several rows a document.
+
+    Rows without ``uid`` have names and counts of hot grams in ``places``.
+    """
+    bits, known_groups = name_bits(total), max(64, -(-total // (REACH * SPANS)))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(first, HELD) for b in batches for first in range(0, len(b), HELD)):
@@ -142,44 +156,58 @@ def repeated_anchors(docs: DataFrame, total: int) -> DataFrame:
             name = (grams >> np.uint64(32 - bits)).astype(np.uint32)
             full = grams >> np.uint64(32 - bits)
             _, first, inverse, counts = np.unique(full, return_index=True, return_inverse=True, return_counts=True)
+            times = counts[inverse].astype(np.uint32)
             # Repeated within the batch: known already, so only the first one is exchanged.
             known = np.flatnonzero(counts[inverse] > 1)
             first = np.sort(first)
             out = []
-            for rows, keys in ((known, -1 - uids[known] // 16 % 64), (first, bucket[first])):
+            for rows, keys in ((known, -1 - uids[known] // 16 % known_groups), (first, bucket[first])):
                 # Steps between the numbers of neighbours are small and pack well.
                 steps = np.zeros(len(rows), np.int64)
                 order = np.argsort(keys, kind="stable")
                 steps[order] = np.diff(uids[rows][order], prepend=0)
                 starts = np.unique(keys[order], return_index=True)[1]
                 steps[order[starts]] = uids[rows][order[starts]]
-                for key, (a, b, c) in grouped_blocks(keys, name[rows], steps, places[rows].astype(np.uint32)):
-                    out.append((key, a, squeezed(b), squeezed(c)))
-            columns = list(zip(*out)) or [[], [], [], []]
+                for key, (a, b, c, d) in grouped_blocks(keys, name[rows], steps, places[rows].astype(np.uint32), times[rows]):
+                    # Most grams are there once: their counts are not sent.
+                    d = squeezed(d) if key >= 0 and (np.frombuffer(d, np.uint32) > 1).any() else b""
+                    out.append((key, a, squeezed(b), squeezed(c), d))
+            columns = list(zip(*out)) or [[], [], [], [], []]
             yield pa.record_batch(
                 [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                names=["bucket", "names", "uids", "places"],
+                names=["bucket", "names", "uids", "places", "times"],
             )
 
     def counted(group: pa.Table) -> pa.Table:
         names = np.concatenate([np.frombuffer(b.as_py(), np.uint32) for b in group.column("names")])
         uids = np.concatenate([np.cumsum(np.frombuffer(unsqueezed(b.as_py()), np.int64)) for b in group.column("uids")])
         places = np.concatenate([np.frombuffer(unsqueezed(b.as_py()), np.uint32) for b in group.column("places")])
-        if group.column("bucket")[0].as_py() >= 0:
-            _, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
+        bucket, hot = group.column("bucket")[0].as_py(), []
+        if bucket >= 0:
+            found, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
             again = counts[inverse] > 1
             uids, places = uids[again], places[again]
-        rows = [(uid, blocks[0]) for uid, blocks in grouped_blocks(uids, places)]
+            times = [
+                np.frombuffer(unsqueezed(t.as_py()), np.uint32) if len(t.as_py()) else np.ones(len(b.as_py()) // 4, np.uint32)
+                for b, t in zip(group.column("names"), group.column("times"))
+            ]
+            sums = np.bincount(inverse, np.concatenate(times), len(found)).astype(np.int64)
+            most = sums > HOT
+            full = (found[most].astype(np.int64)) + (bucket << 32)
+            hot = [(None, np.stack([full, sums[most]], 1).tobytes())] if most.any() else []
+        rows = hot + [(uid, blocks[0]) for uid, blocks in grouped_blocks(uids, places)]
         return pa.table(
             {"uid": pa.array([r[0] for r in rows], pa.int64()), "places": pa.array([r[1] for r in rows], pa.binary())}
         )
 
-    blocks = docs.select("uid", "text").mapInArrow(packed, "bucket long, names binary, uids binary, places binary")
+    blocks = docs.select("uid", "text").mapInArrow(
+        packed, "bucket long, names binary, uids binary, places binary, times binary"
+    )
     return blocks.groupBy("bucket").applyInArrow(counted, "uid long, places binary")
 
 
 def chosen(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    """uid, place, offsets and context bytes of the repeated anchors of a batch.
+    """Gram hash, uid, place, offsets and context bytes of the repeated anchors of a batch.
 
     A context is the right side, ``LENGTH`` bytes padded with zeros, and the left
     side read backwards, padded too; both only as far as the anchor's strings go.
@@ -192,15 +220,15 @@ def chosen(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     data, offsets = utf8(batch.column("text"))
     sizes = np.array([len(w) for w in wanted])
     listed = (np.repeat(np.arange(len(wanted)), sizes).astype(np.int64) << 32) | np.concatenate([*wanted, np.zeros(0)]).astype(np.int64)
-    for _, row, place, low, high in batch_anchors(batch):
+    for gram, row, place, low, high in batch_anchors(batch):
         keep = np.isin((row << 32) | place, listed)
-        row, place, low, high = row[keep], place[keep], low[keep], high[keep]
+        gram, row, place, low, high = gram[keep], row[keep], place[keep], low[keep], high[keep]
         at = offsets[row] + place
         steps = np.arange(LENGTH)
         right = np.where(steps < (LENGTH - low)[:, None], data[np.minimum(at[:, None] + steps, len(data) - 1)], 0)
         steps = np.arange(REACH - 1)
         left = np.where(steps < high[:, None], data[np.maximum(at[:, None] - 1 - steps, 0)], 0)
-        yield uids[row], place, low, high, right.astype(np.uint8), left.astype(np.uint8)
+        yield gram, uids[row], place, low, high, right.astype(np.uint8), left.astype(np.uint8)
 
 
 def splitters(active: DataFrame, documents: int, ranges: int) -> list[bytes]:
@@ -234,11 +262,52 @@ RUNS = "range int, uids binary, places binary, lows binary, highs binary, prefix
 RUN_NAMES = [field.split()[0] for field in RUNS.split(", ")]
 
 
-def runs(active: DataFrame, bounds: list[bytes]) -> DataFrame:
-    """Front-coded sorted runs by range; negative ranges hold byte spans that are decided already."""
+def strings(low: np.ndarray, high: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit hash (as two numbers) of every string of some anchors, the anchor's row and the string's offset."""
+    hashes = []
+    for a, b, after, before in zip(low.tolist(), high.tolist(), right, left[:, ::-1]):
+        whole = before.tobytes() + after.tobytes()
+        for offset in range(a, b + 1):
+            start = REACH - 1 - offset
+            hashes.append(hashlib.blake2b(whole[start : start + LENGTH], digest_size=16).digest())
+    counts = high - low + 1
+    row = np.repeat(np.arange(len(low)), counts)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + low[row]
+    return np.frombuffer(b"".join(hashes), np.uint64).reshape(-1, 2), row, offset
+
+
+def later_strings(hashes: np.ndarray, uid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the strings in order of hash, uid and start, and which of them have an equal one before."""
+    order = np.lexsort((start, uid, hashes[:, 1], hashes[:, 0]))
+    again = np.zeros(len(order), bool)
+    again[1:] = (hashes[order[1:]] == hashes[order[:-1]]).all(1)
+    return order, again
+
+
+def runs(active: DataFrame, bounds: list[bytes], total: int, hot: np.ndarray) -> DataFrame:
+    """Front-coded sorted runs by range; negative ranges hold byte spans that are decided already.
+
+    ``hot`` has names and counts of hot grams, at most one for ``HOT`` anchors; ranges above the last one hold
+    hashes of their strings.
+    """
+    shift = np.uint64(32 - name_bits(total))
+    span_groups = max(64, -(-total // (REACH * SPANS)))
+    buckets = max(1, -(-int(hot[:, 1].sum()) * REACH // (2 * STRINGS)))
+
+    def hot_strings(uid, place, low, high, right, left) -> Iterator[tuple]:
+        hashes, row, offset = strings(low, high, right, left)
+        owner, start = uid[row], (place[row] - offset).astype(np.int32)
+        order, again = later_strings(hashes, owner, start)
+        late, order = order[again], order[~again]
+        spans = np.stack([start[late], start[late] + LENGTH], 1).astype(np.int32)
+        for key, blocks in grouped_blocks(owner[late] // 16, owner[late], spans):
+            yield (-1 - key % span_groups, blocks[0], blocks[1], b"", b"", b"", b"", b"")
+        bucket = (hashes[order, 0] % np.uint64(buckets)).astype(np.int64)
+        for key, blocks in grouped_blocks(bucket, owner[order], start[order], hashes[order]):
+            yield (len(bounds) + 1 + key, blocks[0], blocks[1], b"", b"", b"", blocks[2], b"")
 
     def run(parts: list[tuple[np.ndarray, ...]]) -> Iterator[tuple]:
-        uid, place, low, high, right, left = (np.concatenate(c) for c in zip(*parts))
+        gram, uid, place, low, high, right, left = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((place, uid))
         whole = np.concatenate([right, left, low[:, None].astype(np.uint8), high[:, None].astype(np.uint8)], 1)[order]
         kind = np.dtype((np.void, whole.shape[1]))
@@ -248,8 +317,14 @@ def runs(active: DataFrame, bounds: list[bytes]) -> DataFrame:
         again = order[later]
         spans = np.stack([place[again] - high[again], place[again] - low[again] + LENGTH], 1).astype(np.int32)
         for key, blocks in grouped_blocks(uid[again] // 16, uid[again], spans):
-            yield (-1 - key % 64, blocks[0], blocks[1], b"", b"", b"", b"", b"")
+            yield (-1 - key % span_groups, blocks[0], blocks[1], b"", b"", b"", b"", b"")
         order = order[~later]
+        if len(hot):
+            is_hot = np.isin((gram[order] >> shift).astype(np.int64), hot[:, 0])
+            those, order = order[is_hot], order[~is_hot]
+            # Few at a time: each has up to REACH strings.
+            for first in range(0, len(those), RUN // 4):
+                yield from hot_strings(*(c[those[first : first + RUN // 4]] for c in (uid, place, low, high, right, left)))
         uid, place, low, high, right, left = (c[order] for c in (uid, place, low, high, right, left))
         size = LENGTH - low
         starts = [r.tobytes() for r in right[:, :GRAM]]
@@ -397,9 +472,16 @@ def repetitions(ordered: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, int
         yield from decide(entry)
 
 
-def merge_range(group: pa.Table) -> pa.Table:
-    """(uid, spans) that one range of suffixes, or a set of decided spans, removes."""
-    if group.column("range")[0].as_py() < 0:
+def merge_range(group: pa.Table, ranges: int) -> pa.Table:
+    """(uid, spans) that one range of suffixes, a bucket of strings or a set of decided spans removes."""
+    if group.column("range")[0].as_py() >= ranges:
+        uids = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in group.column("uids")])
+        starts = np.concatenate([np.frombuffer(b.as_py(), np.int32) for b in group.column("places")])
+        hashes = np.concatenate([np.frombuffer(b.as_py(), np.uint64) for b in group.column("rests")]).reshape(-1, 2)
+        order, again = later_strings(hashes, uids, starts)
+        uids, starts = uids[order[again]], starts[order[again]]
+        spans = np.stack([starts, starts + LENGTH], 1).astype(np.int32)
+    elif group.column("range")[0].as_py() < 0:
         uids = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in group.column("uids")])
         spans = np.concatenate([np.frombuffer(b.as_py(), np.int32) for b in group.column("places")]).reshape(-1, 2)
     else:
@@ -430,13 +512,17 @@ def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Copies are told apart without moving the other texts.
     maybe, others = split_texts(rows.select("uid", "text"), copies, "uid")
     texts = others.unionByName(maybe.join(copies, "uid", "left_anti"))
-    places = cut(repeated_anchors(texts, total))
+    counted = cut(repeated_anchors(texts, total))
+    names = [np.frombuffer(row.places, np.int64).reshape(-1, 2) for row in counted.where("uid IS NULL").collect()]
+    hot = np.concatenate([np.zeros((0, 2), np.int64), *names])
+    places = counted.where("uid IS NOT NULL")
     sums = places.agg(F.sum(F.octet_length("places") / 4), F.countDistinct("uid")).first()
     count, documents = int(sums[0] or 0), sums[1]
     listed = places.groupBy("uid").agg(F.collect_list("places").alias("places"))
     active = cut(some_texts(rows.select("uid", "text"), places, "uid").dropDuplicates(["uid"]).join(listed, "uid"))
     bounds = splitters(active, documents, -(-count // RANGE))
-    found = cut(runs(active, bounds).groupBy("range").applyInArrow(merge_range, "uid long, spans binary"))
+    merge = lambda group: merge_range(group, len(bounds) + 1)
+    found = cut(runs(active, bounds, total, hot).groupBy("range").applyInArrow(merge, "uid long, spans binary"))
     spans = found.groupBy("uid").agg(F.collect_list("spans").alias("spans"))
     # Only texts that lose bytes are moved again.
     return copies, some_texts(active.select("uid", "text"), found, "uid").join(spans, "uid")

@@ -75,3 +75,23 @@ def test_merge_gives_order_and_prefixes(runs):
     assert [entry[0] for _, entry in merged] == sorted(everything)
     words = [entry[0] for _, entry in merged]
     assert [k for k, _ in merged[1:]] == [suffixes.common_prefix(a, b, 0) for a, b in zip(words, words[1:])]
+
+
+def test_hot_grams_meet_by_strings(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    monkeypatch.setattr(suffixes, "RUN", 12)
+    monkeypatch.setattr(suffixes, "STRINGS", 50)
+    held = []
+    passage = odd.prose(90, 40)
+    rows = [(i, odd.prose(100 + i % 30, 25) + f" {i % 7} " + passage + " " + odd.prose(200 + i % 20, 25)) for i in range(60)]
+    docs = odd.documents(spark, rows)
+    find_runs = suffixes.runs
+
+    def watched(active, bounds, total, hot):
+        made = suffixes.cut(find_runs(active, bounds, total, hot))
+        held.append((len(hot), made.where(f"range > {len(bounds)}").count()))
+        return made
+
+    monkeypatch.setattr(suffixes, "runs", watched)
+    assert result(docs) == sorted(brute(rows), key=str)
+    assert held[0][0] > 0 and held[0][1] > 0
