@@ -138,10 +138,16 @@ PARTS["m_facts"] = f"""
   FROM (SELECT *, row_number() OVER (PARTITION BY point_id, forecast_time, source
                                      ORDER BY ingested_at DESC, batch_id DESC) AS rn FROM m_readings)
   WHERE rn = 1"""
-PARTS["m_newest_hours"] = """
+
+
+def _newest_hours(rows: str) -> str:
+    return f"""
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY point_id, forecast_time ORDER BY ingested_at DESC, batch_id DESC) AS rn
-    FROM m_readings) WHERE rn = 1"""
+    FROM {rows}) WHERE rn = 1"""
+
+
+PARTS["m_newest_hours"] = _newest_hours("m_readings")
 PARTS["m_ref"] = "SELECT date_trunc('hour', max(ingested_at)) AS ref FROM m_readings"
 PARTS["m_last_batch"] = "SELECT batch_id FROM m_readings ORDER BY ingested_at DESC, batch_id DESC LIMIT 1"
 PARTS["m_fact_batch"] = "SELECT batch_id FROM m_facts ORDER BY ingested_at DESC, batch_id DESC LIMIT 1"
@@ -364,11 +370,17 @@ _BAND_HOURS = dict(
         ("good_hours", "moderate_hours", "sensitive_group_hours", "unhealthy_hours", "very_unhealthy_hours", "hazardous_hours"),
     )
 )
-PARTS["m_day_hours"] = f"""
+
+
+def _day_hours(hours: str) -> str:
+    return f"""
   SELECT h.*, strftime(h.forecast_time + {LOCAL}, '%Y-%m-%d') AS forecast_date, l.location_name, l.region,
          {level('us_aqi')} AS hour_level
-  FROM m_newest_hours h LEFT JOIN m_locations l ON l.location_id = h.location_id"""
-PARTS["m_daily"] = f"""
+  FROM {hours} h LEFT JOIN m_locations l ON l.location_id = h.location_id"""
+
+
+def _daily(day_hours: str) -> str:
+    return f"""
   SELECT s.*, w.forecast_time AS worst_forecast_time, w.batch_id AS worst_hour_source_batch_id,
       CASE WHEN available_hours >= 24 THEN 'COMPLETE' ELSE 'PARTIAL' END AS coverage_status, {CREATED} AS mart_created_at,
       {level('maximum_us_aqi')} AS aqi_level, {rank('maximum_us_aqi')} AS aqi_severity
@@ -378,13 +390,20 @@ PARTS["m_daily"] = f"""
           min(us_aqi) AS minimum_us_aqi, max(us_aqi) AS maximum_us_aqi, {_averages()},
           {', '.join(f"count(*) FILTER (WHERE hour_level = '{k}') AS {v}" for k, v in _BAND_HOURS.items())},
           count(DISTINCT batch_id) AS source_batch_count, max(ingested_at) AS latest_source_ingested_at
-        FROM m_day_hours GROUP BY ALL) s
+        FROM {day_hours} GROUP BY ALL) s
   LEFT JOIN (SELECT * FROM (SELECT forecast_date, point_id, forecast_time, batch_id,
                row_number() OVER (PARTITION BY forecast_date, point_id ORDER BY us_aqi DESC NULLS LAST, forecast_time) AS rn
-             FROM m_day_hours) WHERE rn = 1) w
+             FROM {day_hours}) WHERE rn = 1) w
     ON w.forecast_date = s.forecast_date AND w.point_id = s.point_id"""
 
 
+PARTS["m_day_hours"] = _day_hours("m_newest_hours")
+PARTS["m_daily"] = _daily("m_day_hours")
+PARTS["m_valid_newest_hours"] = _newest_hours("m_readings WHERE batch_id IN (SELECT batch_id FROM m_validity WHERE is_valid)")
+PARTS["m_valid_day_hours"] = _day_hours("m_valid_newest_hours")
+PARTS["m_valid_daily"] = _daily("m_valid_day_hours")
+
+
 def _dashboard(rows: str) -> str:
     return f"""SELECT location_id, max(location_name) AS location_name, {rnd(mean('latitude'))} AS latitude,
       {rnd(mean('longitude'))} AS longitude, count(DISTINCT point_id) AS monitoring_point_count,
@@ -477,10 +496,10 @@ oracle(
 oracle("mart_current", "SELECT * FROM m_current")
 oracle("mart_current_all", "SELECT * FROM m_current_all")
 oracle("mart_location_summary", "SELECT * FROM m_location_summary")
-oracle("mart_daily_summary", "SELECT * FROM m_daily")
+oracle("mart_daily_summary", "SELECT * FROM m_valid_daily")
 oracle(
     "mart_daily_increment",
-    f"""SELECT forecast_date, point_id, available_hours, average_us_aqi, maximum_us_aqi FROM m_daily
+    f"""SELECT forecast_date, point_id, available_hours, average_us_aqi, maximum_us_aqi FROM m_valid_daily
     WHERE forecast_date IN (SELECT strftime(forecast_time + {LOCAL}, '%Y-%m-%d') FROM m_batch_readings)""",
 )
 PARTS["m_valid_days"] = f"""

@@ -410,7 +410,7 @@ def mart_location_summary(t):
 
 @query
 def mart_daily_summary(t):
-    return marts.sort_daily_summary(_daily(t))
+    return marts.sort_daily_summary(marts.daily_summary(valid_history(t.readings), t.locations, _created()))
 
 
 @query
