@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm.common import cut, free
 from skyledger.llm.components import components
@@ -43,21 +44,22 @@ SEED = 11
 NO_CELL = np.iinfo(np.int32).max
 
 
+def vector_key(value: pa.Scalar) -> tuple[int | None, bytes | None]:
+    """Key of equal vectors and the vector's doubles; nothing if it can link with nothing."""
+    if value.is_valid and len(value) and not value.values.null_count:
+        x = value.values.to_numpy(zero_copy_only=False).astype("<f8") + 0.0
+        if np.isfinite(x).all() and x.any():
+            pack = x.tobytes()
+            return int.from_bytes(hashlib.blake2b(pack, digest_size=8).digest(), "little", signed=True), pack
+    return None, None
+
+
 def classes(vectors: DataFrame) -> DataFrame:
     """vec_id, k (key of equal vectors, null if it can link with nothing) and the vector."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, packs = [], []
-            for value in batch.column("embedding"):
-                key = pack = None
-                if value.is_valid and len(value) and not value.values.null_count:
-                    x = value.values.to_numpy(zero_copy_only=False).astype("<f8") + 0.0
-                    if np.isfinite(x).all() and x.any():
-                        pack = x.tobytes()
-                        key = int.from_bytes(hashlib.blake2b(pack, digest_size=8).digest(), "little", signed=True)
-                keys.append(key)
-                packs.append(pack)
+            keys, packs = zip(*map(vector_key, batch.column("embedding"))) if len(batch) else ((), ())
             yield pa.record_batch(
                 [batch.column("vec_id"), pa.array(keys, pa.int64()), pa.array(packs, pa.binary())],
                 names=["vec_id", "k", "x"],
@@ -221,8 +223,8 @@ def pairs(placed: DataFrame) -> DataFrame:
     return met.groupBy("cell", "i", "j").applyInArrow(compare, "k long, n long, root long")
 
 
-def near(vectors: DataFrame) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every vector."""
+def members(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """vec_id and k of every vector; for each k: n_links, component_id and k of the row that stays (first)."""
     keyed = cut(classes(vectors))
     distinct = keyed.where("k IS NOT NULL").groupBy("k").agg(
         F.count("*").alias("m"), F.min("vec_id").alias("least"), F.first("x").alias("x")
@@ -235,11 +237,18 @@ def near(vectors: DataFrame) -> DataFrame:
     rooted = distinct.select("k", "m", "least").join(
         found_roots.select(F.col("node").alias("k"), "root"), "k", "left"
     ).withColumn("root", F.coalesce("root", "k"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    order = F.struct(F.col("least").isNull(), "least", "k")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min_by("k", order).alias("first"))
     known = rooted.join(counts, "k", "left").join(named, "root").select(
-        F.col("k").alias("_k"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id"
+        F.col("k").alias("_k"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id", "first"
     )
-    result = keyed.select("vec_id", "k").join(known, F.col("k") == F.col("_k"), "left").select(
+    return keyed.select("vec_id", "k"), known
+
+
+def near(vectors: DataFrame) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every vector."""
+    keyed, known = members(vectors)
+    result = keyed.join(known, F.col("k") == F.col("_k"), "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
@@ -248,7 +257,22 @@ def near(vectors: DataFrame) -> DataFrame:
 
 
 def deduplicated(vectors: DataFrame) -> DataFrame:
-    """``vectors`` with one vector of each component: the one with the least vec_id."""
-    (name,) = free(vectors, "_id")
-    keep = near(vectors).where("kept").select(F.col("vec_id").alias(name)).distinct()
-    return vectors.join(keep, F.col("vec_id").eqNullSafe(F.col(name)), "left_semi").dropDuplicates(["vec_id"])
+    """``vectors`` with one row of each component: that with the least vec_id, of one id with the least vector key.
+
+    Rows are decided by id and vector, so unlike vectors under one id, or none, all
+    stay, and so do vectors that can link with nothing.
+    """
+    own, first, least = free(vectors, "_key", "_first", "_least")
+    schema = T.StructType([*vectors.schema.fields, T.StructField(own, T.LongType())])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([vector_key(value)[0] for value in batch.column("embedding")], pa.int64())
+            yield pa.record_batch([*batch.columns, keys], names=[*batch.schema.names, own])
+
+    known = members(vectors)[1].where(F.col("_k") == F.col("first"))
+    known = known.select(F.col("first").alias(first), F.col("component_id").alias(least))
+    rows = vectors.mapInArrow(keyed, schema)
+    same = (F.col(own) == F.col(first)) & F.col("vec_id").cast("long").eqNullSafe(F.col(least))
+    stay = rows.where(F.col(own).isNotNull()).join(known, same, "left_semi").dropDuplicates(["vec_id", own])
+    return stay.unionByName(rows.where(F.col(own).isNull())).drop(own)

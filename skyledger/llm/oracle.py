@@ -69,7 +69,29 @@ SELECT doc_id, size, source_size, target,
 FROM drawn
 """
 
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS alike, v.vec_id AS other_id,
+    CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.x, v.x)]) AS BIGINT) AS score
+  FROM v a, v WHERE a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id AND len(a.x) = len(v.x)),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+"""
+
 ORACLE = {
     "op4_document_fingerprints": OP4,
     "op6_mixing": OP6,
+    "op12_hard_negatives": OP12,
 }

@@ -38,6 +38,9 @@ PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7e\\xa0\\xab\\xbb\\u00c0-\\u00d6\\u00d8
 # The tokenizer's pattern for lower-case texts of such signs.
 PARTS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+")
 
+#: What every special token of the vocabulary begins with.
+SPECIAL = "<|"
+
 
 def byte_signs() -> dict[int, int]:
     """The sign by which a byte-level vocabulary spells each byte that is no visible sign itself."""
@@ -81,7 +84,8 @@ class Encoder:
 
     Texts of plain signs (nearly all of a corpus in Latin script) are parted into
     words as the tokenizer would, and only words not seen before go to its model.
-    Any other text goes to the tokenizer whole. What is remembered is dropped when
+    Any other text, and one that may hold a special token of the vocabulary, goes to
+    the tokenizer whole. What is remembered is dropped when
     full, so the memory of a worker is bounded.
     """
 
@@ -91,7 +95,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         self.words = Words(self.tokenizer.model)
@@ -104,7 +107,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Ids as 16-bit little-endian numbers, without the end token."""
-        if PLAIN.fullmatch(text):
+        if SPECIAL not in text and PLAIN.fullmatch(text):
             return b"".join(map(self.words.__getitem__, PARTS.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
@@ -183,9 +186,12 @@ def tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Token ids are written once before the range sort, which samples its input.
+    Token ids are written once before the range sort, which samples its input. Copies
+    of one text under one id, or none, are told apart by their place, so that they
+    need not lie in one range.
     """
-    ordered = cut(tokens(docs, tokenizer)).repartitionByRange("key", "doc_id")
+    placed = cut(tokens(docs, tokenizer)).withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange("key", "doc_id", "place")
     ordered = ordered.sortWithinPartitions("key", "doc_id", "ids").withColumn("part", F.spark_partition_id())
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import embeddings, fingerprints, jaccard, mixing, packing, pages, pii, sharding, suffixes, toxicity
+from skyledger.llm import (
+    conversations,
+    embeddings,
+    fingerprints,
+    jaccard,
+    mixing,
+    negatives,
+    packing,
+    pages,
+    permutations,
+    pii,
+    sharding,
+    suffixes,
+    toxicity,
+)
 from skyledger.llm.common import table
 
 
@@ -66,6 +80,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flagged.select("doc_id", F.col("is_toxic").alias("toxic"), "p_toxic", "p_low_quality")
 
 
+def op11_permutation_search(spark: SparkSession, folder: str) -> DataFrame:
+    return permutations.nearest(table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(table(spark, folder, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.report(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -77,4 +103,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
+    "op11_permutation_search": op11_permutation_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -81,6 +81,14 @@ def test_one_of_each_component_stays(spark):
     assert sorted(r.vec_id for r in kept.collect()) == [1, 3, 4] and kept.columns == df.columns
 
 
+def test_unlike_vectors_under_one_id_or_none_stay(spark):
+    x, y, z = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(7, x), (7, y), (None, z), (None, [1.0, 1.0, 1.0]), (8, x), (8, x), (9, [1.0, 0.01, 0.0]), (None, y), (None, None), (None, None), (7, y)]
+    kept = embeddings.deduplicated(frame(spark, rows)).collect()
+    got = sorted(((r.vec_id, r.embedding) for r in kept), key=str)
+    assert got == sorted([(7, x), (7, y), (None, z), (None, [1.0, 1.0, 1.0]), (None, None), (None, None)], key=str)
+
+
 def test_estimates_are_unbiased_and_bounds_hold():
     draw = np.random.default_rng(1)
     size, q = 64, embeddings.rotation(64)

@@ -62,9 +62,12 @@ def test_many_near_copies_of_several_texts(spark, monkeypatch):
 
 def test_one_of_each_component_stays(spark):
     kept = jaccard.deduplicated(odd.documents(spark))
-    ids = [r.doc_id for r in kept.collect()]
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
     assert kept.columns == odd.documents(spark).columns
-    assert len(ids) == len(set(ids)) and 1 not in ids and -5 in ids and {4, 5, 6, 7, 8, 13} <= set(ids)
+    # Rows are told apart by id and text: both texts without id stay; those of id 17 are copies of others.
+    assert len(rows) == len(set(rows)) and [d for d, _ in rows].count(None) == 2 and 17 not in dict(rows)
+    ids = {d for d, _ in rows}
+    assert 1 not in ids and -5 in ids and {4, 5, 6, 7, 8, 13} <= ids
 
 
 def test_only_copies_go(spark):

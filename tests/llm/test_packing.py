@@ -11,7 +11,6 @@ from tests.llm import odd
 def check(spark, docs):
     """Every id is in exactly one piece, sequences are gapless, and padding is little."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = packing.pack(docs).collect()
     ids = {}
     for row in docs.select("doc_id", "text").collect():
@@ -51,6 +50,12 @@ def test_odd_rows(spark):
     check(spark, odd.documents(spark))
 
 
+def test_special_strings_are_encoded_as_the_tokenizer_does(spark):
+    texts = ["one <|endoftext|> two", "<|startoftext|>", "a <| b", "<|ENDOFTEXT|> c", "<|endoftext|" * 3]
+    check(spark, odd.documents(spark, list(enumerate(texts))))
+    assert np.frombuffer(packing.Encoder.at(packing.default_tokenizer()).ids(texts[0]), "<u2").tolist() == [637, 49407, 1237]
+
+
 def test_empty(spark):
     assert packing.pack(odd.documents(spark, [])).count() == 0
 
