@@ -47,6 +47,8 @@ WINDOW = (50, 95)
 MOVED, LABELS = 7, 10
 #: Rows of a block, anchors of a chunk, dimensions added up before pairs are dropped.
 BLOCK, CHUNK, STEP = 16384, 1024, 8
+#: Share of pairs below which they are added up one by one.
+FEW = 0.05
 #: Pairs of one block that are held at once.
 PAIRS = 1 << 21
 #: Thresholds as parts of the greatest product an anchor can have in a block; the last one covers everything.
@@ -105,17 +107,37 @@ class Block:
         kind = np.float64 if safe else np.int64
         low, strong = least.min(initial=0), left[:, 0].max(initial=0)
         # A row's posted dimensions: up to where the others alone stay below every threshold.
-        posted = np.where(self.rest * strong >= low, np.arange(size + 1), -1).max(1) + 1 if low > 0 else np.full(len(self.x), size + 1)
-        rows = np.flatnonzero(posted > 0)
-        end = min(STEP, size)
-        score = q[:, :end].astype(kind) @ self.x[rows, :end].T.astype(kind)
-        a, b = np.nonzero(score + left[:, [end]] * self.rest[rows, end] >= least[:, None])
-        score, b = score[a, b], rows[b]
-        for start in range(end, size, STEP):
-            end = min(start + STEP, size)
-            score = score + np.einsum("ij,ij->i", q[a, start:end].astype(kind), self.x[b, start:end].astype(kind))
-            may = score + left[a, end] * self.rest[b, end] >= least[a]
-            a, b, score = a[may], b[may], score[may]
+        posted = np.full(len(self.x), size + 1)
+        if low > 0:
+            posted = np.where(self.rest * strong >= low, np.arange(1, size + 2), 0).max(1)
+        rows = np.argsort(-posted, kind="stable")[: np.count_nonzero(posted)]
+        x, rest, posted = self.x[rows].astype(kind), self.rest[rows], posted[rows]
+        # While most pairs may still reach a threshold, those of posted dimensions are added up as a matrix.
+        score, begun, end, held = np.zeros((len(q), len(rows)), kind), 0, min(STEP, size), len(rows)
+        left_over: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
+        while True:
+            score[:, :held] += q[:, begun:end].astype(kind) @ x[:held, begun:end].T
+            may = score[:, :held] + left[:, [end]] * rest[:held, end] >= least[:, None]
+            more = int(np.searchsorted(-posted, -end, "left"))
+            if end == size or np.count_nonzero(may) < FEW * may.size:
+                more = 0
+            # Rows that are posted no further leave with the pairs that the rest of them may still lift.
+            a, b = np.nonzero(may[:, more:])
+            left_over.append((a, b + more, score[a, b + more], end))
+            if not more:
+                break
+            held, begun, end = more, end, min(2 * end, size)
+        found = []
+        for a, b, score, end in left_over:
+            for begun in range(end, size, STEP):
+                end = min(begun + STEP, size)
+                score = score + np.einsum("ij,ij->i", q[a, begun:end].astype(kind), x[b, begun:end])
+                may = score + left[a, end] * rest[b, end] >= least[a]
+                a, b, score = a[may], b[may], score[may]
+            found.append((a, rows[b], score))
+        a, b, score = (np.concatenate(c) for c in zip(*found))
+        by = np.argsort(a, kind="stable")
+        a, b, score = a[by], b[by], score[by]
         return a, b, score.astype(np.int64)
 
 

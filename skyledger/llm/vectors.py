@@ -13,6 +13,10 @@ from skyledger.llm.common import cut
 
 #: Sorts after every id.
 NO_ID = np.iinfo(np.int64).max
+#: Rows of three numbers that may go to every task.
+SMALL = 50_000
+#: Tasks that groups are dealt to at most; beyond, a task has several, one after another.
+TASKS = 16_384
 
 
 def packed(vectors: DataFrame, turn: Callable[[np.ndarray], bytes | None], *kept: Column) -> DataFrame:
@@ -68,12 +72,16 @@ def met(rows: DataFrame, queries: DataFrame, keys: list[str], block: int, chunk:
     chunks = queries.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("chunks"))
     sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     shape = cut(chunks.join(sizes, keys))
+    known, groups = shape.agg(F.count("*"), F.sum(F.col("blocks") * F.col("chunks"))).first()
+    shape = F.broadcast(shape) if known <= SMALL else shape
     from_zero = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     part = lambda n: F.pmod(F.xxhash64("r"), F.col(n)).cast("int")
     posted = rows.join(shape, keys).withColumn("block", part("blocks")).withColumn("chunk", from_zero("chunks"))
     asked = queries.join(shape, keys).withColumn("chunk", part("chunks")).withColumn("block", from_zero("blocks"))
     both = posted.withColumn("is_query", F.lit(False)).unionByName(asked.withColumn("is_query", F.lit(True)))
-    return both.drop("blocks", "chunks")
+    # A group is little to read and much to compute, so groups are not put together by their bytes.
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return both.drop("blocks", "chunks").repartition(max(usual, min(TASKS, groups or 1)), *keys, "block", "chunk")
 
 
 def first_rows(anchor: np.ndarray, order: tuple[np.ndarray, ...], most: int) -> np.ndarray:
