@@ -32,8 +32,13 @@ def hours_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(3_600_000_000.0)
 
 
+def local_day(instant: Column, zone: str = LOCAL_ZONE) -> Column:
+    """Local day as text, as days name folders and mart rows."""
+    return F.date_format(local_time(instant, zone), "yyyy-MM-dd")
+
+
 def partition_date(started_at: Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.date_format(local_time(started_at, zone), "yyyy-MM-dd")
+    return local_day(started_at, zone)
 
 
 def partition_hour(started_at: Column, zone: str = LOCAL_ZONE) -> Column:

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.bands import LEVEL_NAMES, level_name, level_rank
 from skyledger.functions.numbers import mean, round_even
-from skyledger.functions.time import local_date, local_hour_floor
+from skyledger.functions.time import local_day, local_hour_floor
 from skyledger.operators.joins import enrich_locations
 from skyledger.operators.ranking import latest_wins, nearest_in_time, smallest, worst_first
 from skyledger.operators.audits import batch_validity
+from skyledger.plans import states
 from skyledger.schema import BAND_HOUR_COLUMNS, POLLUTANTS
 from skyledger.sources.tables import valid_history
 
 FULL_DAY_HOURS = 24
-MEASURED = ("pm2_5", "pm10", "ozone")
+MEASURED = states.MEASURED
 
 
 def with_level(df: DataFrame, index: str) -> DataFrame:
@@ -129,9 +130,14 @@ def daily_summary(
     at most a day's hours. A point whose attributes change within a day keeps
     the latest ones; ``split_on_drift`` gives one row per attribute set instead.
     """
-    hours = with_level(latest_wins(history), "us_aqi").withColumn(
-        "forecast_date", F.date_format(local_date(F.col("forecast_time")), "yyyy-MM-dd")
-    )
+    return days_of_hours(latest_wins(history), locations, created_at, split_on_drift)
+
+
+def days_of_hours(
+    newest: DataFrame, locations: DataFrame, created_at: Column, split_on_drift: bool = False
+) -> DataFrame:
+    """The daily summary of rows that are the newest of their point and hour already."""
+    hours = with_level(newest, "us_aqi").withColumn("forecast_date", local_day(F.col("forecast_time")))
     named = enrich_locations(hours, locations)
     keys = ["forecast_date", "point_id", *(POINT_ATTRIBUTES if split_on_drift else ())]
     attributes = F.max_by(F.struct(*POINT_ATTRIBUTES), F.struct("ingested_at", "forecast_time"))
@@ -176,22 +182,19 @@ def sort_daily_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def affected_days(batch: DataFrame) -> DataFrame:
-    """Local days a batch touches; bounded by the calendar, not by the rows."""
-    return batch.select(local_date(F.col("forecast_time")).alias("forecast_day")).distinct()
-
-
 def daily_summary_increment(
     history: DataFrame, batch: DataFrame, locations: DataFrame, created_at: Column
 ) -> DataFrame:
-    """Daily rows of only those days that the new batch touches, from valid batches as in ``build``."""
-    days = affected_days(batch)
-    touched = (
-        valid_history(history).withColumn("forecast_day", local_date(F.col("forecast_time")))
-        .join(days, "forecast_day", "left_semi")
-        .drop("forecast_day")
-    )
-    return daily_summary(touched, locations, created_at)
+    """Daily rows of only those days that the new batch touches, from valid batches as in ``build``.
+
+    The hour states of the batch are merged into those of the batches before it,
+    as ``sinks.daily`` does with stored states; see ``plans.states``.
+    """
+    days = states.days_of(batch)
+    known = valid_history(history).where(F.col("batch_id") != batch.agg(F.max("batch_id")).scalar())
+    before = states.of_rows(known.join(days, local_day(F.col("forecast_time")) == F.col(states.DAY), "left_semi"))
+    merged = states.merged(before, states.of_rows(valid_history(batch)))
+    return days_of_hours(states.hours(merged), locations, created_at)
 
 
 def latest_batch_id(readings: DataFrame) -> Column:

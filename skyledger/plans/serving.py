@@ -13,6 +13,8 @@ from skyledger.schema import AQI_COLUMNS, POLLUTANTS
 # Largest limit a caller may ask for.
 MAX_READINGS, MAX_TOP, MAX_HISTORY, MAX_ALERTS = 5000, 100, 2160, 1000
 
+HOURS_A_DAY = 24
+
 READING_COLUMNS = (
     "point_id",
     "location_id",
@@ -53,12 +55,32 @@ def key_of(text: str) -> str:
 
 
 def latest_batch_id(facts: DataFrame) -> Column:
-    """Batch of the row ingested last, as a scalar subquery."""
+    """Batch of the row ingested last, as a scalar subquery; also of a map of batches."""
     return facts.agg(F.max_by("batch_id", F.struct("ingested_at", "batch_id"))).scalar()
 
 
-def latest_batch_rows(facts: DataFrame) -> DataFrame:
-    return facts.where(F.col("batch_id") == latest_batch_id(facts))
+def latest_batch_rows(facts: DataFrame, batches: DataFrame | None = None) -> DataFrame:
+    """Facts of the batch that was ingested last.
+
+    With the stored map of batches to days (``sinks.facts.read_batches``) the batch
+    is looked up there, and only its day folders are read; without it the facts are
+    scanned for it.
+    """
+    if batches is None:
+        return facts.where(F.col("batch_id") == latest_batch_id(facts))
+    batch = batches.select(F.max_by(F.struct("batch_id"), F.struct("ingested_at", "batch_id"))).first()[0]
+    if batch is None:
+        return facts.limit(0)
+    own = F.lit(batch.batch_id)
+    days = batches.where(F.col("batch_id").eqNullSafe(own)).select("forecast_date").distinct()
+    # A batch's days are bounded by how far ahead it looks.
+    days = [row.forecast_date for row in days.collect()]
+    return facts.where(F.col("forecast_date").isin(days) & F.col("batch_id").eqNullSafe(own))
+
+
+def first_hour(rows: DataFrame) -> DataFrame:
+    """The rows at the first forecast time among ``rows``."""
+    return rows.where(F.col("forecast_time") == rows.agg(F.min("forecast_time")).scalar())
 
 
 def _readings(rows: DataFrame, points: DataFrame, locations: DataFrame) -> DataFrame:
@@ -66,35 +88,43 @@ def _readings(rows: DataFrame, points: DataFrame, locations: DataFrame) -> DataF
 
 
 def latest_readings(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int | None = None
+    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int | None = None, batches: DataFrame | None = None
 ) -> DataFrame:
-    rows = latest_batch_rows(facts)
+    rows = latest_batch_rows(facts, batches)
     ordered = _readings(rows, points, locations).orderBy("forecast_time", "point_id")
     return limited(ordered, limit, MAX_READINGS)
 
 
 def readings_by_location(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, location_id: str, limit: int | None = None
+    facts: DataFrame,
+    points: DataFrame,
+    locations: DataFrame,
+    location_id: str,
+    limit: int | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
-    rows = latest_batch_rows(facts).where(F.col("location_id") == key_of(location_id))
+    rows = latest_batch_rows(facts, batches).where(F.col("location_id") == key_of(location_id))
     ordered = _readings(rows, points, locations).orderBy("forecast_time", "point_id")
     return limited(ordered, limit, MAX_READINGS)
 
 
 def readings_by_point(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, limit: int | None = None
+    facts: DataFrame,
+    points: DataFrame,
+    locations: DataFrame,
+    point_id: str,
+    limit: int | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
-    rows = latest_batch_rows(facts).where(F.col("point_id") == key_of(point_id))
+    rows = latest_batch_rows(facts, batches).where(F.col("point_id") == key_of(point_id))
     return limited(_readings(rows, points, locations).orderBy("forecast_time"), limit, MAX_READINGS)
 
 
 def top_polluted(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int = 10
+    facts: DataFrame, points: DataFrame, locations: DataFrame, limit: int = 10, batches: DataFrame | None = None
 ) -> DataFrame:
     """Worst points at the first forecast hour of the latest batch."""
-    batch = latest_batch_rows(facts)
-    first_hour = batch.agg(F.min("forecast_time")).scalar()
-    rows = batch.where((F.col("forecast_time") == first_hour) & F.col("us_aqi").isNotNull())
+    rows = first_hour(latest_batch_rows(facts, batches)).where(F.col("us_aqi").isNotNull())
     return (
         _readings(rows, points, locations)
         .orderBy(F.col("us_aqi").desc(), "location_name", "point_name")
@@ -102,11 +132,37 @@ def top_polluted(
     )
 
 
+def newest_days(facts: DataFrame, batches: DataFrame, point_id: str, hours: int) -> list:
+    """The newest days of the map that hold the last ``hours`` rows of a point.
+
+    It starts with the days that hold so many if none is missing, and takes twice as
+    many as long as the point has fewer rows there. Only the folders of those days
+    are read, and only to count.
+    """
+    known = sorted((row[0] for row in batches.select("forecast_date").distinct().collect()), reverse=True)
+    known = [day for day in known if day is not None]
+    own, take = F.col("point_id") == key_of(point_id), hours // HOURS_A_DAY + 2
+    while take < len(known):
+        if facts.where(F.col("forecast_date").isin(known[:take]) & own).limit(hours).count() >= hours:
+            break
+        take *= 2
+    return known[:take]
+
+
 def point_history(
-    facts: DataFrame, points: DataFrame, locations: DataFrame, point_id: str, hours: int | None = None
+    facts: DataFrame,
+    points: DataFrame,
+    locations: DataFrame,
+    point_id: str,
+    hours: int | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
-    """All or the last hours of one point, oldest first."""
-    recent = facts.where(F.col("point_id") == key_of(point_id)).orderBy(F.col("forecast_time").desc())
+    """All or the last hours of one point, oldest first; with the map of batches only the days they lie in are read."""
+    own = facts.where(F.col("point_id") == key_of(point_id))
+    if batches is not None and hours is not None:
+        days = newest_days(facts, batches, point_id, bounded(hours, MAX_HISTORY))
+        own = own.where(F.col("forecast_date").isin(days))
+    recent = own.orderBy(F.col("forecast_time").desc())
     return _readings(limited(recent, hours, MAX_HISTORY), points, locations).orderBy("forecast_time")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,19 +39,25 @@ def read_history(
     return df
 
 
-def history_report(spark: SparkSession, root: str, announced: DataFrame | None = None) -> DataFrame:
+def history_report(
+    spark: SparkSession,
+    root: str,
+    announced: DataFrame | None = None,
+    only: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Every batch that has a folder or an announced count, and whether it may be used.
 
     A batch is valid if each of its files gave rows, none of its contract columns
     is without any value, its times and keys are sound, and its rows are as many
     as ``announced`` (batch_id, announced_count) says. A file that is destroyed or
-    empty gives no rows; one that breaks off gives too few.
+    empty gives no rows; one that breaks off gives too few. ``only`` picks the batches
+    to read by their ``batch_id``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     listed = files.load(root).select(*partition_parts(F.col("path")))
-    listed = listed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"))
+    listed = only(listed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files")))
     rows = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
-    rows = rows.withColumn("_file", F.col("_metadata.file_path"))
+    rows = only(rows.withColumn("_file", F.col("_metadata.file_path")))
     per_file = rows.groupBy("batch_id", "_file").agg(*[F.count(c).alias(c) for c in REQUIRED_COLUMNS])
     empty = F.array(*[F.when(F.sum(c) == 0, F.lit(c)) for c in REQUIRED_COLUMNS])
     read = per_file.groupBy("batch_id").agg(
