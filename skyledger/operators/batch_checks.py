@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +10,9 @@ from pyspark.sql import functions as F
 from skyledger.functions import clean
 from skyledger.functions.numbers import round_even
 from skyledger.functions.time import hours_between
-from skyledger.operators.counting import count_met
+from skyledger.operators.counting import count_positions
 from skyledger.operators.joins import missing_by_group, unique_dimension
-from skyledger.operators.rules import Rule
+from skyledger.operators.rules import BROKEN
 
 # Fixed values of the score.
 ROW_SHARE, BATCH_SHARE = 0.70, 0.30
@@ -225,9 +224,9 @@ def batch_report(
     return facts.select(batch, F.inline(F.array(*entries)))
 
 
-def row_facts(prepared: DataFrame, rules: Sequence[Rule], batch: str) -> DataFrame:
-    """Per batch: valid rows, and how many rules found something."""
-    counts = count_met(prepared, [rule.failed for rule in rules], [batch])
+def row_facts(judged: DataFrame, batch: str) -> DataFrame:
+    """Per batch of judged rows: valid rows, and how many rules found something."""
+    counts = count_positions(judged, BROKEN, [batch])
     return counts.groupBy(batch).agg(
         F.coalesce(F.sum(F.when(F.col("position").isNull(), F.col("row_count"))), F.lit(0)).alias(
             "valid_records"

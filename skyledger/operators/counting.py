@@ -27,9 +27,13 @@ def count_met(df: DataFrame, conditions: Sequence[Column], by: Sequence[str] = (
     counted with partial aggregation: at most one row per group and condition
     leaves a task.
     """
+    return count_positions(df.select(*by, met(conditions).alias("_met")), "_met", by)
+
+
+def count_positions(df: DataFrame, positions: str, by: Sequence[str] = ()) -> DataFrame:
+    """The same counts from positions that rows carry already."""
     return (
-        df.select(*by, met(conditions).alias("_met"))
-        .select(*by, F.explode_outer("_met").alias("position"))
+        df.select(*by, F.explode_outer(positions).alias("position"))
         .groupBy(*by, "position")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )

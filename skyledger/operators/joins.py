@@ -90,16 +90,34 @@ def difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Dat
     return left.select(*columns).distinct().subtract(right.select(*columns))
 
 
+#: Expected ids of a bucket, about.
+BUCKET = 1024
+
+
 def missing_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:
     """(group, key) for every expected id that a group lacks.
 
-    Both sides are sets of ids of a dimension, so one array per group holds them;
-    only ids that are missing become rows.
+    Ids are dealt into buckets by hash. A group's buckets that hold as many expected
+    ids as the bucket has are complete; only for the others are ids laid out and
+    compared. So a complete group costs a count for each bucket, and no set of ids is
+    ever in one row or on the driver.
     """
-    wanted = expected.agg(F.collect_set(key)).scalar()
-    seen = F.collect_set(F.nullif(clean.strip(F.col(key)), F.lit("")))
-    lacking = present.groupBy(group).agg(seen.alias("_seen")).withColumn("_lacking", F.array_except(wanted, "_seen"))
-    return lacking.where(F.size("_lacking") > 0).select(group, F.explode("_lacking").alias(key))
+    ids = expected.select(key).distinct()
+    buckets = F.ceil(ids.agg(F.count(F.lit(1))).scalar() / BUCKET).cast("int")
+    place = F.pmod(F.xxhash64(key), F.greatest(buckets, F.lit(1))).cast("int").alias("_bucket")
+    wanted = ids.select(key, place)
+    sizes = wanted.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_ids"))
+    named = present.select(F.col(group).alias("_group"), F.nullif(clean.strip(F.col(key)), F.lit("")).alias(key)).distinct()
+    seen = named.join(wanted, key)
+    counts = seen.groupBy(F.col("_group").alias("_own"), F.col("_bucket").alias("_place")).agg(F.count(F.lit(1)).alias("_seen"))
+    groups = named.select("_group").distinct()
+    every = groups.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.greatest(buckets, F.lit(1)) - 1)))
+    own = F.col("_group").eqNullSafe(F.col("_own")) & (F.col("_bucket") == F.col("_place"))
+    short = every.join(sizes, "_bucket").join(counts, own, "left").where(F.coalesce("_seen", F.lit(0)) < F.col("_ids"))
+    laid_out = short.select("_group", "_bucket").join(wanted, "_bucket").select("_group", key)
+    there = seen.select(F.col("_group").alias("_own"), F.col(key).alias("_key"))
+    lacking = laid_out.join(there, F.col("_group").eqNullSafe(F.col("_own")) & (F.col(key) == F.col("_key")), "left_anti")
+    return lacking.select(F.col("_group").alias(group), key)
 
 
 def coverage_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:

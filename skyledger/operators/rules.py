@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions import clean
-from skyledger.operators.counting import count_met, met, spread
+from skyledger.operators.counting import count_positions, met, spread
 from skyledger.operators.duplicates import flag_duplicates
 from skyledger.operators.joins import unique_dimension
 from skyledger.schema import AQI_COLUMNS, LOGICAL_KEY, POLLUTANTS, REQUIRED_TEXT
@@ -191,15 +191,26 @@ def error_messages(positions: Column, rules: Sequence[Rule]) -> Column:
     return _named(positions, [rule.message for rule in rules], " | ")
 
 
+#: Positions of the rules that a judged row breaks.
+BROKEN = "_broken"
+
+
+def judged(prepared: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Readings with the positions of their broken rules, without what the rules looked at.
+
+    All results follow from these rows, so rules are evaluated once if they are written.
+    """
+    return prepared.withColumn(BROKEN, broken(rules)).drop(DUPLICATE_FLAG, *DIMENSION_COLUMNS)
+
+
 def split(
-    prepared: DataFrame, rules: Sequence[Rule], checked_at: Column
+    judged_rows: DataFrame, rules: Sequence[Rule], checked_at: Column
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows without issue, and the quarantined rest with codes and messages."""
-    judged = prepared.withColumn("_broken", broken(rules)).drop(DUPLICATE_FLAG, *DIMENSION_COLUMNS)
-    positions = F.col("_broken")
-    good = judged.where(F.size(positions) == 0).drop("_broken")
+    """Judged rows without issue, and the quarantined rest with codes and messages."""
+    positions = F.col(BROKEN)
+    good = judged_rows.where(F.size(positions) == 0).drop(BROKEN)
     bad = (
-        judged.where(F.size(positions) > 0)
+        judged_rows.where(F.size(positions) > 0)
         .withColumns(
             {
                 "dq_status": F.lit("FAILED"),
@@ -208,14 +219,14 @@ def split(
                 "dq_error_messages": error_messages(positions, rules),
             }
         )
-        .drop("_broken")
+        .drop(BROKEN)
     )
     return good, bad
 
 
-def report(prepared: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+def report(judged_rows: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
     """One row per rule (and group): bad rows and PASSED or FAILED. One pass."""
-    counts = count_met(prepared, [rule.failed for rule in rules], by)
+    counts = count_positions(judged_rows, BROKEN, by)
     entries = [
         (
             F.lit(rule.code).alias("check_name"),

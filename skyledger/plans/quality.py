@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from copy import copy
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -39,9 +40,23 @@ class Grading:
             self._readings, self._points, self._locations, self._source, self._tolerance, self._batch
         )
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """The readings with the positions of the rules they break; the other results follow from these rows."""
+        return rules.judged(*self._checked)
+
+    @property
+    def batch(self) -> str:
+        """Name of the column that holds the batch a row was loaded with."""
+        return self._batch
+
+    @property
+    def rules(self) -> list[rules.Rule]:
+        return self._checked[1]
+
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
-        return rules.split(*self._checked, self._checked_at)
+        return rules.split(self.judged, self.rules, self._checked_at)
 
     @cached_property
     def _facts(self) -> DataFrame:
@@ -59,7 +74,7 @@ class Grading:
 
     @cached_property
     def row_report(self) -> DataFrame:
-        return rules.report(*self._checked, [self._batch])
+        return rules.report(self.judged, self.rules, [self._batch])
 
     @cached_property
     def batch_report(self) -> DataFrame:
@@ -67,9 +82,22 @@ class Grading:
 
     @cached_property
     def summary(self) -> DataFrame:
-        prepared, row_rules = self._checked
-        rows = batch_checks.row_facts(prepared, row_rules, self._batch)
-        return batch_checks.score(self._facts, rows, len(row_rules), self._batch)
+        rows = batch_checks.row_facts(self.judged, self._batch)
+        return batch_checks.score(self._facts, rows, len(self.rules), self._batch)
+
+    def stored(self, path: str) -> Grading:
+        """The same results from judged rows that are written to ``path`` once.
+
+        Rules, duplicate counts and dimension joins run in that one job; what is
+        asked of the returned grading reads the written rows.
+        """
+        self.judged.write.mode("overwrite").parquet(path)
+        rows = self._readings.sparkSession.read.parquet(path)
+        other = copy(self)
+        for name in ("_facts", "_split", "row_report", "batch_report", "summary"):
+            other.__dict__.pop(name, None)
+        other.__dict__.update(judged=rows, _readings=rows.drop(rules.BROKEN))
+        return other
 
 
 def grade(

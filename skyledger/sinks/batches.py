@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from skyledger.functions.time import partition_date, partition_hour
-from skyledger.sinks.files import delete_folder, exists
+from skyledger.plans.quality import Grading
+from skyledger.sinks.files import beside, delete_folder, exists
 
 PARTITIONS = ("date", "hour", "batch_id")
 
@@ -49,10 +52,21 @@ def drop_stale(graded: DataFrame, written: DataFrame, root: str) -> list[str]:
     return deleted
 
 
-def write_graded(
-    graded: DataFrame, valid: DataFrame, bad: DataFrame, clean_root: str, bad_root: str
+def write_grading(
+    grading: Grading, clean_root: str, bad_root: str, then: Callable[[Grading], None] | None = None
 ) -> None:
-    """Valid rows and the quarantine of the same batches, safe to run again."""
-    for rows, root in ((valid, clean_root), (bad, bad_root)):
-        write_batches(rows, root)
-        drop_stale(graded, rows, root)
+    """Valid rows and the quarantine of the same batches, safe to run again.
+
+    Rules are evaluated once: the judged rows are written beside the clean table,
+    and everything else reads them from there, also ``then``, which gets the stored
+    grading for reports and logs. The readings carry the columns of ``PARTITIONS``.
+    """
+    spark = grading.judged.sparkSession
+    with beside(spark, f"{clean_root.rstrip('/')}.judged") as staging:
+        stored = grading.stored(staging)
+        for rows, root in ((stored.valid, clean_root), (stored.bad, bad_root)):
+            rows = rows.drop(grading.batch) if grading.batch not in PARTITIONS else rows
+            write_batches(rows, root)
+            drop_stale(stored.judged, rows, root)
+        if then is not None:
+            then(stored)

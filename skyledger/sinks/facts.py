@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.upserts import merge_alerts, upsert
 from skyledger.schema import LOGICAL_KEY
-from skyledger.sinks.files import delete_folder, exists
+from skyledger.sinks.files import beside, delete_folder, exists
 
 FACT_DAY, ALERT_DAY = "forecast_date", "alert_date"
 
@@ -53,16 +51,6 @@ def rewrite_days(
                 delete_folder(spark, f"{path.rstrip('/')}/{day}={value}")
 
 
-@contextmanager
-def beside(spark: SparkSession, path: str) -> Iterator[str]:
-    """A folder beside a table, gone at the end."""
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    try:
-        yield staging
-    finally:
-        delete_folder(spark, staging)
-
-
 def batches_path(path: str) -> str:
     return f"{path.rstrip('/')}.batches"
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +22,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete_folder(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _open(spark, path)
     file_system.delete(hadoop_path, True)
+
+
+@contextmanager
+def beside(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside a table, gone at the end."""
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        yield staging
+    finally:
+        delete_folder(spark, staging)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import clean
 from skyledger.operators.audits import batch_validity
-from skyledger.operators.joins import unique_dimension
 from skyledger.schema import HISTORY_SCHEMA, REQUIRED_TEXT
 
 #: Columns that hold a value in at least one row of any sound batch.
@@ -148,11 +147,41 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+POINT_TEXTS = ("point_id", "location_id", "point_name", "point_type")
+
+
+def point_defects(points: DataFrame) -> DataFrame:
+    """Every row of a point file that cannot be used, active or not, with all its ``reasons``."""
+    blank = [F.when(clean.is_blank(F.col(c)), F.lit(f"{c} is blank")) for c in (*POINT_TEXTS, "is_active")]
+    outside = [
+        F.when(~F.coalesce(F.col(c).between(-most, most), F.lit(False)), F.lit(f"{c} is not within -{most}..{most}"))
+        for c, most in (("latitude", 90), ("longitude", 180))
+    ]
+    unread = clean.parse_boolean(F.col("is_active")).isNull() & ~clean.is_blank(F.col("is_active"))
+    odd = F.when(unread, F.lit("is_active is neither yes nor no"))
+    own = clean.strip("point_id")
+    repeated = points.groupBy(own.alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1 AND _id <> ''")
+    marked = points.join(repeated, own == F.col("_id"), "left")
+    again = F.when(F.col("_rows").isNotNull(), F.concat(F.lit("point_id is not unique: "), F.col("_id")))
+    reasons = F.array_compact(F.array(*blank, *outside, odd, again))
+    return marked.withColumn("reasons", reasons).drop("_id", "_rows").where(F.size("reasons") > 0)
+
+
 def collectable_points(points: DataFrame) -> DataFrame:
-    """Active points of a point file that are complete and in range; a repeated id stops the job."""
-    texts = ("point_id", "location_id", "point_name", "point_type")
-    usable = clean.is_active(F.col("is_active"))
-    for c in texts:
-        usable = usable & ~clean.is_blank(F.col(c))
-    usable = usable & F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
-    return unique_dimension(points.where(usable), "point_id", [*texts[1:], "latitude", "longitude"])
+    """Active points of a point file. A row that cannot be used stops the job, and so does a file without active points.
+
+    :func:`point_defects` lists the rows behind such an error.
+    """
+    columns = [*POINT_TEXTS, "latitude", "longitude"]
+    bad = point_defects(points).select(F.concat_ws(", ", "reasons").alias("text"))
+    bad = bad.agg(F.count(F.lit(1)).alias("rows"), F.min("text").alias("text"))
+    active = points.where(clean.is_active(F.col("is_active"))).select(*columns)
+    found = active.agg(F.count(F.lit(1))).scalar()
+    # The check is one row and gives none; it fails whenever the result is read.
+    fault = (
+        F.when(F.col("rows") > 0, F.raise_error(F.concat(F.col("rows").cast("string"), F.lit(" unusable points, such as: "), F.col("text"))))
+        .when(found == 0, F.raise_error(F.lit("no active point")))
+        .otherwise(F.lit(False))
+    )
+    checks = bad.where(fault).select(*[F.lit(None).cast(active.schema[c].dataType).alias(c) for c in columns])
+    return active.unionByName(checks)

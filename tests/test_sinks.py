@@ -18,18 +18,33 @@ def graded(spark, rows):
     return df, result
 
 
+#: How a plan shows that rows are judged by the rules.
+EVALUATION = "array_remove"
+
+
 def test_rerun_replaces_a_batch_and_drops_stale_quarantine(spark, tmp_path):
     clean, bad = str(tmp_path / "clean"), str(tmp_path / "bad")
     rows = batch()
     rows[0]["pm2_5"] = -1.0
     df, result = graded(spark, rows)
-    batches.write_graded(df, result.valid.drop("load_id"), result.bad.drop("load_id"), clean, bad)
+    logs = {}
+
+    def log(stored):
+        logs.update(summary=stored.summary.collect(), checks=stored.row_report.where("status <> 'PASSED'").collect())
+        for frame_ in (stored.valid, stored.bad, stored.row_report, stored.batch_report, stored.summary):
+            plan = frame_._jdf.queryExecution().optimizedPlan().toString()
+            assert EVALUATION not in plan and "_point_key" not in plan
+        assert EVALUATION in result.valid._jdf.queryExecution().optimizedPlan().toString()
+
+    batches.write_grading(result, clean, bad, log)
+    assert logs["summary"] == result.summary.collect() and [r.check_name for r in logs["checks"]] == ["PM2_5_NON_NEGATIVE"]
+    assert sorted(os.listdir(tmp_path)) == ["bad", "clean"]
     assert tables.read_history(spark, clean).count() == 5
     folder = os.path.join(bad, "date=2026-07-21", "hour=01", "batch_id=B1")
     assert os.path.isdir(folder)
 
     df, result = graded(spark, batch())
-    batches.write_graded(df, result.valid.drop("load_id"), result.bad.drop("load_id"), clean, bad)
+    batches.write_grading(result, clean, bad)
     history = tables.read_history(spark, clean, date="2026-07-21", hour="01", batch="B1")
     assert history.count() == 6 and not os.path.exists(folder)
     plan = history._jdf.queryExecution().executedPlan().toString()
@@ -128,15 +143,41 @@ def test_csv_dimensions_keep_the_literal_na(spark, tmp_path):
         tables.read_locations(spark, str(path))
 
 
+HEADER = "point_id,location_id,point_name,point_type,latitude,longitude,is_active\n"
+
+
 def test_collectable_points(spark, tmp_path):
     path = tmp_path / "points.csv"
-    path.write_text(
-        "point_id,location_id,point_name,point_type,latitude,longitude,is_active\n"
-        "A,L1,a,t,1,2,true\nB,L1,b,t,x,2,true\nC,L1,c,t,1,2,no\nE,L1, ,t,1,2,1\n"
-    )
+    path.write_text(HEADER + "A,L1,a,t,1,2,true\nC,L1,c,t,1,2,no\n")
     assert [r.point_id for r in tables.collectable_points(tables.read_points(spark, str(path))).collect()] == ["A"]
-    path.write_text(path.read_text() + "A,L2,a,t,1,2,true\n")
-    with pytest.raises(Exception, match="not unique: A"):
+
+
+@pytest.mark.parametrize(
+    ("line", "reason"),
+    [
+        ("B,L1,b,t,x,2,true", "latitude is not within -90..90"),
+        ("B,L1,b,t,1,180.5,no", "longitude is not within -180..180"),
+        ("E,L1, ,t,1,2,1", "point_name is blank"),
+        (",L1,e,t,1,2,1", "point_id is blank"),
+        ("E,L1,e,t,1,2,maybe", "is_active is neither yes nor no"),
+        ("E,L1,e,t,1,2,", "is_active is blank"),
+        (" A ,L2,a,t,1,2,no", "point_id is not unique: A"),
+    ],
+)
+def test_an_unusable_point_stops_the_job(spark, tmp_path, line, reason):
+    path = tmp_path / "points.csv"
+    path.write_text(HEADER + "A,L1,a,t,1,2,true\n" + line + "\n")
+    points_read = tables.read_points(spark, str(path))
+    found = tables.point_defects(points_read).collect()
+    assert {r for row in found for r in row.reasons} == {reason} and len(found) == (2 if "unique" in reason else 1)
+    with pytest.raises(Exception, match=reason.replace(".", "[.]")):
+        tables.collectable_points(points_read).collect()
+
+
+def test_a_file_without_active_points_stops_the_job(spark, tmp_path):
+    path = tmp_path / "points.csv"
+    path.write_text(HEADER + "A,L1,a,t,1,2,no\n")
+    with pytest.raises(Exception, match="no active point"):
         tables.collectable_points(tables.read_points(spark, str(path))).collect()
 
 

@@ -1,19 +1,27 @@
 import json
+import os
+import shutil
+
+import pytest
 
 from data import SOURCE, frame, locations, points, reading
 from skyledger.schema import AQI_COLUMNS, CLEAN_SCHEMA
-from skyledger.streaming import live
+from skyledger.streaming import ingest, live
 from skyledger.streaming.ingest import ingest_available
 from test_raw import document
 
 
 def run(spark, tmp_path):
-    query = ingest_available(
-        spark, str(tmp_path / "raw"), str(tmp_path / "facts"), str(tmp_path / "checkpoint"), SOURCE
-    )
+    paths = [str(tmp_path / name) for name in ("raw", "facts", "checkpoint")]
+    query = ingest_available(spark, *paths, SOURCE, points(spark), locations(spark), str(tmp_path / "bad"))
     query.awaitTermination(120)
-    assert query.exception() is None
-    return spark.read.parquet(str(tmp_path / "facts"))
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.parquet(paths[1])
+
+
+def valid(point, **changes):
+    return document(point, **{**{c: [75, 80] for c in AQI_COLUMNS}, **changes})
 
 
 def put(tmp_path, name, doc):
@@ -22,10 +30,10 @@ def put(tmp_path, name, doc):
 
 
 def test_new_documents_reach_the_facts_once(spark, tmp_path):
-    put(tmp_path, "1.json", document("P1"))
+    put(tmp_path, "1.json", valid("P1"))
     put(tmp_path, "2.json", document("P2", pm10=[1.0]))
     assert run(spark, tmp_path).count() == 2
-    put(tmp_path, "3.json", {**document("P1", us_aqi=[160, 170]), "batch_id": "B2"})
+    put(tmp_path, "3.json", {**valid("P1", us_aqi=[160, 170]), "batch_id": "B2"})
     rows = run(spark, tmp_path).collect()
     assert sorted((r.point_id, r.us_aqi, r.batch_id, r.aqi_severity) for r in rows) == [
         ("P1", 160, "B2", "UNHEALTHY"),
@@ -35,14 +43,33 @@ def test_new_documents_reach_the_facts_once(spark, tmp_path):
 
 
 def test_rows_that_break_a_rule_go_to_quarantine(spark, tmp_path):
-    put(tmp_path, "1.json", document("P1", pm10=[-1.0, 2.0], **{c: [75, 80] for c in AQI_COLUMNS}))
-    paths = [str(tmp_path / name) for name in ("raw", "facts", "checkpoint")]
-    ingest_available(
-        spark, *paths, SOURCE, points(spark), locations(spark), str(tmp_path / "bad")
-    ).awaitTermination(120)
-    assert [r.pm10 for r in spark.read.parquet(paths[1]).collect()] == [2.0]
+    put(tmp_path, "1.json", valid("P1", pm10=[-1.0, 2.0]))
+    assert [r.pm10 for r in run(spark, tmp_path).collect()] == [2.0]
     bad = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert [(r.pm10, r.dq_status) for r in bad] == [(-1.0, "FAILED")]
+    done = spark.read.parquet(ingest.ledger_path(str(tmp_path / "facts"))).collect()
+    assert [(r.micro_batch, r.valid_rows, r.bad_rows) for r in done] == [(0, 1, 1)]
+
+
+def test_a_replay_after_a_crash_between_quarantine_and_facts(spark, tmp_path, monkeypatch):
+    put(tmp_path, "1.json", valid("P1", pm10=[-1.0, 2.0]))
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "upsert_facts", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            run(spark, tmp_path)
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1 and not (tmp_path / "facts").exists()
+    assert run(spark, tmp_path).count() == 1
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    # The last commit of the checkpoint is lost: the micro-batch comes again and is passed over.
+    for name in ("0", ".0.crc"):
+        os.remove(tmp_path / "checkpoint" / "commits" / name)
+    before = sorted(os.listdir(tmp_path / "facts" / "forecast_date=2026-07-13"))
+    assert run(spark, tmp_path).count() == 1
+    assert sorted(os.listdir(tmp_path / "facts" / "forecast_date=2026-07-13")) == before
+    # A new checkpoint is another stream: it takes the same files and leaves the same rows.
+    shutil.rmtree(tmp_path / "checkpoint")
+    assert run(spark, tmp_path).count() == 1
+    assert spark.read.parquet(ingest.ledger_path(str(tmp_path / "facts"))).count() == 2
 
 
 def drain(spark, df, name):
