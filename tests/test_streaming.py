@@ -1,10 +1,14 @@
 import json
 import os
 import shutil
+from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from data import SOURCE, frame, locations, points, reading
+from data import SOURCE, START, frame, locations, points, reading
+from skyledger.functions.bands import alert_severity
+from skyledger.operators import ranking
 from skyledger.schema import AQI_COLUMNS, CLEAN_SCHEMA
 from skyledger.streaming import ingest, live
 from skyledger.streaming.ingest import ingest_available
@@ -87,3 +91,39 @@ def test_live_windows(spark, tmp_path):
     assert sorted((r.location_id, r.average_us_aqi, r.readings) for r in means) == [("L1", 160.0, 2), ("L2", 20.0, 1)]
     counts = drain(spark, live.alert_counts(source), "counts")
     assert sorted((r.severity, r.alerts) for r in counts) == [("CRITICAL", 1), ("MEDIUM", 1)]
+
+
+def test_live_values_follow_the_newest_version(spark, tmp_path):
+    """Corrections, a late row, a repeated file and a closed hour, against one batch over the same rows."""
+    first, second, third = (START + timedelta(minutes=m) for m in (5, 40, 70))
+    feeds = [
+        [reading(p, l, h, us_aqi=a, ingested_at=first) for p, l, h, a in (("P1", "L1", 3, 110), ("P2", "L1", 3, 210), ("P3", "L2", 3, 20), ("P3", "L2", 4, None))],
+        # P1 is corrected, P2 moves to L2, P3 gets a value.
+        [reading("P1", "L1", 3, us_aqi=50, batch_id="B2", ingested_at=third), reading("P2", "L2", 3, us_aqi=160, batch_id="B2", ingested_at=third), reading("P3", "L2", 4, us_aqi=310, batch_id="B2", ingested_at=third)],
+        # Late: older than what P1 has now, but newer than its first version; and the same rows again.
+        [reading("P1", "L1", 3, us_aqi=500, batch_id="B9", ingested_at=second), reading("P2", "L2", 3, us_aqi=160, batch_id="B2", ingested_at=third)],
+    ]
+
+    def run(rows, name):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(CLEAN_SCHEMA).parquet(str(tmp_path / "in"))
+        live.maintain(live.corrections(source), str(tmp_path / "live"), str(tmp_path / "check")).awaitTermination(120)
+        return sorted(map(tuple, live.current_hours(spark, str(tmp_path / "live")).collect()))
+
+    def batch_result(rows):
+        newest = ranking.latest_wins(frame(spark, rows)).withColumn("severity", alert_severity(F.col("us_aqi")))
+        counts = [F.count_if(F.col("severity") == s) for s in live.SEVERITIES]
+        return sorted(map(tuple, newest.groupBy("location_id", "forecast_time").agg(F.avg("us_aqi"), F.count("*"), *counts).collect()))
+
+    seen = []
+    for number, rows in enumerate(feeds):
+        seen += rows
+        assert run(rows, number) == batch_result(seen)
+    # Time passes the hours: a closed one is no longer corrected, an open one is.
+    later = START + timedelta(hours=20)
+    run([reading("P4", "L3", 40, us_aqi=10, ingested_at=later)], 3)
+    run([reading("P5", "L3", 41, us_aqi=10, ingested_at=later)], 4)
+    before = live.current_hours(spark, str(tmp_path / "live")).where("location_id = 'L1'").collect()
+    found = run([reading("P1", "L1", 3, us_aqi=400, batch_id="B5", ingested_at=later), reading("P4", "L3", 40, us_aqi=30, batch_id="B5", ingested_at=later)], 5)
+    assert live.current_hours(spark, str(tmp_path / "live")).where("location_id = 'L1'").collect() == before
+    assert [(r[0], r[2], r[3]) for r in found if r[0] == "L3"] == [("L3", 30.0, 1), ("L3", 10.0, 1)]
