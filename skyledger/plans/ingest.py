@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.duplicates import duplicate_keys
-from skyledger.schema import LOGICAL_KEY
+from skyledger.functions.time import parse_instant
 from skyledger.sources.raw import explode_documents, failures, record_count, with_failure
 
 
@@ -26,25 +25,46 @@ def transform(raw: DataFrame, source: str) -> Transformed:
     and only batches without any are loadable.
     """
     documents = with_failure(raw, source)
-    rows = explode_documents(documents)
+    return Transformed(
+        rows=explode_documents(documents),
+        failures=failures(documents),
+        summary=summary(documents),
+    )
+
+
+#: What tells the rows of a batch apart besides their time.
+SERIES = ("batch_id", "point_id", "source")
+
+
+def summary(documents: DataFrame) -> DataFrame:
+    """Counts and status of every batch, from one pass over the documents.
+
+    A document is unrolled to its times alone, without its measures, and counts with
+    the first of them; a rejected one gives a row without a time. Rows are counted
+    by key and then summed by batch, so repeated hours are found within a document
+    and between documents of one point alike.
+    """
     ok = F.col("failure").isNull()
-    counted = documents.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("input_objects"),
-        F.count_if(ok).alias("successful_objects"),
-        F.count_if(~ok).alias("failed_objects"),
-        F.coalesce(F.sum(F.when(ok, record_count())), F.lit(0)).cast("bigint").alias("records_transformed"),
+    unrolled = documents.select(
+        *SERIES, ok.alias("ok"), record_count().alias("records"), F.posexplode_outer(F.when(ok, F.col("hourly.time"))).alias("place", "text")
     )
-    repeated = (
-        duplicate_keys(rows, ["batch_id", *LOGICAL_KEY])
-        .groupBy("batch_id")
-        .agg(F.sum("row_count").alias("duplicate_rows"))
+    first = F.coalesce("place", F.lit(0)) == 0
+    cells = unrolled.groupBy(*SERIES, parse_instant(F.col("text")).alias("time")).agg(
+        F.count("text").alias("n"),
+        F.count_if(first).alias("objects"),
+        F.count_if(first & F.col("ok")).alias("good"),
+        F.sum(F.when(first & F.col("ok"), F.col("records"))).alias("records"),
     )
-    return Transformed(
-        rows=rows,
-        failures=failures(documents),
-        summary=counted.join(repeated, "batch_id", "left")
-        .fillna(0, ["duplicate_rows"])
-        .withColumn("status", _status()),
+    return (
+        cells.groupBy("batch_id")
+        .agg(
+            F.sum("objects").alias("input_objects"),
+            F.sum("good").alias("successful_objects"),
+            F.sum(F.col("objects") - F.col("good")).alias("failed_objects"),
+            F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("records_transformed"),
+            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
+        )
+        .withColumn("status", _status())
     )
 
 

@@ -28,21 +28,24 @@ def days_of(rows: DataFrame) -> DataFrame:
     return rows.select(local_day(F.col("forecast_time")).alias(DAY)).distinct()
 
 
-def newest(hours: Column) -> Column:
-    """The last version of each hour of an array of hours."""
-    ordered = F.array_sort(hours)
+def newest(states: DataFrame, hours: str) -> DataFrame:
+    """``states`` with only the last version of each hour in their array ``hours``.
+
+    The array is sorted in a step of its own, as a lambda would sort it for every hour.
+    """
+    ordered = states.withColumn("_ordered", F.array_sort(hours))
 
     def last(hour: Column, place: Column) -> Column:
-        following = F.get(ordered, place + 1)
+        following = F.get("_ordered", place + 1)
         return following.isNull() | (following["forecast_time"] != hour["forecast_time"])
 
-    return F.filter(ordered, last)
+    return ordered.withColumn(hours, F.filter("_ordered", last)).drop("_ordered")
 
 
 def of_rows(rows: DataFrame) -> DataFrame:
     """States of readings; versions are dropped before the shuffle, so a group holds one row an hour."""
     dated = latest_wins(rows).withColumn(DAY, local_day(F.col("forecast_time")))
-    return dated.groupBy(*KEYS).agg(newest(F.collect_list(F.struct(*HOUR))).alias("hours"))
+    return dated.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct(*HOUR))).alias("hours"))
 
 
 def merged(stored: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -52,10 +55,7 @@ def merged(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     )
     empty = F.array().cast(stored.schema["hours"].dataType)
     either = F.concat(F.coalesce("hours", empty), F.coalesce("_fresh", empty))
-    # Most points of a touched day have one side only and keep it as it is.
-    alone = F.coalesce("hours", "_fresh")
-    hours = F.when(F.col("hours").isNull() | F.col("_fresh").isNull(), alone).otherwise(newest(either))
-    return both.select(*KEYS, hours.alias("hours"))
+    return newest(both.select(*KEYS, either.alias("hours")), "hours")
 
 
 def hours(states: DataFrame) -> DataFrame:

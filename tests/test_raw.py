@@ -108,6 +108,24 @@ def test_repeated_document_fails_the_batch(spark, tmp_path):
     assert ingest.clean_batches(result).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("times", "repeated"),
+    [
+        (["2026-07-13T21:00", "2026-07-13T22:00"], 0),
+        (["2026-07-13T21:00", "2026-07-13T21:00"], 2),
+        (["2026-07-13T21:00", "2026-07-13T14:00:00Z"], 2),
+        (["2026-07-13T21:00", "2026-07-13 21:00"], 2),
+        (["2026-07-13T14:00:00Z", "2026-07-13T15:00:00Z"], 0),
+        (["2026-07-13T21:00+07:00", "2026-07-13T15:00:00Z"], 0),
+    ],
+)
+def test_repeated_hours_of_one_document(spark, tmp_path, times, repeated):
+    result = ingest.transform(load(spark, tmp_path, [document("P1", time=times), document("P2")]), SOURCE).summary
+    row = result.first()
+    assert (row.duplicate_rows, row.status, row.records_transformed) == (repeated, "FAILED" if repeated else "SUCCESS", 4)
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
 def test_point_metadata_defaults(spark, tmp_path):
     doc = document()
     doc["point"] = {"point_id": "P1", "location_id": "NA", "latitude": 1.0, "longitude": 2.0}
