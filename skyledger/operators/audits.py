@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions import clean
-from skyledger.operators.counting import count_met, spread
+from skyledger.operators.counting import count_met, met, spread
 from skyledger.operators.duplicates import key_counts
 from skyledger.operators.joins import orphan_points
 from skyledger.schema import ColumnRule, Contract
@@ -67,6 +67,24 @@ def count_conditions(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -
     return spread(counts, entries).withColumnRenamed("row_count", "invalid_count")
 
 
+def count_with_key(df: DataFrame, checks: Sequence[tuple[str, str, Column]], key: Sequence[str]) -> DataFrame:
+    """The same rows and one for the key (rows whose key is not unique), still in one pass.
+
+    Every row is unrolled to the conditions it meets and to its key, so one grouping
+    counts both: conditions without a key, keys without a condition.
+    """
+    own = len(checks)
+    places = F.concat(met([condition for _, _, condition in checks]), F.array(F.lit(own)))
+    unrolled = df.select(F.explode(places).alias("position"), *[F.col(c).alias(f"_{c}") for c in key])
+    keyed = [F.when(F.col("position") == own, F.col(f"_{c}")).alias(f"_{c}") for c in key]
+    cells = unrolled.select("position", *keyed).groupBy("position", *[f"_{c}" for c in key]).agg(F.count(F.lit(1)).alias("n"))
+    counted = F.when((F.col("position") != own) | (F.col("n") > 1), F.col("n")).otherwise(0)
+    counts = cells.groupBy("position").agg(F.sum(counted).alias("row_count"))
+    named = [*((code, field) for code, field, _ in checks), ("DUPLICATE_KEY", ",".join(key))]
+    entries = [(F.lit(code).alias("code"), F.lit(field).alias("field")) for code, field in named]
+    return spread(counts, entries).withColumnRenamed("row_count", "invalid_count")
+
+
 def repeated_rows(df: DataFrame, key: Sequence[str], code: str, surplus: bool = False) -> DataFrame:
     """One issue row: rows whose key is not unique (or only the surplus copies)."""
     rows = F.col("row_count") - 1 if surplus else F.col("row_count")
@@ -104,9 +122,7 @@ def audit(df: DataFrame, contract: Contract) -> DataFrame:
         for rule in contract.columns
         for code, condition in _column_checks(df, rule)
     ]
-    result = count_conditions(df, checks)
-    if contract.key:
-        result = result.union(repeated_rows(df, contract.key, "DUPLICATE_KEY"))
+    result = count_with_key(df, checks, contract.key) if contract.key else count_conditions(df, checks)
     result = result.where("invalid_count > 0")
     return result.union(found) if schema_issues else result
 
