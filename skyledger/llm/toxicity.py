@@ -6,27 +6,30 @@ of the earlier ones, since those of a model on its own training rows would be to
 good. Thresholds also come from out-of-fold predictions.
 
 The fit takes a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by a hash
-of the id) and a bounded vocabulary (``VOCABULARY`` features a category, those
+of the id, every combination of labels alike) and a bounded vocabulary (``VOCABULARY`` features a category, those
 with the strongest chi-square); scoring reads every text whole, in one pass
 without a shuffle. Features of a text: its words, their first 4, 5 and 6 letters,
 and a few numbers on its surface.
 
 Defined cases: null and empty texts have no features; a null ``doc_id`` has no
 label; labels that contradict each other count as positive; a null label counts
-as 0; without ``LEAST_POSITIVES`` positive rows a category has probability 0 and
-flags nothing; repeated rows are scored one by one; ``filtered`` keeps all columns.
+as 0; with fewer than ``LEAST_POSITIVES`` labelled examples of either kind a category
+has probability 0, flags nothing, and a warning says so; repeated rows are scored one
+by one, very long texts whole; an empty table gives no rows; columns named like those
+that ``scored`` adds are replaced there; ``filtered`` keeps all columns.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,12 +39,13 @@ from skyledger.llm.common import cut, parts
 TRAIN_ROWS = 16_000
 #: Features kept for each category.
 VOCABULARY = 512
+#: Texts of one id that a fit takes at most.
+TEXTS = 4
 FOLDS = 4
+#: Examples that a category needs of either kind; with fewer it is off, and a warning says so.
 LEAST_POSITIVES = 10
 #: Strength of the quadratic penalty, steps of the fit, entries a counting task holds.
 PENALTY, STEPS, HELD = 1e-4, 250, 300_000
-#: A threshold lies between these: models of few folds' rows are less sure than the final one.
-THRESHOLDS = (0.4, 0.6)
 PREFIXES = (4, 5, 6)
 SURFACE = 6
 WORDS = re.compile(r"[^\W\d_]+")
@@ -71,18 +75,32 @@ def surface(text: str) -> list[float]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most: int = TRAIN_ROWS) -> DataFrame:
-    """A bounded sample of labelled documents: doc_id, text, y (one 0/1 a category)."""
+    """A bounded sample of labelled documents: doc_id, text, y (one 0/1 a category), weight.
+
+    Up to ``most`` labelled ids are all taken. Of more, every combination of labels
+    gets an equal part of the sample, so rare categories keep their examples; the
+    weight says how many labelled ids a drawn one stands for. An id with several
+    texts gives at most ``TEXTS`` of them, each once.
+    """
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         *[F.max(F.coalesce(F.expr(rule).cast("int"), F.lit(0))).alias(f"y{i}") for i, rule in enumerate(categories.values())]
     )
-    chance = min(1.0, most / max(1, known.count()))
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)) < int(chance * (1 << 40)))
-    drawn = drawn.select(
-        F.col("doc_id").alias("_id"), F.array(*[f"y{i}" for i in range(len(categories))]).alias("y")
-    )
+    known = known.select(F.col("doc_id").alias("_id"), F.array(*[f"y{i}" for i in range(len(categories))]).alias("y"))
+    sizes = {tuple(row.y): row.n for row in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    drawn = known.withColumn("weight", F.lit(1.0))
+    if sum(sizes.values()) > most:
+        shares = {y: min(1.0, most / len(sizes) / n) for y, n in sizes.items()}
+        same = lambda y: F.col("y") == F.array(*[F.lit(v) for v in y])
+        share = F.coalesce(*[F.when(same(y), F.lit(part)) for y, part in shares.items()])
+        place = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        drawn = known.withColumn("weight", 1 / share).where(place < share)
     # The drawn labels are bounded by ``most``, so they go to every task.
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
-    return cut(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
+    texts = rows.groupBy("doc_id", F.xxhash64("text").alias("_hash")).agg(
+        F.first(F.coalesce("text", F.lit(""))).alias("text"), F.first("y").alias("y"), F.first("weight").alias("weight")
+    )
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("_hash"))
+    return cut(texts.withColumn("_place", once).where(F.col("_place") <= TEXTS).select("doc_id", "text", "y", "weight"))
 
 
 def vocabulary(train: DataFrame, size: int, kept: int = VOCABULARY) -> list[str]:
@@ -149,13 +167,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_linear(rows: Rows, y: np.ndarray, on: np.ndarray) -> np.ndarray:
-    """Weights of a logistic model on the rows that ``on`` marks, by accelerated gradient steps."""
+    """Weights of a logistic model on rows that count as much as ``on`` says, by accelerated gradient steps."""
     size = rows.width + rows.dense.shape[1]
     weight, ahead, momentum = np.zeros(size), np.zeros(size), 1.0
-    n = max(1, int(on.sum()))
-    # A bound on the curvature from the largest row norm keeps every step downhill.
+    n = max(1.0, float(on.sum()))
+    # A bound on the curvature from the row norms keeps every step downhill.
     norms = np.bincount(rows.row, minlength=len(y)) + (rows.dense**2).sum(1)
-    rate = 1 / (0.25 * float(np.mean(norms)) + PENALTY)
+    rate = 1 / (0.25 * max(float(np.mean(norms)), float(norms @ on) / n) + PENALTY)
     for _ in range(STEPS):
         slope = rows.turned((sigmoid(rows.times(ahead)) - y) * on) / n + PENALTY * ahead
         new = ahead - rate * slope
@@ -165,15 +183,15 @@ def fit_linear(rows: Rows, y: np.ndarray, on: np.ndarray) -> np.ndarray:
     return weight
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """Middle of the best threshold's plateau by F1, from out-of-fold probabilities."""
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    scores = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    hits = np.cumsum((y * weight)[order])
+    scores = 2 * hits / (np.cumsum(weight[order]) + (y * weight).sum())
     at = int(np.argmax(scores))
     above = p[order][at]
     below = p[order][at + 1] if at + 1 < len(p) else 0.0
-    return float(np.clip((above + below) / 2, *THRESHOLDS))
+    return float((above + below) / 2)
 
 
 class Chain:
@@ -228,16 +246,18 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most: in
                 [
                     batch.column("doc_id"),
                     batch.column("y"),
+                    batch.column("weight"),
                     pa.array([chain.indices(t).tolist() for t in texts], pa.list_(pa.int64())),
                     pa.array([surface(t) for t in texts], pa.list_(pa.float64())),
                 ],
-                names=["doc_id", "y", "found", "numbers"],
+                names=["doc_id", "y", "weight", "found", "numbers"],
             )
 
-    fields = "doc_id long, y array<int>, found array<long>, numbers array<double>"
-    taken = train.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(indexed, fields)
+    fields = "doc_id long, y array<int>, weight double, found array<long>, numbers array<double>"
+    taken = train.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y", "weight").mapInArrow(indexed, fields)
     taken = sorted(taken.collect(), key=lambda row: (row.doc_id, row.found))
     y = np.array([row.y for row in taken], float).reshape(-1, size)
+    counts_as = np.array([row.weight for row in taken], float)
     index = [np.array(row.found, np.int64) for row in taken]
     numbers = np.array([row.numbers for row in taken], float).reshape(-1, SURFACE)
     if len(taken):
@@ -246,15 +266,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most: in
     fold = np.arange(len(taken)) % FOLDS
     for i in range(size):
         if y[:, i].sum() < LEAST_POSITIVES or (1 - y[:, i]).sum() < LEAST_POSITIVES:
+            warnings.warn(f"too few labelled examples of {chain.names[i]}: nothing will be put into it", stacklevel=2)
             chain.models.append(None)
             continue
         rows = Rows(index, dense, len(chain.place))
         outside = np.zeros(len(taken))
         for k in range(FOLDS):
             held = fold == k
-            outside[held] = rows.times(fit_linear(rows, y[:, i], (~held).astype(float)))[held]
-        weights = fit_linear(rows, y[:, i], np.ones(len(taken)))
-        chain.models.append((weights, best_threshold(sigmoid(outside), y[:, i])))
+            outside[held] = rows.times(fit_linear(rows, y[:, i], ~held * counts_as))[held]
+        weights = fit_linear(rows, y[:, i], counts_as)
+        chain.models.append((weights, best_threshold(sigmoid(outside), y[:, i], counts_as)))
         dense = np.concatenate([dense, np.clip(outside, -6, 6)[:, None] / 2], 1)
     return chain
 

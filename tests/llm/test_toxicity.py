@@ -71,3 +71,39 @@ def test_fixture_labels(spark):
     rows = toxicity.scored(full.select("doc_id", "text"), chain).where("doc_id IN (%s)" % ",".join(map(str, truth))).collect()
     assert np.mean([r.is_toxic == bool(truth[r.doc_id]) for r in rows]) > 0.97
     assert docs.count()
+
+
+def test_rare_categories_keep_their_examples(spark, monkeypatch):
+    """One document in 60 is toxic, and the sample takes one labelled row in ten."""
+    rows, labels = corpus(3000)
+    labels = [(i, q, int(t and i % 60 == 0)) for i, q, t in labels]
+    rows = [(i, text if not t or i % 60 == 0 else odd.prose(9000 + i, 30)) for (i, text), (_, _, t) in zip(rows, corpus(3000)[1])]
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 300)
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = odd.documents(spark, rows)
+    train = toxicity.labelled(docs, frame, toxicity.CATEGORIES, 300).collect()
+    assert sum(r.y[1] for r in train) == 50 and len(train) < 400
+    assert abs(sum(r.weight for r in train) - 3000) < 600
+    chain = toxicity.fit(docs, frame, toxicity.CATEGORIES, 300)
+    flags = {r.doc_id: r.is_toxic for r in toxicity.scored(docs.select("doc_id", "text"), chain).collect()}
+    truth = {i: bool(t) for i, _, t in labels}
+    assert sum(flags[i] for i in truth if truth[i]) >= 45 and sum(flags[i] for i in truth if not truth[i]) <= 15
+
+
+def test_texts_of_one_id_are_bounded(spark):
+    rows = [(7, odd.prose(i, 20)) for i in range(40)] + [(7, odd.prose(0, 20))] * 30 + [(None, "x")] * 20 + [(8, "y")] * 50
+    frame = spark.createDataFrame([(7, 1, 1), (8, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    taken = [r.doc_id for r in toxicity.labelled(odd.documents(spark, rows), frame, toxicity.CATEGORIES).collect()]
+    assert sorted(taken) == [7] * toxicity.TEXTS + [8]
+
+
+def test_a_category_that_is_off_says_so(spark):
+    frame = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    with pytest.warns(UserWarning, match="toxic"):
+        toxicity.fit(odd.documents(spark), frame, toxicity.CATEGORIES)
+
+
+def test_scored_replaces_columns_of_its_names(spark, fitted):
+    docs = odd.documents(spark).withColumn("p_toxic", toxicity.F.lit("x"))
+    scored = toxicity.scored(docs, fitted)
+    assert dict(scored.dtypes)["p_toxic"] == "double" and scored.count() == docs.count()
