@@ -63,8 +63,15 @@ _POINT_TYPE = T.StructType(
     [T.StructField(c, T.StringType()) for c in POINT_COLUMNS[:4]]
     + [T.StructField(c, T.DoubleType()) for c in POINT_COLUMNS[4:]]
 )
-# The hourly arrays sit directly under the response or one level deeper.
-_NESTED_HOURLY = T.StructType([T.StructField("hourly", HOURLY_TYPE)])
+# What is read from known places of a response; its hourly arrays may lie deeper.
+RESPONSE_TYPE = T.StructType(
+    [
+        T.StructField("hourly", HOURLY_TYPE),
+        T.StructField("response", T.StructType([T.StructField("hourly", HOURLY_TYPE)])),
+        *_POINT_TYPE.fields,
+    ]
+)
+# The response stays text: its form is the source's choice.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("schema_version", T.StringType()),
@@ -72,17 +79,7 @@ RAW_SCHEMA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("extracted_at", T.StringType()),
         T.StructField("point", _POINT_TYPE),
-        T.StructField(
-            "api_response",
-            T.StructType(
-                [
-                    T.StructField("hourly", HOURLY_TYPE),
-                    T.StructField("response", _NESTED_HOURLY),
-                    T.StructField("data", _NESTED_HOURLY),
-                    *_POINT_TYPE.fields,
-                ]
-            ),
-        ),
+        T.StructField("api_response", T.StringType()),
     ]
 )
 

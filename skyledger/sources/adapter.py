@@ -248,10 +248,17 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
             )
         return values.alias(name)
 
+    def within(inner: Column, *names: str) -> Column:
+        inner = F.struct(inner.alias("hourly"))
+        for name in names:
+            inner = F.struct(inner.alias(name))
+        return inner
+
     hourly = F.struct(*[array(c) for c in ("time", *measures)])
     nested, deeper = k % 13 == 4, (k % 11 == 2) & (k % 13 != 4)
+    far = (k % 19 == 8) & ~nested & ~deeper
     absent = k % 29 == 11
-    plain = ~nested & ~deeper & ~absent
+    plain = ~nested & ~deeper & ~far & ~absent
     nowhere = F.lit(None)
     return grouped.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
@@ -266,17 +273,18 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
             F.when(k % 31 != 9, F.col("latitude")).alias("latitude"),
             "longitude",
         ).alias("point"),
-        F.struct(
+        F.to_json(F.struct(
             F.when(plain, hourly).alias("hourly"),
             F.when(nested & ~absent, F.struct(hourly.alias("hourly"))).alias("response"),
             F.when(deeper & ~absent, F.struct(hourly.alias("hourly"))).alias("data"),
+            F.when(far & ~absent, within(hourly, "model", "series", "result")).alias("body"),
             nowhere.cast("string").alias("point_id"),
             F.when(k % 41 == 8, F.col("location_id")).alias("location_id"),
             nowhere.cast("string").alias("point_name"),
             nowhere.cast("string").alias("point_type"),
             F.when(k % 31 == 9, F.lit(123.0)).alias("latitude"),
             nowhere.cast("double").alias("longitude"),
-        ).alias("api_response"),
+        )).alias("api_response"),
     )
 
 

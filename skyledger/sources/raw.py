@@ -11,9 +11,11 @@ from skyledger.functions.time import parse_instant
 from skyledger.schema import (
     AQI_COLUMNS,
     CLEAN_COLUMNS,
+    HOURLY_TYPE,
     POINT_COLUMNS,
     POLLUTANTS,
     RAW_SCHEMA,
+    RESPONSE_TYPE,
     SCHEMA_VERSION,
 )
 
@@ -42,24 +44,88 @@ def read_raw(
     return df
 
 
-def locate_hourly(response: str = "api_response") -> Column:
-    """The hourly arrays, wherever the response carries them."""
-    candidates = [f"{response}.hourly", f"{response}.response.hourly", f"{response}.data.hourly"]
-    return F.coalesce(*[F.when(F.col(f"{c}.time").isNotNull(), F.col(c)) for c in candidates])
+#: Objects within objects that a JSON reader follows; deeper documents are unreadable anyhow.
+DEEPEST = 1000
 
 
-def hourly_path(response: str = "api_response") -> Column:
-    """Which of the known places holds the hourly arrays."""
-    return (
-        F.when(F.col(f"{response}.hourly.time").isNotNull(), "hourly")
-        .when(F.col(f"{response}.response.hourly.time").isNotNull(), "response.hourly")
-        .when(F.col(f"{response}.data.hourly.time").isNotNull(), "data.hourly")
-    )
+def find_hourly(response: str | Column) -> Column:
+    """The object with hourly arrays that comes first in a JSON text, at any depth.
+
+    A struct of its ``path``, empty at the top, and of the arrays as ``text``, or null. The objects of one
+    depth are opened together, and only as long as there are any; a place is the list of
+    positions that lead to it, so the least place is the first in the document's order.
+    Lists are not searched, nor are texts that hold JSON.
+    """
+    text = F.col(response) if isinstance(response, str) else response
+    node = "struct<place: array<int>, path: string, text: string>"
+
+    def opened(at: Column) -> Column:
+        """The members of an object in their order, each as text and as what it is."""
+        texts = F.from_json(at["text"], "map<string, string>")
+        values = F.map_values(F.from_json(at["text"], "map<string, variant>"))
+        members = F.arrays_zip(F.map_keys(texts).alias("name"), F.map_values(texts).alias("text"), values.alias("value"))
+        return F.transform(
+            F.coalesce(members, F.array()),
+            lambda m, i: F.struct(
+                F.concat(at["place"], F.array(i)).alias("place"),
+                at["path"].alias("above"),
+                F.concat_ws(".", F.when(at["path"] != "", at["path"]), m["name"]).alias("path"),
+                m["text"].alias("text"),
+                (m["name"] == "hourly").alias("named"),
+                F.try_variant_get(m["value"], "$", "map<string, variant>").isNotNull().alias("object"),
+                F.try_variant_get(m["value"], "$.time", "array<variant>").isNotNull().alias("timed"),
+            ),
+        )
+
+    def deeper(state: Column, _: Column) -> Column:
+        members = F.flatten(F.transform(state["open"], opened))
+        # The place of a hit is that of the object around it: it comes before all its members.
+        hits = F.transform(
+            F.filter(members, lambda m: m["named"] & m["timed"]),
+            lambda m: F.struct(
+                F.slice(m["place"], F.lit(1), F.size(m["place"]) - 1).alias("place"),
+                m["above"].alias("path"),
+                m["text"].alias("text"),
+            ),
+        )
+        inner = F.transform(
+            F.filter(members, lambda m: m["object"]),
+            lambda m: F.struct(m["place"].alias("place"), m["path"].alias("path"), m["text"].alias("text")),
+        )
+        return F.struct(F.concat(state["found"], hits).alias("found"), inner.alias("open"))
+
+    top = F.array(F.struct(F.array().cast("array<int>").alias("place"), F.lit("").alias("path"), text.alias("text")))
+    start = F.struct(F.array().cast(f"array<{node}>").alias("found"), top.cast(f"array<{node}>").alias("open"))
+    levels = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(DEEPEST), F.regexp_count(text, F.lit(r"\{")))))
+    first = F.aggregate(levels, start, deeper, lambda state: F.array_min(state["found"]))
+    return F.struct(first["path"].alias("path"), first["text"].alias("text"))
+
+
+def open_responses(raw: DataFrame) -> DataFrame:
+    """Documents with ``answer``, the known parts of the response, and ``found``, arrays elsewhere.
+
+    Arrays directly under the response come before all others, so nothing is searched then.
+    """
+    answered = raw.withColumn("answer", F.from_json("api_response", RESPONSE_TYPE))
+    direct = F.col("answer.hourly.time").isNotNull()
+    return answered.withColumn("found", F.when(~direct & F.col("api_response").isNotNull(), find_hourly("api_response")))
+
+
+def locate_hourly() -> Column:
+    """The hourly arrays of an opened document, wherever the response carries them."""
+    direct = F.col("answer.hourly.time").isNotNull()
+    return F.when(direct, F.col("answer.hourly")).otherwise(F.from_json(F.col("found.text"), HOURLY_TYPE))
+
+
+def hourly_path() -> Column:
+    """Where an opened document holds its hourly arrays."""
+    deeper = F.concat_ws(".", F.when(F.col("found.path") != "", F.col("found.path")), F.lit("hourly"))
+    return F.when(F.col("answer.hourly.time").isNotNull(), "hourly").when(F.col("found.text").isNotNull(), deeper)
 
 
 def point_field(name: str) -> Column:
-    """A point attribute; the response is asked where the point lacks it."""
-    return F.coalesce(F.col(f"point.{name}"), F.col(f"api_response.{name}"))
+    """A point attribute of an opened document; the response is asked where the point lacks it."""
+    return F.coalesce(F.col(f"point.{name}"), F.col(f"answer.{name}"))
 
 
 def point_metadata() -> list[Column]:
@@ -85,7 +151,7 @@ def with_failure(raw: DataFrame, source: str) -> DataFrame:
     ``failure`` is null for a usable document, so one bad document never stops
     the others.
     """
-    df = raw.select(
+    df = open_responses(raw).select(
         "batch_id",
         F.coalesce("source", F.lit(source)).alias("source"),
         clean.strip(F.coalesce("schema_version", F.lit(SCHEMA_VERSION))).alias("schema_version"),
@@ -176,10 +242,11 @@ def envelope_issues(raw: DataFrame, source: str) -> DataFrame:
     The arrays are looked for directly under the response or below its
     ``response`` object. A missing outer part hides the rules of its inner ones.
     """
-    hourly = F.when(
-        F.col("api_response.response").isNotNull(), F.col("api_response.response.hourly")
-    ).otherwise(F.col("api_response.hourly"))
-    df = raw.withColumn("_hourly", hourly)
+    answered = raw.withColumn("_answer", F.from_json("api_response", RESPONSE_TYPE))
+    hourly = F.when(F.col("_answer.response").isNotNull(), F.col("_answer.response.hourly")).otherwise(
+        F.col("_answer.hourly")
+    )
+    df = answered.withColumn("_hourly", hourly)
 
     def issue(code: str, field: str, broken: Column) -> Column:
         return F.when(broken, F.struct(F.lit(code).alias("code"), F.lit(field).alias("field")))

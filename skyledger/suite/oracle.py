@@ -1144,7 +1144,7 @@ PARTS["m_docs"] = """
 oracle(
     "locate_hourly",
     """SELECT batch_id, point_id, CASE WHEN k % 29 = 11 THEN NULL WHEN k % 13 = 4 THEN 'response.hourly'
-      WHEN k % 11 = 2 THEN 'data.hourly' ELSE 'hourly' END AS path FROM m_docs""",
+      WHEN k % 11 = 2 THEN 'data.hourly' WHEN k % 19 = 8 THEN 'body.result.series.model.hourly' ELSE 'hourly' END AS path FROM m_docs""",
 )
 oracle("raw_record_counts", "SELECT batch_id, point_id, CASE WHEN k % 29 = 11 THEN CAST(0 AS BIGINT) ELSE hours END AS record_count FROM m_docs")
 oracle(
@@ -1165,7 +1165,7 @@ oracle(
     FROM (SELECT batch_id, count(*) AS input_objects, count(*) FILTER (WHERE failure IS NULL) AS successful_objects, count(failure) AS failed_objects,
             CAST(COALESCE(sum(hours) FILTER (WHERE failure IS NULL), 0) AS BIGINT) AS records_transformed FROM m_docs GROUP BY 1)""",
 )
-_FOUND = "(k % 29 <> 11 AND NOT (k % 11 = 2 AND k % 13 <> 4))"
+_FOUND = "(k % 29 <> 11 AND (k % 13 = 4 OR (k % 11 <> 2 AND k % 19 <> 8)))"
 oracle(
     "raw_audit",
     " UNION ALL ".join(

@@ -1050,9 +1050,7 @@ def json_safe(t):
 
 @query
 def locate_hourly(t):
-    return t.raw_documents.select(
-        "batch_id", "point.point_id", raw.hourly_path().alias("path")
-    )
+    return raw.open_responses(t.raw_documents).select("batch_id", "point.point_id", raw.hourly_path().alias("path"))
 
 
 @query
@@ -1064,7 +1062,7 @@ def raw_record_counts(t):
 
 @query
 def point_metadata(t):
-    return t.raw_documents.select("batch_id", *raw.point_metadata())
+    return raw.open_responses(t.raw_documents).select("batch_id", *raw.point_metadata())
 
 
 @query

@@ -59,7 +59,7 @@ def failure_of(spark, folder, doc):
     return raw.with_failure(load(spark, folder, [doc]), SOURCE).first().failure
 
 
-@pytest.mark.parametrize("nest", [(), ("response",), ("data",)])
+@pytest.mark.parametrize("nest", [(), ("response",), ("data",), ("a", "b", "c", "d", "e")])
 def test_two_hours(spark, tmp_path, nest):
     result = ingest.transform(load(spark, tmp_path, [document(nest=nest)]), SOURCE)
     rows = sorted(result.rows.collect(), key=lambda r: r.forecast_time)
@@ -129,10 +129,38 @@ def test_repeated_hours_of_one_document(spark, tmp_path, times, repeated):
 def test_point_metadata_defaults(spark, tmp_path):
     doc = document()
     doc["point"] = {"point_id": "P1", "location_id": "NA", "latitude": 1.0, "longitude": 2.0}
-    row = load(spark, tmp_path, [doc]).select(*raw.point_metadata()).first()
+    row = raw.open_responses(load(spark, tmp_path, [doc])).select(*raw.point_metadata()).first()
     assert (row.point_name, row.point_type, row.location_id) == ("P1", "unknown", "NA")
 
 
+@pytest.mark.parametrize(
+    "response, path, first",
+    [
+        ({"z": {"y": {"hourly": {"time": ["z"]}}}, "a": {"hourly": {"time": ["a"]}}}, "z.y.hourly", "z"),
+        ({"a": {"b": {"hourly": {"time": ["b"]}}, "hourly": {"time": ["a"]}}}, "a.hourly", "a"),
+        ({"a": {"hourly": {"pm10": [1]}}, "hourly": {"inner": {"hourly": {"time": ["in"]}}}}, "hourly.inner.hourly", "in"),
+        ({"hourly": {"time": "2026"}, "d": {"hourly": {"time": []}}}, "d.hourly", None),
+        ({"list": [{"hourly": {"time": ["x"]}}], "text": '{"hourly": {"time": ["x"]}}'}, None, None),
+        ({"a": None, "b": 3, "c": {}, "d": "{"}, None, None),
+        ({}, None, None),
+        (None, None, None),
+        ([{"hourly": {"time": ["x"]}}], None, None),
+    ],
+)
+def test_arrays_are_found_at_any_depth(spark, tmp_path, response, path, first):
+    doc = {**document(), "api_response": response}
+    found = raw.open_responses(load(spark, tmp_path, [doc])).select(
+        raw.hourly_path().alias("path"), raw.locate_hourly()["time"].alias("time")
+    ).first()
+    assert found.path == path and (found.time or [None])[0] == first
+
+
+def test_arrays_two_hundred_levels_down(spark, tmp_path):
+    doc = document(nest=[f"n{i}" for i in range(200)])
+    found = raw.open_responses(load(spark, tmp_path, [doc])).select(raw.hourly_path().alias("path")).first().path
+    assert found.startswith("n0.n1.") and found.endswith("n199.hourly")
+
+
 def test_envelope_issues(spark, tmp_path):
     doc = document(nest=(), pm10=[1.0])
     doc["schema_version"] = "2.0"
