@@ -1,11 +1,13 @@
-"""Merkle fingerprints: a hash tree of sentences, paragraphs and sections.
+"""Merkle fingerprints: a hash tree of sections, paragraphs, sentences and pieces.
 
-Blank lines part sections, line ends part paragraphs, and full stops part a
-paragraph's sentences, so that an edit inside a long paragraph is still located. A leaf is
-the SHA-256 of its sentence; every other node hashes its children's hashes, and
-the root is the fingerprint: equal texts have equal roots. Two trees are compared
-from the top: equal roots are alike by 1, and else the share of common nodes
-among all distinct nodes below the root tells how much of the text is shared.
+Blank lines part sections, line ends part paragraphs, full stops part sentences, and
+a sentence that is still long is cut into pieces where its words meet a condition, so
+that an edit in a text without any of these ends is located too. A leaf is the SHA-256
+of its piece; every other node hashes its children's hashes, and the root is the
+fingerprint: equal texts have equal roots. Two trees are compared from the top: equal
+roots are alike by 1, and else the share of common leaves among all leaves, each as
+often as it occurs and weighed by its characters, tells how much of the text is shared.
+``differences`` walks two trees down their unequal branches to the places of the edits.
 
 Defined cases: a null text is the empty text, which has a fingerprint of its own;
 documents follow each other by ``doc_id``, nulls first, then by text hash;
@@ -16,46 +18,188 @@ of them; a single document is its own next; columns beside ``doc_id`` and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import cut, search_sorted
+from skyledger.llm.common import cut, free, search_sorted
 
-# Each end is one fixed string, so no two texts split into the same tree.
+# Each end is one fixed string and pieces lose nothing, so no two texts split into the same tree.
 SECTION_END = "\n\n"
 PARAGRAPH_END = "\n"
 SENTENCE_END = r"\. "
+#: Sentences of more code points are cut after a word that ends in one of these letters or marks,
+#: and after ``LEAF`` code points where no such word comes.
+LEAF = 64
+PIECE = r"(?s).{16,62}?(?:[dnrty!?;:,] |[。！？])|.{1,64}"
+#: Levels below the root, from the top.
+LEVELS = ("section", "paragraph", "sentence", "piece")
+#: A leaf's key is a hash whose last seven bits hold its weight, at most LEAF + 1.
+WEIGHT = 127
 #: Ranges of ids in which neighbours are found side by side.
 RANGES = 512
 
 
-def tree(text: Column) -> Column:
-    """Root and the distinct hashes of all leaves and paragraphs below it, cut to 64 bits."""
-    sections = F.transform(
-        F.split(text, SECTION_END),
-        lambda section: F.transform(
-            F.split(section, PARAGRAPH_END),
-            lambda paragraph: F.transform(F.split(paragraph, SENTENCE_END), lambda s: F.sha2(s, 256)),
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def pieces(sentence: Column) -> Column:
+    """Leaves of a sentence; put together they are the sentence."""
+    return F.when(
+        F.char_length(sentence) > LEAF, F.regexp_extract_all(sentence, F.lit(PIECE), F.lit(0))
+    ).otherwise(F.array(sentence))
+
+
+def branches(text: Column) -> Column:
+    """The whole tree: every node with its ``hash`` and its ``parts``, a leaf with its ``size``."""
+
+    def node(parts: Column) -> Column:
+        return let(
+            parts,
+            lambda p: F.struct(
+                F.sha2(F.array_join(F.transform(p, lambda x: x["hash"]), ","), 256).alias("hash"), p.alias("parts")
+            ),
+        )
+
+    def leaf(piece: Column) -> Column:
+        return F.struct(F.sha2(piece, 256).alias("hash"), F.char_length(piece).alias("size"))
+
+    def sentence(s: Column) -> Column:
+        return node(F.transform(pieces(s), leaf))
+
+    def paragraph(s: Column) -> Column:
+        return node(F.transform(F.split(s, SENTENCE_END), sentence))
+
+    def section(s: Column) -> Column:
+        return node(F.transform(F.split(s, PARAGRAPH_END), paragraph))
+
+    return node(F.transform(F.split(text, SECTION_END), section))
+
+
+def numbered(keys: Column) -> Column:
+    """Keys told apart by how many equal ones come before them, so that sets of them count repetitions.
+
+    In a sorted list a key's run is measured by halving steps, so that a text that repeats
+    one line throughout costs no more than n log n.
+    """
+
+    def run(ordered: Column, value: Column, i: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << b) for b in range(29, -1, -1)]), lambda step: step < F.size(ordered))
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda n, step: F.when(
+                (i - n - step >= 0) & (F.get(ordered, F.greatest(F.lit(0), i - n - step)) == value), n + step
+            ).otherwise(n),
+        )
+
+    def again(value: Column, k: Column) -> Column:
+        return F.when(k == 0, value).otherwise(weighted(F.xxhash64(value, k), value.bitwiseAND(F.lit(WEIGHT))))
+
+    return let(
+        F.array_sort(keys),
+        lambda o: F.when(F.size(F.array_distinct(o)) == F.size(o), o).otherwise(
+            F.transform(o, lambda v, i: let(run(o, v, i), lambda k: again(v, k)))
         ),
     )
-    paragraphs = F.transform(sections, lambda s: F.transform(s, lambda p: F.sha2(F.array_join(p, ","), 256)))
-    return F.struct(
-        F.sha2(F.array_join(F.transform(paragraphs, lambda s: F.sha2(F.array_join(s, ","), 256)), ","), 256).alias("root"),
-        F.array_distinct(
-            F.transform(F.concat(F.flatten(F.flatten(sections)), F.flatten(paragraphs)), lambda node: F.xxhash64(node))
-        ).alias("nodes"),
-    )
+
+
+def weighted(key: Column, weight: Column) -> Column:
+    return key.bitwiseAND(F.lit(~WEIGHT)).bitwiseOR(weight)
+
+
+def tree(text: Column) -> Column:
+    """Root and the leaves below it, in 64 bits each."""
+
+    def short(b: Column) -> Column:
+        leaves = b["parts"]
+        for _ in LEVELS[1:]:
+            leaves = F.flatten(F.transform(leaves, lambda x: x["parts"]))
+        keys = F.transform(leaves, lambda x: weighted(F.xxhash64(x["hash"]), (x["size"] + 1).cast("long")))
+        return F.struct(b["hash"].alias("root"), numbered(keys).alias("leaves"))
+
+    return let(branches(text), short)
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Share of common nodes of two trees, 1 for equal roots."""
-    common = F.size(F.array_intersect(left["nodes"], right["nodes"]))
-    every = F.size(left["nodes"]) + F.size(right["nodes"]) - common
+    """Share of common leaves of two trees by weight, 1 for equal roots."""
+
+    def weight(keys: Column) -> Column:
+        return F.aggregate(keys, F.lit(0).cast("long"), lambda n, key: n + key.bitwiseAND(F.lit(WEIGHT)))
+
+    common = weight(F.array_intersect(left["leaves"], right["leaves"]))
+    every = weight(left["leaves"]) + weight(right["leaves"]) - common
     return F.when(left["root"] == right["root"], F.lit(1.0)).otherwise(common / every)
 
 
+def differences(pairs: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
+    """Where two trees of ``with_tree`` differ, one row per differing branch.
+
+    Only unequal children are opened. Children that begin and end alike are passed over;
+    what remains between is paired in order if it is equally many on both sides, and else
+    given as a whole. ``path`` holds the place at each of ``LEVELS``, as deep as the
+    difference goes, counted on the left; ``n_left`` and ``n_right`` say how many children from there on
+    stand against each other, 0 where one side has none. The other columns stay. Equal trees and null
+    trees give no row.
+    """
+    path, n_left, n_right, found = free(pairs, "path", "n_left", "n_right", "found")
+    kind = "array<struct<path: array<int>, n_left: int, n_right: int>>"
+
+    def ends_alike(a: Column, b: Column, most: Column, at: Callable[[Column, Column], Column]) -> Column:
+        """How many children are equal, from where ``at`` counts."""
+        places = F.when(most > 0, F.sequence(F.lit(0), most - 1)).otherwise(F.array().cast("array<int>"))
+        unlike = F.filter(places, lambda i: at(a, i)["hash"] != at(b, i)["hash"])
+        return F.coalesce(F.array_min(unlike), most)
+
+    def within(a: Column, b: Column, above: Column, level: int) -> Column:
+        from_start = ends_alike(a, b, F.least(F.size(a), F.size(b)), lambda x, i: F.get(x, i))
+
+        def behind(start: Column) -> Column:
+            rest = F.least(F.size(a), F.size(b)) - start
+            from_end = ends_alike(a, b, rest, lambda x, i: F.get(x, F.size(x) - 1 - i))
+            return let(F.struct(start.alias("start"), from_end.alias("end")), between)
+
+        def between(same: Column) -> Column:
+            start = same["start"]
+            more_left, more_right = F.size(a) - start - same["end"], F.size(b) - start - same["end"]
+            whole = F.array(
+                F.struct(
+                    F.concat(above, F.array(start)).alias("path"),
+                    more_left.alias("n_left"),
+                    more_right.alias("n_right"),
+                )
+            ).cast(kind)
+            if level == len(LEVELS) - 1:
+                return whole
+
+            def opened(i: Column) -> Column:
+                x, y = F.get(a, i), F.get(b, i)
+                deeper = within(x["parts"], y["parts"], F.concat(above, F.array(i)), level + 1)
+                return F.when(x["hash"] == y["hash"], F.array().cast(kind)).otherwise(deeper)
+
+            inner = F.flatten(F.transform(F.sequence(start, start + more_left - 1), opened))
+            return F.when(more_left == more_right, inner).otherwise(whole)
+
+        return let(from_start, behind)
+
+    trees = F.col(left), F.col(right)
+    unequal = F.coalesce(trees[0]["hash"] != trees[1]["hash"], F.lit(False))
+    places = within(trees[0]["parts"], trees[1]["parts"], F.array().cast("array<int>"), 0)
+    kept = [F.col(f"`{c}`") for c in pairs.columns if c not in (left, right)]
+    return pairs.where(unequal).select(*kept, F.explode(places).alias(found)).select(
+        *kept,
+        F.col(found)["path"].alias(path),
+        F.col(found)["n_left"].alias(n_left),
+        F.col(found)["n_right"].alias(n_right),
+    )
+
+
 def with_tree(docs: DataFrame, name: str = "tree") -> DataFrame:
-    return docs.withColumn(name, tree(F.coalesce(F.col("text"), F.lit(""))))
+    """Documents with the whole tree of their text, for ``differences``."""
+    return docs.withColumn(name, branches(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -105,7 +249,7 @@ def edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text.
 
     Whole texts are shuffled once, by their own id. What a text gives to the one
-    before it, its first characters and its nodes, is shuffled a second time.
+    before it, its first characters and its leaves, is shuffled a second time.
     """
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn(
         "h", F.xxhash64("text")

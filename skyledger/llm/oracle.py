@@ -11,31 +11,37 @@ pairs AS (
          coalesce(lead(text) OVER (ORDER BY doc_id NULLS FIRST), first(text) OVER (ORDER BY doc_id NULLS FIRST)) AS next
   FROM texts),
 edits AS (
-  SELECT doc_id, n, text, next,
+  SELECT row_number() OVER () AS id, doc_id, n, text, next,
          substr(text, 1, n - n // 4) || substr(next, 1, n // 4) AS edited
   FROM pairs),
-leaves AS (
-  SELECT doc_id, n, edited, [
+forms AS (
+  SELECT id, unnest([1, 2, 3]) AS which, unnest([text, edited, next]) AS t FROM edits),
+parted AS (
+  SELECT id, which,
     list_transform(string_split(t, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
-      lambda p: list_transform(string_split(p, '. '), lambda x: sha256(x)))) FOR t IN [text, edited, next]] AS trees
-  FROM edits),
-parents AS (
-  SELECT doc_id, n, edited, trees,
-         list_transform(trees, lambda t: list_transform(t, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, ','))))) AS paragraphs
-  FROM leaves),
+      lambda p: list_transform(string_split(p, '. '), lambda x: CASE WHEN length(x) > 64
+        THEN regexp_extract_all(x, '(?s).{16,62}?(?:[dnrty!?;:,] |[。！？])|.{1,64}') ELSE [x] END))) AS parts
+  FROM forms),
 roots AS (
-  SELECT doc_id, n, edited,
-         list_transform(paragraphs, lambda t: sha256(array_to_string(list_transform(t, lambda s: sha256(array_to_string(s, ','))), ','))) AS root,
-         [list_distinct(list_concat(flatten(flatten(trees[i])), flatten(paragraphs[i]))) FOR i IN [1, 2, 3]] AS nodes
-  FROM parents),
+  SELECT id, which, sha256(array_to_string(list_transform(parts, lambda s: sha256(array_to_string(list_transform(s, lambda p:
+    sha256(array_to_string(list_transform(p, lambda x: sha256(array_to_string(list_transform(x, lambda y: sha256(y)), ','))), ','))), ','))), ',')) AS root
+  FROM parted),
+leaves AS (
+  SELECT id, which, leaf, count(*) AS c, length(leaf) + 1 AS w
+  FROM (SELECT id, which, unnest(flatten(flatten(flatten(parts)))) AS leaf FROM parted) GROUP BY 1, 2, 3, 5),
+weights AS (SELECT id, which, sum(c * w) AS total FROM leaves GROUP BY 1, 2),
 shared AS (
-  SELECT *, [len(list_intersect(nodes[1], nodes[i])) FOR i IN [1, 2, 3]] AS common FROM roots)
-SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, root[1] AS fingerprint, root[2] AS edited_fingerprint,
-       CASE WHEN root[1] = root[2] THEN 1.0::DOUBLE
-            ELSE common[2]::DOUBLE / (len(nodes[1]) + len(nodes[2]) - common[2]) END AS near_edited,
-       CASE WHEN root[1] = root[3] THEN 1.0::DOUBLE
-            ELSE common[3]::DOUBLE / (len(nodes[1]) + len(nodes[3]) - common[3]) END AS near_next
-FROM shared
+  SELECT a.id, b.which, sum(least(a.c, b.c) * a.w) AS common
+  FROM leaves a JOIN leaves b ON a.id = b.id AND a.leaf = b.leaf WHERE a.which = 1 AND b.which > 1 GROUP BY 1, 2),
+alike AS (
+  SELECT r.id, r.which, CASE WHEN r.root = o.root THEN 1.0::DOUBLE
+    ELSE coalesce(s.common, 0)::DOUBLE / (w.total + v.total - coalesce(s.common, 0))::DOUBLE END AS near
+  FROM roots r JOIN roots o ON o.id = r.id AND o.which = 1 JOIN weights w ON w.id = r.id AND w.which = r.which
+    JOIN weights v ON v.id = r.id AND v.which = 1 LEFT JOIN shared s ON s.id = r.id AND s.which = r.which)
+SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256, o.root AS fingerprint, c.root AS edited_fingerprint,
+       x.near AS near_edited, y.near AS near_next
+FROM edits e JOIN roots o ON o.id = e.id AND o.which = 1 JOIN roots c ON c.id = e.id AND c.which = 2
+  JOIN alike x ON x.id = e.id AND x.which = 2 JOIN alike y ON y.id = e.id AND y.which = 3
 """
 
 OP6 = rf"""
