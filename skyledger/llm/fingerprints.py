@@ -236,8 +236,23 @@ def neighbours(ids: DataFrame) -> DataFrame:
     )
 
 
+def keyed(doc_id: str, h: str, prefix: str) -> list[Column]:
+    """An id that may be null, and a hash, as columns to group and to join by plain equality.
+
+    A null-safe join would be dealt by other expressions than the grouping before it, and
+    so move all texts' starts and leaves twice.
+    """
+    return [
+        F.coalesce(doc_id, F.lit(0).cast("long")).alias(f"{prefix}id"),
+        F.isnull(doc_id).alias(f"{prefix}none"),
+        F.col(h).alias(f"{prefix}hash"),
+    ]
+
+
 def same(left: str, right: str) -> Column:
-    return F.col(left).eqNullSafe(F.col(right))
+    """Equality of two sets of ``keyed`` columns."""
+    id_, none, hash_ = (F.col(f"{left}{c}") == F.col(f"{right}{c}") for c in ("id", "none", "hash"))
+    return id_ & none & hash_
 
 
 def tail(n_chars: Column) -> Column:
@@ -254,24 +269,29 @@ def edits(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn(
         "h", F.xxhash64("text")
     )
-    order = neighbours(texts.select("doc_id", "h", F.char_length("text").alias("n")))
-    placed = texts.join(order, same("doc_id", "_id") & same("h", "_h")).drop("_id", "_h")
+    order = neighbours(texts.select("doc_id", "h", F.char_length("text").alias("n"))).select(
+        *keyed("_id", "_h", "at_"), *keyed("before_id", "before_h", "before_"), "before_n"
+    )
+    # The id is taken from its key later, so that both uses of the texts read one exchange.
+    own = texts.select("text", *keyed("doc_id", "h", "own_"))
+    placed = own.join(order, same("own_", "at_"))
     given = (
         placed.select(
             "before_id",
-            "before_h",
+            "before_none",
+            "before_hash",
             F.struct(
                 F.substring("text", F.lit(1), tail(F.col("before_n"))).alias("start"),
                 tree(F.col("text")).alias("tree"),
             ).alias("_given"),
         )
-        .groupBy("before_id", "before_h")
+        .groupBy("before_id", "before_none", "before_hash")
         .agg(F.first("_given").alias("_given"))
     )
-    both = placed.select("doc_id", "h", "text").join(given, same("doc_id", "before_id") & same("h", "before_h"))
+    both = placed.select("text", "own_id", "own_none", "own_hash").join(given, same("own_", "before_"))
     n_chars = F.char_length("text")
     edited = F.concat(F.substring("text", F.lit(1), n_chars - tail(n_chars)), F.col("_given.start"))
-    trees = both.select("doc_id", "text", "_given", edited.alias("edited")).select(
+    trees = both.select(F.when(~F.col("own_none"), F.col("own_id")).alias("doc_id"), "text", "_given", edited.alias("edited")).select(
         "doc_id",
         n_chars.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
