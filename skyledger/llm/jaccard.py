@@ -20,10 +20,12 @@ How the groups come about and which sets meet which groups:
   class, and the classes, in chunks of ``GROUP`` sets, are the groups of the
   matrix. Within a class no pair has to be compared again.
 * All other candidates become queries of a set to the group of its candidate. The
-  group's token union decides whether it is opened and compared member by member.
+  matrix is stored, one row with the token union of each group that is asked; queries
+  meet these rows, and only groups where one qualifies are opened and compared member
+  by member.
 * Tokens that more than ``LONG`` sets share take part twice: first each set meets
   the most typical one, then, once the classes are known, sets of different
-  classes meet in blocks.
+  classes meet in blocks, and blocks of one class never meet each other.
 
 So every linked pair is either within a class, compared, or ruled out by a bound,
 and the components are exact, up to collisions of 64-bit hashes.
@@ -57,6 +59,8 @@ GROUP, QUERIES_A_TASK = 64, 256
 LONG, BLOCK, POSTINGS = 32, 1024, 200_000
 #: A token in at least HOT_LEAST sets is frequent; the HOT_MOST most frequent are known to all tasks.
 HOT_LEAST, HOT_MOST = 8, 1 << 18
+#: What names a pair of blocks of a token.
+PAIR = ("token", "alone_a", "unit_a", "chunk_a", "alone_b", "unit_b", "chunk_b")
 #: Tokens counted together in one task, about.
 COUNTED = 1 << 22
 #: Parity bits of a set.
@@ -356,31 +360,55 @@ def thinned(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
+def meeting(posts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The postings (token, k, n, place) with class c, once for each pair of blocks they take part in.
+
+    A pair is named by ``PAIR`` columns, and ``second`` tells its sides apart. A class of
+    more than ``BLOCK`` sets under a token is a unit of its own there (``alone``), the
+    smaller classes of the token are one unit together. Units are paired before their
+    blocks, so the blocks of one large class are never set against each other.
+    """
+    rows = posts.join(classes, F.col("k") == F.col("node"), "left").withColumn("c", F.coalesce("root", "k"))
+    sizes = rows.groupBy("token", "c").agg(F.count("*").alias("sets"), (F.count("*") > BLOCK).alias("alone"))
+    several = sizes.groupBy("token").agg(F.min("c").alias("_low"), F.max("c").alias("_high")).where("_low <> _high")
+    sizes = sizes.join(several.select("token"), "token").withColumn("unit", F.when(F.col("alone"), F.col("c")).otherwise(0))
+    sizes = cut(sizes)
+    units = sizes.groupBy("token", "alone", "unit").agg(
+        F.ceil(F.sum("sets") / F.lit(BLOCK)).cast("int").alias("chunks"), F.count("*").alias("held")
+    )
+    left, right = (units.toDF("token", *(f"{c}_{side}" for c in units.columns[1:])) for side in "ab")
+    same = (F.col("alone_a") == F.col("alone_b")) & (F.col("unit_a") == F.col("unit_b"))
+    ahead = F.struct("alone_a", "unit_a") < F.struct("alone_b", "unit_b")
+    pairs = left.join(right, "token").where(ahead | (same & ~F.col("alone_a") & (F.col("held_a") > 1)))
+    pairs = cut(pairs.withColumn("same", same).drop("held_a", "held_b"))
+
+    rows = rows.join(sizes.select("token", "c", "alone", "unit"), ["token", "c"])
+    sides = []
+    for side, other, second in (("a", "b", False), ("b", "a", True)):
+        taking = [rows["token"] == pairs["token"], rows["alone"] == pairs[f"alone_{side}"], rows["unit"] == pairs[f"unit_{side}"]]
+        sent = rows.join(pairs, taking).drop(pairs["token"])
+        sent = sent.withColumn(f"chunk_{side}", F.pmod(F.xxhash64("k", F.lit(2)), F.col(f"chunks_{side}")).cast("int"))
+        sent = sent.withColumn(f"chunk_{other}", F.explode(F.sequence(F.lit(0), F.col(f"chunks_{other}") - 1)))
+        # Within the shared unit each pair of blocks once, and a block against itself with one side.
+        once = F.col("chunk_a") < F.col("chunk_b") if second else F.col("chunk_a") <= F.col("chunk_b")
+        sides.append(sent.where(~F.col("same") | once).select(*PAIR, F.lit(second).alias("second"), "same", "k", "n", "place", "c"))
+    return sides[0].unionByName(sides[1])
+
+
 def long_pairs(posts: DataFrame, distinct: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets of different classes that share a token of very many sets and may link.
 
     A token's sets meet in pairs of blocks, so no task holds them all.
     """
-    rows = posts.join(classes, F.col("k") == F.col("node"), "left").withColumn("c", F.coalesce("root", "k"))
-    several = rows.groupBy("token").agg(
-        F.min("c").alias("_a"), F.max("c").alias("_b"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("chunks")
-    )
-    several = several.where("_a <> _b").select("token", "chunks")
-    bits = distinct.select("k", "bits")
-    rows = rows.join(several, "token").join(bits, "k")
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(2)), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk",
-        "k", "n", "place", "c", "bits",
-    )
 
     def compared(group: pa.Table) -> pa.Table:
-        chunk, k, n, place, c = (group.column(x).to_numpy() for x in ("chunk", "k", "n", "place", "c"))
+        k, n, place, c = (group.column(x).to_numpy() for x in ("k", "n", "place", "c"))
         n, place = n.astype(np.int64), place.astype(np.int64)
         bits = words64(group.column("bits").to_pylist())
-        own = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        low = np.flatnonzero(chunk == group.column("i")[0].as_py())
-        high = low if own else np.flatnonzero(chunk == group.column("j")[0].as_py())
+        own = group.column("same")[0].as_py() and group.column("chunk_a")[0].as_py() == group.column("chunk_b")[0].as_py()
+        second = group.column("second").to_numpy(zero_copy_only=False)
+        low = np.flatnonzero(~second)
+        high = low if own else np.flatnonzero(second)
         found = []
         for at in low:
             good = (c[high] != c[at]) & may_meet(n[at], place[at], n[high], place[high])
@@ -388,10 +416,11 @@ def long_pairs(posts: DataFrame, distinct: DataFrame, classes: DataFrame) -> Dat
                 good &= k[high] > k[at]
             near = high[good]
             near = near[may_link(n[near], bits[near], int(n[at]), bits[at])]
-            found += [(int(k[at]), int(x)) for x in k[near]]
+            found += [(min(int(k[at]), int(x)), max(int(k[at]), int(x))) for x in k[near]]
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return rows.groupBy("token", "i", "j").applyInArrow(compared, "a long, b long").distinct()
+    rows = meeting(posts, classes).join(distinct.select("k", "bits"), "k")
+    return rows.groupBy(*PAIR).applyInArrow(compared, "a long, b long").distinct()
 
 
 def class_links(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -408,30 +437,54 @@ def class_links(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return pairs.join(own, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
-def met(members: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
-    """``work(members, queries)`` for each group (c, g) and chunk of the sets that query it."""
+def met(rows: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
+    """``work(rows, queries)`` for each group (c, g) and chunk of the sets that query it."""
     tasks = queries.groupBy("c", "g").agg(F.ceil(F.count("*") / F.lit(QUERIES_A_TASK)).cast("int").alias("tasks"))
     salt = F.pmod(F.xxhash64("k", F.lit(1)), F.col("tasks")).cast("int")
     asked = queries.join(tasks, ["c", "g"]).withColumn("tasks", salt)
     asked = asked.toDF(*[f"q_{c}" for c in asked.columns])
     every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))
-    members = members.join(tasks, ["c", "g"]).withColumn("tasks", every)
-    both = members.groupBy("c", "g", "tasks").cogroup(asked.groupBy("q_c", "q_g", "q_tasks"))
+    rows = rows.join(tasks, ["c", "g"]).withColumn("tasks", every)
+    both = rows.groupBy("c", "g", "tasks").cogroup(asked.groupBy("q_c", "q_g", "q_tasks"))
     return both.applyInArrow(work, schema)
 
 
+def unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(tokens.as_py(), np.uint64) for tokens in column]
+
+
+def unions(held: DataFrame) -> DataFrame:
+    """The matrix: one row (c, g, union) for each group, from the (c, g, tokens) of its sets."""
+
+    def joined(group: pa.Table) -> pa.Table:
+        union = np.unique(np.concatenate(unpacked(group.column("tokens"))))
+        return pa.table(
+            {
+                "c": group.column("c").slice(0, 1),
+                "g": group.column("g").slice(0, 1),
+                "union": pa.array([union.tobytes()], pa.binary()),
+            }
+        )
+
+    return held.select("c", "g", "tokens").groupBy("c", "g").applyInArrow(joined, "c long, g int, union binary")
+
+
+def qualifying(row: pa.Table, asking: pa.Table) -> pa.Table:
+    """Queries (k, c, g) that hold enough of the group's union to link with a member."""
+    union = unpacked(row.column("union"))
+    union = union[0] if union else np.zeros(0, np.uint64)
+    good = [100 * common(query, union) >= PERCENT * len(query) for query in unpacked(asking.column("q_tokens"))]
+    return asking.select(["q_k", "q_c", "q_g"]).rename_columns(["k", "c", "g"]).filter(pa.array(good, pa.bool_()))
+
+
 def opened(group: pa.Table, asking: pa.Table) -> pa.Table:
-    """Links of the queries that hold enough of the group's token union; one link each.
+    """Links of the queries with members of their group; one link each.
 
     The members are one class already: the first link joins the query to all.
     """
     found = []
-    unpack = lambda column: [np.frombuffer(t.as_py(), np.uint64) for t in column]
-    held, names = unpack(group.column("tokens")), group.column("k").to_pylist()
-    union = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-    for key, query in zip(asking.column("q_k").to_pylist(), unpack(asking.column("q_tokens"))):
-        if 100 * common(query, union) < PERCENT * len(query):
-            continue
+    held, names = unpacked(group.column("tokens")), group.column("k").to_pylist()
+    for key, query in zip(asking.column("q_k").to_pylist(), unpacked(asking.column("q_tokens"))):
         first = next((name for name, tokens in zip(names, held) if links(query, tokens)), None)
         if first is not None:
             found.append((key, first))
@@ -442,7 +495,8 @@ def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes
     """Links (a, b) between sets of different classes, by way of the token-group matrix.
 
     ``pairs`` holds every pair that no bound has ruled out. Of a pair, the first
-    set is the query and the second one names the group.
+    set is the query and the second one names the group. Queries meet the stored
+    union of the group first; the members move only for those that qualify.
     """
     sets = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
     named = sets.join(classes, F.col("k") == F.col("node"), "left").select("k", F.coalesce("root", "k").alias("c"))
@@ -453,7 +507,10 @@ def matrix_links(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, classes
     queries = cut(pairs.join(own, "a").join(other, "b").where("own <> c").select(F.col("a").alias("k"), "c", "g").distinct())
     held = grouped.join(queries.select("c", "g").distinct(), ["c", "g"], "left_semi").select("c", "g", "k")
     tokens = cut(token_table(docs, distinct, queries.select("k").union(held.select("k")), repeated))
-    return met(held.join(tokens, "k"), queries.join(tokens, "k"), opened, "a long, b long")
+    matrix = cut(unions(held.join(tokens, "k")))
+    passed = cut(met(matrix, queries.join(tokens, "k"), qualifying, "k long, c long, g int"))
+    open_groups = held.join(passed.select("c", "g").distinct(), ["c", "g"], "left_semi")
+    return met(open_groups.join(tokens, "k"), passed.join(tokens, "k"), opened, "a long, b long")
 
 
 def members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

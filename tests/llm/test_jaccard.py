@@ -60,6 +60,50 @@ def test_many_near_copies_of_several_texts(spark, monkeypatch):
     assert result(odd.documents(spark, rows)) == brute(rows)
 
 
+def test_many_near_copies_in_blocks(spark, monkeypatch):
+    for name, value in (("GROUP", 3), ("QUERIES_A_TASK", 2), ("LONG", 3), ("BLOCK", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        # One large class, two small ones and texts between them, all with a shared passage.
+        words = (odd.prose(200 + (i % 12) // 10 + (i % 12) // 11, 60) + " " + odd.prose(9, 60)).split()
+        for place in draw.integers(0, len(words), draw.integers(0, 5)):
+            words[place] = f"new{i}"
+        rows.append((i, " ".join(words)))
+    assert result(odd.documents(spark, rows)) == brute(rows)
+
+
+def test_blocks_of_one_class_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    posts = [(1, k, 10, 0) for k in range(200)] + [(2, k, 10, 0) for k in range(150)] + [(3, k, 10, 0) for k in range(190, 200)]
+    posts = spark.createDataFrame(posts, "token long, k long, n int, place int")
+    # Sets 0 to 179 are one class, 180 to 189 another, each of the rest is its own.
+    classes = spark.createDataFrame([(k, 0 if k < 180 else 180) for k in range(190)], "node long, root long")
+    rows = jaccard.meeting(posts, classes).collect()
+    groups, met = {}, set()
+    for row in rows:
+        groups.setdefault(tuple(row[c] for c in jaccard.PAIR), []).append(row)
+    for name, own in groups.items():
+        first = [r for r in own if not r.second]
+        second = first if own[0].same and name[3] == name[6] else [r for r in own if r.second]
+        met |= {(name[0], *sorted((x.k, y.k))) for x in first for y in second if x.c != y.c}
+    klass = {k: 0 if k < 180 else 180 if k < 190 else k for k in range(200)}
+    given = [[r.k for r in posts.collect() if r.token == t] for t in (1, 2, 3)]
+    assert met == {(t, x, y) for t, ks in enumerate(given, 1) for x in ks for y in ks if x < y and klass[x] != klass[y]}
+    # Token 2 has one class; the large class of token 1 meets four blocks of others, not its own 36.
+    assert all(r.token != 2 for r in rows) and sum(r.c == 0 and r.token == 1 for r in rows) <= 180 * 4
+
+
+def test_only_groups_whose_union_holds_enough_qualify():
+    pack = lambda tokens: np.array(tokens, np.uint64).tobytes()
+    row = jaccard.pa.table({"c": [7], "g": [0], "union": [pack(range(0, 20))]})
+    asking = {"q_k": [1, 2, 3], "q_c": [7] * 3, "q_g": [0] * 3, "q_tokens": [pack(range(2, 12)), pack(range(12, 22)), pack(range(13, 23))]}
+    found = jaccard.qualifying(row, jaccard.pa.table(asking))
+    # 10, 8 and 7 of 10 tokens.
+    assert found.to_pydict() == {"k": [1, 2], "c": [7, 7], "g": [0, 0]}
+
+
 def test_one_of_each_component_stays(spark):
     kept = jaccard.deduplicated(odd.documents(spark))
     rows = [(r.doc_id, r.text) for r in kept.collect()]
