@@ -78,6 +78,19 @@ def search_sorted(splits: list[int], value: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, further, lambda found: found["at"])
 
 
+def search_in(ordered: Column, most: int, value: Column) -> Column:
+    """As ``search_sorted``, for splits in an array column with at most ``most`` elements."""
+    steps = [1 << bit for bit in reversed(range(most.bit_length()))]
+
+    def further(found: Column, step: Column) -> Column:
+        at = found["at"] + step
+        more = (at <= F.size(found["splits"])) & (F.get(found["splits"], at - 1) <= found["value"])
+        return F.struct(F.when(more, at).otherwise(found["at"]).alias("at"), found["value"].alias("value"), found["splits"].alias("splits"))
+
+    start = F.struct(F.lit(0).alias("at"), value.alias("value"), ordered.alias("splits"))
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, further, lambda found: found["at"])
+
+
 def free(frame: DataFrame, *names: str) -> list[str]:
     """These names, each with as many underscores in front as it takes to clash with no column."""
     taken = {c.lower() for c in frame.columns}

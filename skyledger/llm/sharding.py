@@ -3,12 +3,12 @@
 The key of a record is a hash of its text, so copies of a text are neighbours.
 A size-weighted sample of keys gives quantile boundaries of many fine ranges.
 Ranges that hold far more than their part, such as those of a hot group of
-copies, are subdivided at sampled quantiles of ``doc_id``. Each fine range is
-then ordered and summed on its own, and the sums of the ranges before it place
+copies, are subdivided at sampled quantiles of ``doc_id``, into as many pieces as
+the range holds mean ranges. Each fine range is then ordered and summed on its own, and the sums of the ranges before it place
 every record on one line of bytes that is cut into equal shards.
 
 Defined cases: a null text has no bytes and is a copy of the empty text; a null
-``doc_id`` sorts first; repeated rows are sharded one by one, in any order among
+``doc_id`` sorts first, in an overfull range in several pieces; repeated rows are sharded one by one, in any order among
 themselves; an empty table gives an empty result; columns beside ``doc_id`` and
 ``text`` are ignored by ``assign``.
 """
@@ -18,13 +18,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import cut, search_sorted
+from skyledger.llm.common import cut, search_in, search_sorted
 
 SHARDS = 40
 #: Bytes a record counts beside its text.
 OVERHEAD = 16
-#: Fine ranges a shard, expected samples a fine range, pieces of an overfull range.
-FINE, SAMPLES, PIECES = 32, 8, 64
+#: Fine ranges a shard at least, rows a fine range beyond that, expected samples a fine range.
+FINE, ROWS, SAMPLES = 32, 1_000_000, 8
 #: A range with this many times the mean is overfull.
 OVERFULL = 4
 #: Groups of copies with up to this part of a shard stay in one shard.
@@ -67,30 +67,37 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     document, or one group of copies kept whole, at either end.
     """
     rows = cut(records(docs))
-    total = rows.agg(F.sum("size")).first()[0]
+    total, count = rows.agg(F.sum("size"), F.count("*")).first()
     if not total:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    ranges = shards * FINE
-    ranged = cut(rows.withColumn("range", search_sorted(splitters(rows, total, ranges), F.col("key"))))
-
-    # Overfull ranges: at most ranges / OVERFULL of them, each with PIECES - 1 boundaries.
-    full = ranged.groupBy("range").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > OVERFULL * total / ranges)
-    quantiles = [i / PIECES for i in range(1, PIECES)]
+    ranges = max(shards * FINE, -(-count // ROWS))
+    # Rows without id are told apart by their place in the written table.
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("_place")
+    ranged = rows.select("*", place, search_sorted(splitters(rows, total, ranges), F.col("key")).alias("range"))
+    ranged = cut(ranged)
+
+    # Overfull ranges, at most ranges / OVERFULL of them, with the number of their pieces: together
+    # at most twice the ranges. Of as many quantiles as the fullest one needs each keeps every n-th.
+    full = ranged.groupBy("range").agg(F.ceil(F.sum("size") * F.lit(ranges / total)).cast("int").alias("pieces"))
+    full = cut(full.where(F.col("pieces") > OVERFULL))
+    most = max(2, full.agg(F.max("pieces")).first()[0] or 0)
+    quantiles = [i / most for i in range(1, most)]
+    step = F.floor(F.lit(most) / F.col("pieces"))
     cuts = (
-        ranged.join(F.broadcast(full.select("range")), "range", "left_semi")
-        .groupBy("range")
-        .agg(F.percentile_approx("doc_id", quantiles, 1000).alias("splits"))
+        ranged.join(F.broadcast(full), "range")
+        .groupBy("range", "pieces")
+        .agg(F.percentile_approx("doc_id", quantiles, 16 * most).alias("splits"))
+        .select("range", "pieces", F.filter("splits", lambda _, i: F.pmod(i + 1, step) == 0).alias("splits"))
     )
     pieced = ranged.join(F.broadcast(cuts), "range", "left").withColumn(
         "piece",
-        F.when(F.col("splits").isNull() | F.col("doc_id").isNull(), 0).otherwise(
-            # The splits before the id: where it would stand among them.
-            F.array_position(F.array_sort(F.array_append("splits", F.col("doc_id"))), F.col("doc_id")) - 1
-        ),
+        F.when(F.col("pieces").isNull(), 0)
+        .when(F.col("doc_id").isNull(), -1 - F.pmod(F.xxhash64("_place"), F.col("pieces")))
+        .otherwise(search_in(F.col("splits"), most, F.col("doc_id"))),
     )
-    pieced = pieced.drop("splits")
+    pieced = pieced.drop("splits", "pieces", "_place")
 
-    # One row per range and piece: at most ranges + ranges / OVERFULL * PIECES of them.
+    # One row per range and piece: at most a few times the ranges, which follow the rows.
     parts = pieced.groupBy("range", "piece").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
     before = Window.orderBy("range", "piece").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(

@@ -39,6 +39,18 @@ def test_hot_group_is_subdivided_and_small_groups_stay_whole(spark):
     assert max(map(len, where.values())) == 1
 
 
+def test_pieces_follow_the_bytes_of_a_range(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS", 4)
+    # A hot text with and without ids, in more ranges than shards ask for.
+    rows = [(i if i % 6 else None, "hot " * 20 if i % 2 == 0 else odd.prose(i, 12)) for i in range(6000)]
+    found, sizes = check(odd.documents(spark, rows), 4)
+    mean = sum(sizes.values()) / 4
+    assert max(abs(s - mean) for s in sizes.values()) < 0.02 * mean
+    again = sharding.assign(odd.documents(spark, rows), 4)
+    place = lambda r: (r.doc_id, r.shard, r.slot)
+    assert sorted(place(r) for r in again.collect() if r.doc_id) == sorted(place(r) for r in found if r.doc_id)
+
+
 def test_odd_rows(spark):
     check(odd.documents(spark))
 
