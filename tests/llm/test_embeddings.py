@@ -104,3 +104,38 @@ def test_estimates_are_unbiased_and_bounds_hold():
         inside.append(abs(errors[-1]) <= bound)
     assert abs(np.mean(errors)) < 0.02 and np.mean(inside) > 0.99
     assert q @ q.T == pytest.approx(np.eye(size), abs=1e-9)
+
+
+def test_estimate_and_bound_cover_the_product():
+    draw = np.random.default_rng(3)
+    x = draw.standard_normal((300, 48))
+    x[150:] = x[:150] + 0.2 * draw.standard_normal((150, 48))
+    packs = [row.tobytes() for row in x]
+    codes, factor, rounded, scale = embeddings.coded(embeddings.unit(packs))
+    group = embeddings.pa.table(
+        {
+            "k": range(300), "chunk": [0] * 300, "cell": [0] * 300, "i": [0] * 300, "j": [0] * 300, "cells": [[0]] * 300,
+            "code": [c.tobytes() for c in codes], "rounded": [r.tobytes() for r in rounded], "factor": factor, "scale": scale,
+        }
+    )
+    found = {(int(a), int(b)) for p, q in embeddings.candidates(group) for a, b in zip(p, q)}
+    y = embeddings.unit(packs)
+    linked = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(y @ y.T, 1) >= embeddings.LIMIT))}
+    assert len(linked) > 100 and len(linked - found) <= len(linked) // 100
+    # Few others are fetched for the exact product.
+    assert len(found - linked) < 300 * 299 // 2 // 20
+    kept = embeddings.promising(group).column("k").to_pylist()
+    assert sorted(kept) == sorted({k for pair in found for k in pair})
+
+
+def test_several_lengths_have_cells_of_their_own(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.standard_normal(16 if i % 3 else 24).tolist()) for i in range(300)]
+    distinct = embeddings.classes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    distinct = distinct.groupBy("k").agg(embeddings.F.count("*").alias("m"), embeddings.F.first("x").alias("x"))
+    centres = embeddings.centroids(distinct, 300)
+    assert set(centres) == {16, 24} and all(len(c) > 5 for _, c in centres.values())
+    cells = {24: set(), 16: set()}
+    for row in embeddings.stored(distinct, centres).collect():
+        cells[len(row.rounded)] |= set(row.cells)
+    assert not cells[16] & cells[24]
