@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import clean
@@ -90,34 +90,35 @@ def difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Dat
     return left.select(*columns).distinct().subtract(right.select(*columns))
 
 
-#: Expected ids of a bucket, about.
-BUCKET = 1024
+#: Groups of a block, about.
+BLOCK = 1024
+
+
+def _listed(column: str) -> Column:
+    """Aggregate: all values as a list, nulls too."""
+    empty = F.count_if(F.col(column).isNull()).cast("int")
+    return F.concat(F.collect_list(column), F.array_repeat(F.lit(None), empty))
 
 
 def missing_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:
     """(group, key) for every expected id that a group lacks.
 
-    Ids are dealt into buckets by hash. A group's buckets that hold as many expected
-    ids as the bucket has are complete; only for the others are ids laid out and
-    compared. So a complete group costs a count for each bucket, and no set of ids is
-    ever in one row or on the driver.
+    Groups are dealt into blocks by hash. Each id gets the groups of a block that hold
+    it as one short list, and what the block's own list has beyond that is unrolled. So
+    only the rows and the ids are exchanged, never a pair that is missing, and no list is
+    longer than a block.
     """
     ids = expected.select(key).distinct()
-    buckets = F.ceil(ids.agg(F.count(F.lit(1))).scalar() / BUCKET).cast("int")
-    place = F.pmod(F.xxhash64(key), F.greatest(buckets, F.lit(1))).cast("int").alias("_bucket")
-    wanted = ids.select(key, place)
-    sizes = wanted.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_ids"))
     named = present.select(F.col(group).alias("_group"), F.nullif(clean.strip(F.col(key)), F.lit("")).alias(key)).distinct()
-    seen = named.join(wanted, key)
-    counts = seen.groupBy(F.col("_group").alias("_own"), F.col("_bucket").alias("_place")).agg(F.count(F.lit(1)).alias("_seen"))
     groups = named.select("_group").distinct()
-    every = groups.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.greatest(buckets, F.lit(1)) - 1)))
-    own = F.col("_group").eqNullSafe(F.col("_own")) & (F.col("_bucket") == F.col("_place"))
-    short = every.join(sizes, "_bucket").join(counts, own, "left").where(F.coalesce("_seen", F.lit(0)) < F.col("_ids"))
-    laid_out = short.select("_group", "_bucket").join(wanted, "_bucket").select("_group", key)
-    there = seen.select(F.col("_group").alias("_own"), F.col(key).alias("_key"))
-    lacking = laid_out.join(there, F.col("_group").eqNullSafe(F.col("_own")) & (F.col(key) == F.col("_key")), "left_anti")
-    return lacking.select(F.col("_group").alias(group), key)
+    blocks = F.greatest(F.ceil(groups.agg(F.count(F.lit(1))).scalar() / BLOCK).cast("int"), F.lit(1))
+    block = F.pmod(F.xxhash64("_group"), blocks).cast("int").alias("_block")
+    every = groups.groupBy(block).agg(_listed("_group").alias("_every"))
+    there = named.where(F.col(key).isNotNull()).groupBy(key, block).agg(_listed("_group").alias("_there"))
+    places = ids.select(key, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
+    lists = places.join(there, [key, "_block"], "left").join(every, "_block")
+    lacking = F.when(F.col("_there").isNull(), F.col("_every")).otherwise(F.array_except("_every", "_there"))
+    return lists.select(F.explode(lacking).alias(group), key)
 
 
 def coverage_by_group(present: DataFrame, expected: DataFrame, group: str, key: str) -> DataFrame:

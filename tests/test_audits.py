@@ -88,6 +88,26 @@ def test_coverage_of_each_batch(spark):
     ]
 
 
+def pairs_are_made_last(df):
+    """Whether (batch, id) pairs that are missing are made of two lists, and enter no join or exchange."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "LeftAnti" not in plan and "Generate explode(CASE WHEN" in plan
+
+
+def test_missing_points_are_unrolled_from_short_lists(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK", 2)
+    batches = [None, *[f"B{i}" for i in range(9)]]
+    seen = [(b, f"P{i}") for i, b in enumerate(batches)] + [(b, "P1") for b in batches] + [(b, "P2") for b in batches[1:]]
+    present = spark.createDataFrame([*seen, *seen, ("B1", None), ("B99", " ")], "batch_id string, point_id string")
+    ids = [*[f"P{i}" for i in range(8)], "", None]
+    expected = spark.createDataFrame([(i,) for i in ids], "point_id string")
+    lacking = joins.missing_by_group(present, expected, "batch_id", "point_id")
+    found = [tuple(r) for r in lacking.collect()]
+    want = {(b, i) for b in [*batches, "B99"] for i in ids} - set(seen)
+    assert len(found) == len(want) and set(found) == want
+    assert pairs_are_made_last(lacking)
+
+
 def test_point_without_readings_has_no_hours(spark):
     rows = frame(spark, [r for r in batch() if r["point_id"] != "P2"])
     found = {r.point_id: r.forecast_hours for r in batch_checks.hours_per_point(rows, points(spark), "batch_id").collect()}
