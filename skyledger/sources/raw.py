@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,51 +56,68 @@ def find_hourly(response: str | Column) -> Column:
     A struct of its ``path``, empty at the top, and of the arrays as ``text``, or null. The objects of one
     depth are opened together, and only as long as there are any; a place is the list of
     positions that lead to it, so the least place is the first in the document's order.
-    Lists are not searched, nor are texts that hold JSON.
+    Each object is read once as texts and once as values, and none behind the first found
+    is opened. Lists are not searched, nor are texts that hold JSON.
     """
     text = F.col(response) if isinstance(response, str) else response
-    node = "struct<place: array<int>, path: string, text: string>"
+    node = "place: array<int>, path: string, text: string"
+    member = f"struct<{node}, above: string, object: boolean, hit: boolean>"
 
     def opened(at: Column) -> Column:
         """The members of an object in their order, each as text and as what it is."""
-        texts = F.from_json(at["text"], "map<string, string>")
-        values = F.map_values(F.from_json(at["text"], "map<string, variant>"))
-        members = F.arrays_zip(F.map_keys(texts).alias("name"), F.map_values(texts).alias("text"), values.alias("value"))
+        entries = F.map_entries(F.from_json(at["text"], "map<string, string>")).alias("entry")
+        values = F.map_values(F.from_json(at["text"], "map<string, variant>")).alias("value")
         return F.transform(
-            F.coalesce(members, F.array()),
+            F.coalesce(F.arrays_zip(entries, values), F.array()),
             lambda m, i: F.struct(
                 F.concat(at["place"], F.array(i)).alias("place"),
+                F.concat_ws(".", F.when(at["path"] != "", at["path"]), m["entry"]["key"]).alias("path"),
+                m["entry"]["value"].alias("text"),
                 at["path"].alias("above"),
-                F.concat_ws(".", F.when(at["path"] != "", at["path"]), m["name"]).alias("path"),
-                m["text"].alias("text"),
-                (m["name"] == "hourly").alias("named"),
                 F.try_variant_get(m["value"], "$", "map<string, variant>").isNotNull().alias("object"),
-                F.try_variant_get(m["value"], "$.time", "array<variant>").isNotNull().alias("timed"),
+                (
+                    (m["entry"]["key"] == "hourly")
+                    & F.try_variant_get(m["value"], "$.time", "array<variant>").isNotNull()
+                ).alias("hit"),
             ),
         )
 
-    def deeper(state: Column, _: Column) -> Column:
-        members = F.flatten(F.transform(state["open"], opened))
+    def first_of(state: Column) -> Column:
+        """The first hit up to the depth of the members."""
         # The place of a hit is that of the object around it: it comes before all its members.
         hits = F.transform(
-            F.filter(members, lambda m: m["named"] & m["timed"]),
+            F.filter(state["members"], lambda m: m["hit"]),
             lambda m: F.struct(
                 F.slice(m["place"], F.lit(1), F.size(m["place"]) - 1).alias("place"),
                 m["above"].alias("path"),
                 m["text"].alias("text"),
             ),
         )
-        inner = F.transform(
-            F.filter(members, lambda m: m["object"]),
-            lambda m: F.struct(m["place"].alias("place"), m["path"].alias("path"), m["text"].alias("text")),
-        )
-        return F.struct(F.concat(state["found"], hits).alias("found"), inner.alias("open"))
+        return F.array_min(F.concat(F.array_compact(F.array(state["first"])), hits))
 
-    top = F.array(F.struct(F.array().cast("array<int>").alias("place"), F.lit("").alias("path"), text.alias("text")))
-    start = F.struct(F.array().cast(f"array<{node}>").alias("found"), top.cast(f"array<{node}>").alias("open"))
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        """What is made of a value that is worked out once, however often it is used."""
+        return F.transform(F.array(value), use)[0]
+
+    def deeper(state: Column, _: Column) -> Column:
+        def below(first: Column) -> Column:
+            ahead = F.filter(
+                state["members"], lambda m: m["object"] & (first.isNull() | (m["place"] < first["place"]))
+            )
+            return F.struct(first.alias("first"), F.flatten(F.transform(ahead, opened)).alias("members"))
+
+        return once(first_of(state), below)
+
+    top = F.struct(
+        F.array().alias("place"), F.lit("").alias("path"), text.alias("text"), F.lit("").alias("above"),
+        F.lit(True).alias("object"), F.lit(False).alias("hit"),
+    )
+    start = F.struct(
+        F.lit(None).cast(f"struct<{node}>").alias("first"), F.array(top).cast(f"array<{member}>").alias("members")
+    )
     levels = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(DEEPEST), F.regexp_count(text, F.lit(r"\{")))))
-    first = F.aggregate(levels, start, deeper, lambda state: F.array_min(state["found"]))
-    return F.struct(first["path"].alias("path"), first["text"].alias("text"))
+    first = F.aggregate(levels, start, deeper, first_of)
+    return once(first, lambda first: F.struct(first["path"].alias("path"), first["text"].alias("text")))
 
 
 def open_responses(raw: DataFrame) -> DataFrame:

@@ -161,6 +161,21 @@ def test_arrays_two_hundred_levels_down(spark, tmp_path):
     assert found.startswith("n0.n1.") and found.endswith("n199.hourly")
 
 
+def test_objects_behind_the_first_arrays_are_not_opened(spark, tmp_path):
+    arrays = {"hourly": {"time": ["x"], "more": {"hourly": {"time": ["inner"]}}}}
+    responses = [
+        ({"c": {"d": {"e": arrays}}, "b": {"d": arrays}, "a": arrays}, "c.d.e.hourly"),
+        ({"c": {"d": {"e": {}}}, "b": {"d": arrays}, "a": arrays}, "b.d.hourly"),
+        ({"c": {"d": arrays, "hourly": {"time": []}}, "a": arrays}, "c.hourly"),
+        ({"c": [arrays], "hourly": {"time": None, "d": arrays}, "a": arrays}, "hourly.d.hourly"),
+    ]
+    documents = [{**document(f"P{i}"), "api_response": response} for i, (response, _) in enumerate(responses)]
+    found = raw.open_responses(load(spark, tmp_path, documents)).select("point.point_id", raw.hourly_path().alias("path"))
+    assert {r.point_id: r.path for r in found.collect()} == {f"P{i}": path for i, (_, path) in enumerate(responses)}
+    # An object is read once as texts and once as values.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(MapType") == 2
+
+
 def test_envelope_issues(spark, tmp_path):
     doc = document(nest=(), pm10=[1.0])
     doc["schema_version"] = "2.0"
