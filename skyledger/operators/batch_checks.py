@@ -60,7 +60,7 @@ def hours_per_point(readings: DataFrame, points: DataFrame, batch: str) -> DataF
     hours = point_hours(readings, batch)
     counted = hours.groupBy(batch, "point_id").agg(F.count("forecast_time").alias("forecast_hours"))
     there = counted.join(expected_points(points), "point_id", "left_semi").select(batch, "point_id", "forecast_hours")
-    lacking = missing_by_group(hours, expected_points(points), batch, "point_id")
+    lacking = missing_by_group(counted, expected_points(points), batch, "point_id")
     return there.unionByName(lacking.withColumn("forecast_hours", F.lit(0).cast("bigint")))
 
 

@@ -114,6 +114,18 @@ def test_point_without_readings_has_no_hours(spark):
     assert found["P2"] == 0 and found["P1"] > 0
 
 
+def test_hours_of_each_point_and_batch(spark):
+    rows = [
+        *[reading("P1", hour=h, batch_id=b) for b in ("B1", None) for h in (0, 0, 1)],
+        *[reading(p, batch_id="B2") for p in (" P2 ", " ", "P7", None)],
+    ]
+    hours = batch_checks.hours_per_point(frame(spark, rows), points(spark), "batch_id")
+    assert sorted(map(tuple, hours.collect()), key=str) == [
+        ("B1", "P1", 2), ("B1", "P2", 0), ("B2", "P1", 0), ("B2", "P2", 1), (None, "P1", 2), (None, "P2", 0),
+    ]
+    assert pairs_are_made_last(hours)
+
+
 @pytest.mark.parametrize("table", ["point", "location"])
 def test_repeated_dimension_row_stops_grading_and_serving(spark, table):
     p, l = points(spark), locations(spark)
